@@ -50,14 +50,23 @@ def percentile_rank(df: DataFrame, by: Sequence[str], value: str, out: str, reve
     return df.join(ranks, [*by, value], "left")
 
 
-def percentile_ranks(df: DataFrame, by: Sequence[str], specs: Sequence[tuple[str, str, bool]]) -> DataFrame:
-    """Several ranks of one cross-section with one pass over the rows.
+def percentile_ranks(
+    df: DataFrame, by: Sequence[str], row_key: Sequence[str], specs: Sequence[tuple[str, str, bool]]
+) -> DataFrame:
+    """Several ranks of one cross-section in a single pass; ``by`` plus ``row_key`` identify a row.
 
-    The (field, value) pairs are unpivoted, counted and ranked together; the result joins back per field.
+    Fields are unpivoted and counted together, so the wide rows are shuffled once however many ranks there are.
     """
-    for value, out, reverse in specs:
-        df = percentile_rank(df, by, value, out, reverse)
-    return df
+    by, ident = list(by), [*by, *row_key]
+    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(v).cast("double").alias("v")) for i, (v, _, _) in enumerate(specs)])
+    slim = df.select(*ident, F.explode(cells).alias("_c")).select(*ident, F.col("_c.f").alias("_f"), F.col("_c.v").alias("_v"))
+    slim = slim.where(F.col("_v").isNotNull())
+    ranked = percentile_rank(slim, [*by, "_f"], "_v", "_share")
+    shares = ranked.groupBy(*ident).agg(*[F.max(F.when(F.col("_f") == i, F.col("_share"))).alias(out) for i, (_, out, _) in enumerate(specs)])
+    for _, out, reverse in specs:
+        if reverse:
+            shares = shares.withColumn(out, F.lit(1.0) - F.col(out))
+    return df.join(shares, ident, "left")
 
 
 def time_bucket(ts: Column, seconds: int = 3600) -> Column:

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tapeline.queries import registry
 
-AREAS = ("market",)
+AREAS = ("market", "features", "replay")
 
 
 def _load() -> None:

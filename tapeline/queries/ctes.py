@@ -27,8 +27,8 @@ bars0 AS (
 bars1 AS (
   SELECT b.k, {code('b.k')} AS code, coalesce(n.name, '') AS name, session,
          ((year(session) - 1990) * 12 + month(session))::int AS session_no,
-         50.0::double + o / 20000.0::double AS open, 50.0::double + h / 20000.0::double AS high,
-         50.0::double + l / 20000.0::double AS low, 50.0::double + c / 20000.0::double AS close,
+         50.0::double + o / 20011.0::double AS open, 50.0::double + h / 20011.0::double AS high,
+         50.0::double + l / 20011.0::double AS low, 50.0::double + c / 20011.0::double AS close,
          q * 100.0::double AS volume, a * 1000.0::double AS amount, d * 10.0::double AS turnover, t * 5.0::double AS volume_ratio,
          (nr - na)::double AS speed, (nf - no)::double AS change_5m
   FROM bars0 b LEFT JOIN names n ON n.k = b.k),
