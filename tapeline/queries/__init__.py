@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tapeline.queries import registry
 
-AREAS = ("market", "features", "replay")
+AREAS = ("market", "features", "replay", "pins", "calendar")
 
 
 def _load() -> None:

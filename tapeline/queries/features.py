@@ -85,10 +85,10 @@ def w06(spark, sf):
 
 @query("w07_recent_series", C.with_ctes(HIST, select="""
 SELECT code, session, array_to_string(list_transform(days[-15:], lambda d: strftime(d, '%Y%m%d')), ',') AS dates,
- round(list_sum(list_transform(highs[-15:], lambda v: round(v, 4))), 3) AS high_sum, round(list_sum(list_transform(lows[-15:], lambda v: round(v, 4))), 3) AS low_sum FROM h"""))
+ list_sum(list_transform(highs[-15:], lambda v: round(v * 10000)::bigint))::bigint AS high_sum, list_sum(list_transform(lows[-15:], lambda v: round(v * 10000)::bigint))::bigint AS low_sum FROM h"""))
 def w07(spark, sf):
     f = X.objective_features(D.bars(spark, sf))
-    total = lambda c, k: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x[k]), 3)
+    total = lambda c, k: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + F.round(x[k] * 10000).cast("bigint"))
     return f.select(
         "code", "session",
         F.array_join(F.transform("history_dates", lambda d: F.date_format(d, "yyyyMMdd")), ",").alias("dates"),
