@@ -103,17 +103,14 @@ def publish_time(c: Column | str, source: Column | str, enricher_notes: bool = F
     raw = _col(c).cast("string")
     text = F.trim(raw)
     src = F.lower(F.coalesce(_col(source), F.lit("")))
-    has_z = text.endswith("Z")
     bare = F.substring(text, 1, F.length(text) - 1)
+    is_z = text.endswith("Z") & bare.rlike(ISO_SHAPE)
     is_utc = (src == "cls") | ((src == "cninfo") & bare.rlike(r"[T ]16:00:00$"))
-    z_utc = iso_to_beijing(F.concat(bare, F.lit("Z")))
-    z_local = iso_to_beijing(bare)
-    z_ts = F.when(has_z, F.when(is_utc, z_utc).otherwise(z_local))
     dashed = F.replace(text, F.lit("/"), F.lit("-"))
-    iso = iso_to_beijing(dashed)
+    # One text in one form, so the (large) parsing expression appears once.
+    chosen = F.when(is_z & is_utc, text).when(is_z, bare).otherwise(dashed)
+    iso = iso_to_beijing(chosen)
     loose_ts, loose_note = _loose(dashed)
-    ts = F.coalesce(z_ts, iso, loose_ts)
-
     label = F.when(src == "", F.lit("unknown")).otherwise(src) if enricher_notes else src
     if enricher_notes:
         utc_note = F.when(src == "cls", F.lit("cls_z_as_utc")).otherwise(F.lit("cninfo_midnight_z_as_utc"))
@@ -124,12 +121,10 @@ def publish_time(c: Column | str, source: Column | str, enricher_notes: bool = F
     note = (
         F.when(raw.isNull() | (raw == ""), F.lit("missing_publish_time"))
         .when((text == "") & F.lit(enricher_notes), F.lit("empty_publish_time"))
-        .when(z_ts.isNotNull(), z_note)
-        .when(iso.isNotNull(), iso_note)
-        .when(loose_ts.isNotNull(), loose_note)
-        .otherwise(F.lit("unparsed_publish_time"))
+        .when(chosen.rlike(ISO_SHAPE), F.when(is_z, z_note).otherwise(iso_note))
+        .otherwise(F.coalesce(loose_note, F.lit("unparsed_publish_time")))
     )
-    return F.struct(ts.alias("ts"), note.alias("note"))
+    return F.struct(F.coalesce(iso, loose_ts).alias("ts"), note.alias("note"))
 
 
 def crawl_time(c: Column | str, now: Column | None = None, enricher_notes: bool = False) -> Column:
