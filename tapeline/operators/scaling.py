@@ -140,3 +140,20 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, ran
     """Best ``n`` rows per group with their rank."""
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+
+
+def ordered_extreme(
+    df: DataFrame, by: Sequence[str], bucket: Column, order: Sequence[Column | str], value: Column, out: str, largest: bool = True
+) -> DataFrame:
+    """Running maximum (or minimum) per key in ``order``, in two levels like ``ordered_totals``; nulls are skipped."""
+    by = list(by)
+    agg = F.max if largest else F.min
+    pick = F.greatest if largest else F.least
+    base = df.withColumns({"_b": bucket, "_v": value})
+    per_bucket = base.groupBy(*by, "_b").agg(agg("_v").alias("_bv"))
+    across = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*by, "_b", agg("_bv").over(across).alias("_carry"))
+    inside = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = base.withColumn("_run", agg("_v").over(inside)).join(carry, [*by, "_b"])
+    # greatest / least skip nulls.
+    return joined.select(*[c for c in df.columns if c != out], pick("_run", "_carry").alias(out))
