@@ -8,8 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Plain decimal or exponent notation; keeps Java suffixes such as "1d" out.
-NUMERIC = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-NON_FINITE = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+NUMERIC = r"(?i)^\s*[+-]?(\d+(\.\d*)?([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|nan|inf|infinity)\s*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -18,7 +17,7 @@ def _col(c: Column | str) -> Column:
 
 def _parsed(c: Column | str) -> Column:
     text = _col(c).cast("string")
-    return F.when(text.rlike(NUMERIC) | text.rlike(NON_FINITE), F.trim(text).try_cast("double"))
+    return F.when(text.rlike(NUMERIC), F.trim(text).try_cast("double"))
 
 
 def num_null(c: Column | str) -> Column:

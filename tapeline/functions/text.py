@@ -8,21 +8,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tapeline.functions.numbers import _col
+from tapeline.functions.times import bind
 
 # Patterns of the social extractor.
 STOCK_CODE = r"(?<!\d)([036]\d{5}|[123]\d{5}|688\d{3}|8\d{5}|9\d{5})(?!\d)"
 MARKET_RELEVANCE = (
-    r"(?i)股市|股票|A股|证券|财经|炒股|板块|主线|涨停|高开|低开|短线|T\+1|"
+    r"(?iu)股市|股票|A股|证券|财经|炒股|板块|主线|涨停|高开|低开|短线|T\+1|"
     r"PCB|半导体|芯片|算力|机器人|有色|稀土|煤炭|化工|涨价|订单|政策|关税|汇率|利率"
 )
 
 
 def repair_mojibake(c: Column | str) -> Column:
     """Undo UTF-8 read as Latin-1 where the marks of it show; unchanged where that fails."""
-    v = _col(c)
-    raw = F.encode(v, "ISO-8859-1")
-    fixable = v.rlike("[äãÂ]") & v.rlike(r"^[\u0000-ÿ]*$") & F.is_valid_utf8(raw.cast("string"))
-    return F.coalesce(F.when(fixable, F.nullif(F.decode(raw, "UTF-8"), F.lit(""))), v)
+
+    def fix(v: Column) -> Column:
+        raw = F.encode(v, "ISO-8859-1")
+        fixable = v.rlike("[äãÂ]") & v.rlike(r"^[\u0000-ÿ]*$") & F.is_valid_utf8(raw.cast("string"))
+        return F.coalesce(F.when(fixable, F.nullif(F.decode(raw, "UTF-8"), F.lit(""))), v)
+
+    return bind(_col(c), fix)
 
 
 def combined_text(*cols: Column | str) -> Column:
@@ -36,10 +40,13 @@ def words(keywords: Sequence[str]) -> Column:
 
 def keyword_hits(text: Column, keywords: Sequence[str], ignore_case: bool = False) -> Column:
     """Keywords contained in the text, in dictionary order."""
-    if not ignore_case:
-        return F.filter(words(keywords), lambda k: text.contains(k))
-    low = F.lower(text)
-    return F.filter(words(keywords), lambda k: low.contains(F.lower(k)))
+    if not keywords:
+        return F.array().cast("array<string>")
+
+    def cells(t: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(t.contains(k.lower() if ignore_case else k), F.lit(k)) for k in keywords]))
+
+    return bind(F.lower(text), cells) if ignore_case else cells(text)
 
 
 def any_keyword(text: Column, keywords: Sequence[str], ignore_case: bool = False) -> Column:

@@ -18,6 +18,15 @@ OFFSET = r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)$"
 EPOCH_MS_FROM = 10_000_000_000
 
 
+def bind(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once and hand it to ``fn``.
+
+    Filters pushed through projections copy column definitions; without this a time read from a computed text
+    would grow with every reference to that text.
+    """
+    return F.get(F.transform(F.array(expr), fn), F.lit(0))
+
+
 def ntz(c: Column) -> Column:
     return c.try_cast("timestamp_ntz")
 
@@ -57,24 +66,28 @@ def _offset_minutes(tail: Column) -> Column:
 
 def iso_to_beijing(c: Column | str, naive_zone: str = "beijing") -> Column:
     """ISO text to Beijing time. Text without a zone is Beijing time or, with ``naive_zone='utc'``, UTC."""
-    text = F.trim(_col(c).cast("string"))
-    tail = _tail(text)
-    wall = ntz(F.regexp_replace(F.regexp_replace(text, OFFSET, ""), ",", "."))
-    wall = F.when(F.length(text) <= 10, ntz(text)).otherwise(wall)
-    naive_shift = F.lit(0 if naive_zone == "beijing" else 480)
-    shift = F.when(tail == "", naive_shift).otherwise(F.lit(480) - _offset_minutes(tail))
-    return F.when(text.rlike(ISO_SHAPE), add_minutes(wall, shift))
+
+    def read(text: Column) -> Column:
+        tail = _tail(text)
+        wall = ntz(F.when(F.length(text) <= 10, text).otherwise(F.replace(F.regexp_replace(text, OFFSET, ""), F.lit(","), F.lit("."))))
+        naive_shift = F.lit(0 if naive_zone == "beijing" else 480)
+        shift = F.when(tail == "", naive_shift).otherwise(F.lit(480) - _offset_minutes(tail))
+        return F.when(text.rlike(ISO_SHAPE), add_minutes(wall, shift))
+
+    return bind(F.trim(_col(c).cast("string")), read)
 
 
 def epoch_to_beijing(c: Column | str) -> Column:
     """Seconds, or milliseconds above 10^10, since 1970 UTC."""
     v = _col(c).cast("double")
-    secs = F.when(v > EPOCH_MS_FROM, v / 1000).otherwise(v)
-    whole = F.floor(secs)
-    base = F.lit("1970-01-01 08:00:00").cast("timestamp_ntz")
-    return base + F.make_dt_interval(
-        F.floor(whole / 86400).cast("int"), F.lit(0), F.lit(0), (secs - F.floor(whole / 86400) * 86400).cast("decimal(18,6)")
-    )
+
+    def read(x: Column) -> Column:
+        secs = F.when(x > EPOCH_MS_FROM, x / 1000).otherwise(x)
+        day = F.floor(secs / 86400).cast("int")
+        base = F.lit("1970-01-01 08:00:00").cast("timestamp_ntz")
+        return base + F.make_dt_interval(day, F.lit(0), F.lit(0), (secs - day * 86400).cast("decimal(18,6)"))
+
+    return bind(v, read)
 
 
 # Non-padded variants that Python's strptime accepts; (shape, seconds suffix, note).
@@ -100,48 +113,54 @@ def publish_time(c: Column | str, source: Column | str, enricher_notes: bool = F
     A trailing ``Z`` is real UTC for ``cls`` and for ``cninfo`` at 16:00:00, and local time otherwise.
     The enrichment flavour spells two notes differently.
     """
-    raw = _col(c).cast("string")
-    text = F.trim(raw)
+
+    def read(x: Column) -> Column:
+        raw, src = x["raw"], x["src"]
+        text = F.trim(raw)
+        bare = F.substring(text, 1, F.length(text) - 1)
+        is_z = text.endswith("Z") & bare.rlike(ISO_SHAPE)
+        is_utc = (src == "cls") | ((src == "cninfo") & bare.rlike(r"[T ]16:00:00$"))
+        dashed = F.replace(text, F.lit("/"), F.lit("-"))
+        chosen = F.when(is_z & is_utc, text).when(is_z, bare).otherwise(dashed)
+        loose_ts, loose_note = _loose(dashed)
+        label = F.when(src == "", F.lit("unknown")).otherwise(src) if enricher_notes else src
+        if enricher_notes:
+            utc_note = F.when(src == "cls", F.lit("cls_z_as_utc")).otherwise(F.lit("cninfo_midnight_z_as_utc"))
+        else:
+            utc_note = F.concat(src, F.lit("_z_as_utc"))
+        z_note = F.when(is_utc, utc_note).otherwise(F.concat(label, F.lit("_z_as_beijing_local")))
+        iso_note = F.when(_tail(dashed) == "", F.lit("naive_as_beijing")).otherwise(F.lit("timezone_converted_to_beijing"))
+        note = (
+            F.when(raw.isNull() | (raw == ""), F.lit("missing_publish_time"))
+            .when((text == "") & F.lit(enricher_notes), F.lit("empty_publish_time"))
+            .when(chosen.rlike(ISO_SHAPE), F.when(is_z, z_note).otherwise(iso_note))
+            .otherwise(F.coalesce(loose_note, F.lit("unparsed_publish_time")))
+        )
+        return F.struct(F.coalesce(iso_to_beijing(chosen), loose_ts).alias("ts"), note.alias("note"))
+
     src = F.lower(F.coalesce(_col(source), F.lit("")))
-    bare = F.substring(text, 1, F.length(text) - 1)
-    is_z = text.endswith("Z") & bare.rlike(ISO_SHAPE)
-    is_utc = (src == "cls") | ((src == "cninfo") & bare.rlike(r"[T ]16:00:00$"))
-    dashed = F.replace(text, F.lit("/"), F.lit("-"))
-    # One text in one form, so the (large) parsing expression appears once.
-    chosen = F.when(is_z & is_utc, text).when(is_z, bare).otherwise(dashed)
-    iso = iso_to_beijing(chosen)
-    loose_ts, loose_note = _loose(dashed)
-    label = F.when(src == "", F.lit("unknown")).otherwise(src) if enricher_notes else src
-    if enricher_notes:
-        utc_note = F.when(src == "cls", F.lit("cls_z_as_utc")).otherwise(F.lit("cninfo_midnight_z_as_utc"))
-    else:
-        utc_note = F.concat(src, F.lit("_z_as_utc"))
-    z_note = F.when(is_utc, utc_note).otherwise(F.concat(label, F.lit("_z_as_beijing_local")))
-    iso_note = F.when(_tail(dashed) == "", F.lit("naive_as_beijing")).otherwise(F.lit("timezone_converted_to_beijing"))
-    note = (
-        F.when(raw.isNull() | (raw == ""), F.lit("missing_publish_time"))
-        .when((text == "") & F.lit(enricher_notes), F.lit("empty_publish_time"))
-        .when(chosen.rlike(ISO_SHAPE), F.when(is_z, z_note).otherwise(iso_note))
-        .otherwise(F.coalesce(loose_note, F.lit("unparsed_publish_time")))
-    )
-    return F.struct(F.coalesce(iso, loose_ts).alias("ts"), note.alias("note"))
+    return bind(F.struct(_col(c).cast("string").alias("raw"), src.alias("src")), read)
 
 
 def crawl_time(c: Column | str, now: Column | None = None, enricher_notes: bool = False) -> Column:
     """Struct ``(ts, note)`` of a collection time; ``Z`` is always UTC; missing or bad text takes ``now``."""
-    raw = _col(c).cast("string")
-    text = F.replace(F.trim(raw), F.lit("/"), F.lit("-"))
-    ts = iso_to_beijing(text)
-    note = F.when(_tail(text) == "", F.lit("naive_as_beijing")).otherwise(F.lit("timezone_converted_to_beijing"))
-    if enricher_notes:
-        loose_ts, loose_note = _loose(text)
-        note = F.when(ts.isNotNull(), note).otherwise(loose_note)
-        ts = F.coalesce(ts, loose_ts)
-    missing = ts.isNull()
-    fallback = now if now is not None else F.lit(None).cast("timestamp_ntz")
-    return F.struct(
-        F.coalesce(ts, fallback).alias("ts"), F.when(missing, F.lit("generated_now")).otherwise(note).alias("note")
-    )
+
+    def read(text: Column) -> Column:
+        ts = iso_to_beijing(text)
+        note = F.when(_tail(text) == "", F.lit("naive_as_beijing")).otherwise(F.lit("timezone_converted_to_beijing"))
+        if enricher_notes:
+            loose_ts, loose_note = _loose(text)
+            note = F.when(text.rlike(ISO_SHAPE), note).otherwise(loose_note)
+            ts = F.coalesce(ts, loose_ts)
+        return F.struct(ts.alias("ts"), note.alias("note"))
+
+    def default(x: Column) -> Column:
+        fallback = now if now is not None else F.lit(None).cast("timestamp_ntz")
+        note = F.when(x["ts"].isNull(), F.lit("generated_now")).otherwise(x["note"])
+        return F.struct(F.coalesce(x["ts"], fallback).alias("ts"), note.alias("note"))
+
+    text = F.replace(F.trim(_col(c).cast("string")), F.lit("/"), F.lit("-"))
+    return bind(bind(text, read), default)
 
 
 def latency_minutes(collected: Column | str, published: Column | str) -> Column:
@@ -165,18 +184,17 @@ def many_formats(c: Column | str) -> Column:
 
     Anything else comes back unchanged.
     """
-    raw = _col(c).cast("string")
-    text = F.trim(raw)
-    same_sep = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}( |$)") | text.rlike(r"^\d{4}/\d{1,2}/\d{1,2}( |$)") | text.rlike(
-        r"^\d{4}年\d{1,2}月\d{1,2}日( |$)"
-    )
-    plain = F.regexp_replace(F.regexp_replace(text, "[/年月]", "-"), "日", "")
-    stamp, _ = _loose(plain)
-    wall = F.when(same_sep, stamp)
-    as_z = F.concat(F.replace(ntz_text(wall), F.lit(" "), F.lit("T")), F.lit("Z"))
-    epoch = F.when(text.rlike(r"^[+-]?\d+$"), epoch_to_beijing(text))
-    utc_z = F.concat(F.replace(ntz_text(add_minutes(epoch, -480)), F.lit(" "), F.lit("T")), F.lit("Z"))
-    return F.coalesce(as_z, F.when(raw.contains("T"), raw), utc_z, F.nullif(raw, F.lit("")))
+
+    def read(raw: Column) -> Column:
+        text = F.trim(raw)
+        one_style = r"^(\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{4}年\d{1,2}月\d{1,2}日)( |$)"
+        plain = F.regexp_replace(F.regexp_replace(text, "[/年月]", "-"), "日", "")
+        stamp, _ = _loose(plain)
+        z = lambda t: F.concat(F.replace(ntz_text(t), F.lit(" "), F.lit("T")), F.lit("Z"))
+        epoch = F.when(text.rlike(r"^[+-]?\d+$"), add_minutes(epoch_to_beijing(text), -480))
+        return F.coalesce(z(F.when(text.rlike(one_style), stamp)), F.when(raw.contains("T"), raw), z(epoch), F.nullif(raw, F.lit("")))
+
+    return bind(_col(c).cast("string"), read)
 
 
 def statistics_time(c: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tapeline.functions.codes import zero_padded
 from tapeline.functions.hashing import dedup_key, item_id
 from tapeline.functions.numbers import first_text
 from tapeline.functions.text import any_keyword, combined_text, keyword_hits, ordered_union, repair_mojibake
+from tapeline.functions.times import bind
 from tapeline.operators.scaling import latest_by
 
 SEARCH_FIELDS = ("title", "content", "summary", "stock_name", "stock_code")
@@ -63,62 +65,68 @@ def with_latency_level(df: DataFrame) -> DataFrame:
     return df.withColumn("latency_level", times.latency_level("latency_minutes"))
 
 
-def risk_columns(
-    text: Column, risk: Mapping[str, Sequence[str]] = constants.RISK_KEYWORDS,
-    high: Sequence[str] = constants.HIGH_RISK_FLAGS, medium: Sequence[str] = constants.MEDIUM_RISK_FLAGS,
-) -> dict[str, Column]:
-    """``risk_flags``, ``risk_reasons``, ``risk_level`` and ``is_risk_alert`` of a search text."""
-    hits = F.array(*[F.struct(F.lit(flag).alias("flag"), keyword_hits(text, words, ignore_case=True).alias("hits")) for flag, words in risk.items()])
-    found = F.filter(hits, lambda x: F.size(x["hits"]) > 0)
-    flags = F.transform(found, lambda x: x["flag"])
-    reasons = F.transform(found, lambda x: F.concat(x["flag"], F.lit(": "), F.array_join(F.slice(x["hits"], 1, 3), ", ")))
-    listed = lambda names: F.arrays_overlap(F.col("risk_flags"), F.array(*[F.lit(n) for n in names]))
-    level = (
-        F.when(listed(high), F.lit("high")).when(listed(medium), F.lit("medium"))
-        .when(F.size("risk_flags") > 0, F.lit("low")).otherwise(F.lit("none"))
-    )
-    return {"risk_flags": flags, "risk_reasons": reasons, "risk_level": level, "is_risk_alert": F.col("risk_level").isin("medium", "high")}
+def _hits(low: Column, words: Sequence[str]) -> Column:
+    return F.array_compact(F.array(*[F.when(low.contains(w.lower()), F.lit(w)) for w in words]))
 
 
 def enrich_news(
     items: DataFrame, risk: Mapping[str, Sequence[str]] = constants.RISK_KEYWORDS, impact=constants.IMPACT_GROUPS,
-    base: Mapping[str, int] = constants.SOURCE_BASE_SCORE,
+    base: Mapping[str, int] = constants.SOURCE_BASE_SCORE, high: Sequence[str] = constants.HIGH_RISK_FLAGS,
+    medium: Sequence[str] = constants.MEDIUM_RISK_FLAGS,
 ) -> DataFrame:
-    """Risk flags, impact score, tier and reasons. Dictionaries are literals in the plan: no join, no Python."""
-    df = items.withColumn("_text", combined_text(*[_col(items, c) for c in SEARCH_FIELDS]))
-    for name, expr in risk_columns(F.col("_text"), risk).items():
-        df = df.withColumn(name, expr)
+    """Risk flags, impact score, tier and reasons.
+
+    The lower-cased search text is built and searched once per row; dictionaries are literals in the plan.
+    """
     groups = sorted(impact, key=lambda g: -g[1])
-    df = df.withColumns({f"_h{i}": keyword_hits(F.col("_text"), words, ignore_case=True) for i, (_, _, words) in enumerate(groups)})
+    flags = list(risk)
+
+    def search(low: Column) -> Column:
+        cells = [_hits(low, risk[f]).alias(f"r{i}") for i, f in enumerate(flags)]
+        return F.struct(*cells, *[_hits(low, words).alias(f"g{i}") for i, (_, _, words) in enumerate(groups)])
+
+    text = combined_text(*[_col(items, c) for c in SEARCH_FIELDS])
+    df = items.withColumn("_h", bind(F.lower(text), search))
+    found = lambda part: F.size(F.col("_h")[part]) > 0
+    listed = lambda part, n: F.array_join(F.slice(F.col("_h")[part], 1, n), ", ")
+    some = lambda names: reduce(lambda a, b: a | b, [found(f"r{i}") for i, f in enumerate(flags) if f in names], F.lit(False))
+    level = (
+        F.when(some(high), F.lit("high")).when(some(medium), F.lit("medium")).when(some(flags), F.lit("low")).otherwise(F.lit("none"))
+    )
+    df = df.withColumns(
+        {
+            "risk_flags": F.array_compact(F.array(*[F.when(found(f"r{i}"), F.lit(f)) for i, f in enumerate(flags)])),
+            "risk_reasons": F.array_compact(
+                F.array(*[F.when(found(f"r{i}"), F.concat(F.lit(f + ": "), listed(f"r{i}", 3))) for i, f in enumerate(flags)])
+            ),
+            "risk_level": level,
+        }
+    ).withColumn("is_risk_alert", F.col("risk_level").isin("medium", "high"))
     start = F.lit(constants.DEFAULT_BASE_SCORE)
     for source, value in base.items():
         start = F.when(F.lower("source") == source, F.lit(value)).otherwise(start)
     rank, total = F.lit(0), start
     reasons = [F.concat(F.lit("source_base:"), start.cast("string"))]
     for i, (name, weight, _) in enumerate(groups):
-        hit = F.size(f"_h{i}") > 0
         # Python rounding of the constants: halves go to the even neighbour.
         applied = F.when(rank == 0, F.lit(weight)).when(rank == 1, F.lit(round(weight * 0.6))).otherwise(F.lit(min(8, round(weight * 0.3))))
-        total = total + F.when(hit, applied).otherwise(F.lit(0))
-        reasons.append(
-            F.when(hit, F.concat(F.lit(f"{name}+"), applied.cast("string"), F.lit(": "), F.array_join(F.slice(f"_h{i}", 1, 4), ", ")))
-        )
-        rank = rank + hit.cast("int")
-    level = F.col("risk_level")
-    floor = F.when(level == "high", F.lit(75)).when(level == "medium", F.lit(65)).otherwise(F.lit(0))
-    reasons.append(F.when(level.isin("high", "medium"), F.concat(F.lit("risk_alert_floor:"), floor.cast("string"))))
+        total = total + F.when(found(f"g{i}"), applied).otherwise(F.lit(0))
+        reasons.append(F.when(found(f"g{i}"), F.concat(F.lit(f"{name}+"), applied.cast("string"), F.lit(": "), listed(f"g{i}", 4))))
+        rank = rank + found(f"g{i}").cast("int")
+    alert = F.col("risk_level")
+    floor = F.when(alert == "high", F.lit(75)).when(alert == "medium", F.lit(65)).otherwise(F.lit(0))
+    reasons.append(F.when(alert.isin("high", "medium"), F.concat(F.lit("risk_alert_floor:"), floor.cast("string"))))
     tier = F.lit("general")
     for i, (name, _, _) in reversed(list(enumerate(groups))):
-        tier = F.when(F.size(f"_h{i}") > 0, F.lit(name)).otherwise(tier)
+        tier = F.when(found(f"g{i}"), F.lit(name)).otherwise(tier)
     df = df.withColumns(
         {
             "news_score": F.least(F.greatest(total, floor), F.lit(100)),
             "news_tier": F.when(F.col("is_risk_alert"), F.lit("risk_alert")).otherwise(tier),
-            "impact_reasons": F.filter(F.array(*reasons), lambda x: x.isNotNull()),
+            "impact_reasons": F.array_compact(F.array(*reasons)),
         }
     )
-    df = df.withColumn("is_high_impact", (F.col("news_score") >= 65) | F.col("is_risk_alert"))
-    return df.drop("_text", *[f"_h{i}" for i in range(len(groups))])
+    return df.withColumn("is_high_impact", (F.col("news_score") >= 65) | F.col("is_risk_alert")).drop("_h")
 
 
 def merge_duplicates(items: DataFrame, arrival: str, by: Sequence[str] = ("source", "publish_date_bj")) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tapeline.functions import codes
 from tapeline.functions.folds import array_mean, from_end, last_n, macd, return_last
 from tapeline.functions.numbers import holds
+from tapeline.functions.times import bind
 from tapeline.operators.scaling import top_n
 
 SESSIONS = 35
@@ -27,11 +28,6 @@ def observations(bars: DataFrame) -> DataFrame:
     return filled.where(F.least("open", "high", "low", "close") > 0)
 
 
-def bind(expr: Column, fn) -> Column:
-    """Evaluate ``expr`` once and hand it to ``fn``."""
-    return F.get(F.transform(F.array(expr), fn), F.lit(0))
-
-
 def series_panel(bars: DataFrame, sessions: int = SESSIONS) -> DataFrame:
     """``obs`` for every code and session: own observations of the last market sessions."""
     w = Window.partitionBy("code").orderBy("session_no").rangeBetween(-(sessions - 1), 0)

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tapeline.queries import registry
 
-AREAS = ("market", "features", "replay", "pins", "calendar", "news", "scoring", "state")
+AREAS = ("market", "features", "replay", "pins", "calendar", "news", "scoring", "state", "sources", "streams")
 
 
 def _load() -> None:

@@ -117,7 +117,7 @@ TICKS = """ticks AS (
 TRADES = f"""trades AS (
   SELECT l_suppkey % 10 AS account, lpad((l_partkey % 200)::varchar, 6, '0') AS code, 'Part#' || (l_partkey % 200)::varchar AS name,
          {AT} AS seq, CASE WHEN l_returnflag = 'R' THEN 'sell' ELSE 'buy' END AS side, l_quantity::bigint AS quantity,
-         round(l_extendedprice / l_quantity, 2) AS price, l_shipdate AS at FROM lineitem)"""
+         l_extendedprice / l_quantity AS price, l_shipdate AS at FROM lineitem)"""
 
 RUN_LOG = """run_log AS (
   SELECT 'source' || (user_id % 10)::varchar AS source, ts, event_type NOT IN ('error', 'view') AS ok,

@@ -102,15 +102,15 @@ def a25(spark, sf):
 t AS (SELECT *, row_number() OVER (PARTITION BY account, code ORDER BY seq) AS i FROM trades),
 f AS (SELECT account, code, 0::bigint AS i, 0::bigint AS q, 0.0::double AS c, 0::bigint AS rejected FROM (SELECT DISTINCT account, code FROM t)
  UNION ALL SELECT t.account, t.code, t.i, CASE WHEN side = 'buy' THEN q + quantity ELSE greatest(q - quantity, 0) END,
-  CASE WHEN side = 'sell' THEN CASE WHEN quantity >= q THEN 0.0 ELSE c END WHEN q = 0 THEN price ELSE round((q * c + quantity * price) / (q + quantity), 4) END,
+  CASE WHEN side = 'sell' THEN CASE WHEN quantity >= q THEN 0.0 ELSE c END WHEN q = 0 THEN price ELSE printf('%.4f', (q * c + quantity * price) / (q + quantity))::double END,
   rejected + CASE WHEN side = 'sell' AND q = 0 THEN 1 ELSE 0 END FROM f JOIN t ON t.account = f.account AND t.code = f.code AND t.i = f.i + 1)
-SELECT account, code, q AS quantity, CASE WHEN q > 0 THEN round(c, 3) END AS average_cost, i AS trades, rejected FROM (
+SELECT account, code, q AS quantity, CASE WHEN q > 0 THEN c END AS average_cost, i AS trades, rejected FROM (
  SELECT *, row_number() OVER (PARTITION BY account, code ORDER BY i DESC) AS rn FROM f) WHERE rn = 1""")
 def c17(spark, sf):
     from tapeline.operators.scaling import time_bucket
 
     held = G.holdings(D.trades(spark, sf), bucket=time_bucket(F.col("at"), 30 * 86400))
-    return held.select("account", "code", "quantity", F.round("average_cost", 3).alias("average_cost"), "trades", "rejected")
+    return held.select("account", "code", "quantity", "average_cost", "trades", "rejected")
 
 
 # --- journal ---------------------------------------------------------------------------------------------

@@ -279,7 +279,7 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey").alias("seq"),
         F.when(F.col("l_returnflag") == "R", F.lit("sell")).otherwise(F.lit("buy")).alias("side"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("price"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("at"),
     )
 
