@@ -108,16 +108,19 @@ def next_slot(dim: DataFrame, times: DataFrame, at: str = "now", slots: Sequence
 
 def calendar_summary(dim: DataFrame, trade_dates: DataFrame, today: str, source: str = "cache", covered_years: Sequence[int] = (), n_closed: int = 0, n_open: int = 0) -> DataFrame:
     """One row about the calendar as of a day."""
-    cached = trade_dates.groupBy().agg(
-        F.count_distinct("date").alias("trade_date_count"), F.min("date").alias("first_trade_date"), F.max("date").alias("last_trade_date")
-    )
-    day = dim.where(F.col("date") == F.lit(today).cast("date")).select(
-        F.col("date").alias("current_date"), "is_trade_day", "previous_trade_day", "next_trade_day", F.lit(1).alias("_one")
+    fact = lambda e: trade_dates.groupBy().agg(e).scalar()
+    day = dim.where(F.col("date") == F.lit(today).cast("date"))
+    day = day.select(F.col("date").alias("current_date"), "is_trade_day", "previous_trade_day", "next_trade_day")
+    day = day.withColumns(
+        {
+            "trade_date_count": fact(F.count_distinct("date")), "first_trade_date": fact(F.min("date")), "last_trade_date": fact(F.max("date")),
+        }
     )
-    return day.join(cached.withColumn("_one", F.lit(1)), "_one", "left").drop("_one").withColumns(
+    fallback = "override_file" if covered_years else "unavailable"
+    return day.withColumns(
         {
             "available": (F.col("trade_date_count") > 0) | F.lit(bool(covered_years)),
-            "source": F.when(F.col("trade_date_count") > 0, F.lit(source)).otherwise(F.lit("override_file" if covered_years else "unavailable")),
+            "source": F.when(F.col("trade_date_count") > 0, F.lit(source)).otherwise(F.lit(fallback)),
             "closed_date_count": F.lit(n_closed), "open_date_count": F.lit(n_open),
         }
     )

@@ -171,8 +171,11 @@ def evaluate_series(df: DataFrame, obs: str = "obs", lookback: int = 3, min_amou
 
 
 def with_live_bar(candidates: DataFrame, live: DataFrame, min_amount: float = MIN_AMOUNT) -> DataFrame:
-    """Candidates (with ``obs``) re-evaluated with a live bar appended; kept only while the pattern date is unchanged."""
-    now = observations(live).select("code", F.struct(*OBSERVATION).alias("_live"))
+    """Candidates (with ``obs``) re-evaluated with a live bar appended; kept only while the pattern date is unchanged.
+
+    ``live`` holds at most one observation per code.
+    """
+    now = live.select("code", F.struct(*OBSERVATION).alias("_live"))
     joined = candidates.select("code", "name", F.col("pattern_date").alias("_pattern"), "obs").join(now, "code")
     again = evaluate_series(
         joined.select("code", "name", F.col("_pattern").alias("session"), F.concat("obs", F.array("_live")).alias("obs")), min_amount=min_amount

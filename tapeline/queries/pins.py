@@ -100,18 +100,24 @@ def k03(spark, sf):
     return pins.scan_lists(out, limit=1_000_000).select("session", "list", "code", "rank")
 
 
-LIVE = """live AS (SELECT v.code, v.session, v.session_no, v.days[v.i] AS pattern_date FROM v WHERE hard),
-nxt AS (SELECT l.*, x.session AS live_session, x.days[x.i] AS live_pattern, x.brk, x.score FROM live l JOIN v x ON x.code = l.code AND x.session_no = l.session_no + 1)"""
+# The series with a live bar spans one more session, seen from the live bar.
+LIVE_RUN = "lv AS (WITH " + OBS.replace("34 PRECEDING", "35 PRECEDING") + ",\n" + PINS + " SELECT * FROM v)"
 
 
-@query("j14_live_confirmation", None)
+@query("j14_live_confirmation", C.with_ctes(OBS, PINS, LIVE_RUN, select="""
+SELECT v.code, v.session, v.days[v.i] AS pattern_date, lv.brk AS breakout_confirmation, lv.score AS objective_score FROM v JOIN lv ON lv.code = v.code AND lv.session_no = v.session_no + 1
+WHERE v.hard AND lv.days[lv.i] = v.days[v.i]"""))
 def j14(spark, sf):
     """Every session's candidates re-evaluated with the code's next bar as the live one."""
     bars = D.bars(spark, sf)
     base = pins.evaluate_series(pins.series_panel(bars)).where("shape_pass")
-    keyed = base.withColumn("code", F.concat_ws("@", "code", F.col("session_no").cast("string")))
-    live = bars.withColumn("_live_no", F.col("session_no") - 1)
-    board = pins.observations(live).select(F.concat_ws("@", "code", F.col("_live_no").cast("string")).alias("code"), F.struct(*pins.OBSERVATION).alias("_live"))
-    joined = keyed.select("code", "name", F.col("pattern_date").alias("session"), "obs").join(board, "code")
-    again = pins.evaluate_series(joined.select("code", "name", "session", F.concat("obs", F.array("_live")).alias("obs")))
-    return again.where(F.col("pattern_date") == F.col("session")).select("code", "pattern_date", "breakout_confirmation", "objective_score")
+    tag = lambda no: F.concat_ws("@", "code", F.col(no).cast("string"))
+    live = pins.observations(bars).select(
+        F.concat_ws("@", "code", (F.col("session_no") - 1).cast("string")).alias("tag"), *pins.OBSERVATION
+    )
+    both = pins.with_live_bar(base.withColumn("code", tag("session_no")), live.withColumnRenamed("tag", "code"))
+    out = both.where(F.col("live_confirmation_score").isNotNull())
+    return out.select(
+        F.split("code", "@")[0].alias("code"), "session", "pattern_date", F.col("live_breakout_confirmation").alias("breakout_confirmation"),
+        F.col("live_confirmation_score").alias("objective_score"),
+    )

@@ -42,6 +42,10 @@ def updates(spark, df):
     return spark.read.parquet(out)
 
 
+def beijing(instant: str):
+    return F.convert_timezone(F.current_timezone(), F.lit("Asia/Shanghai"), F.col(instant).cast("timestamp_ntz")).cast("string")
+
+
 NEWS_COLUMNS = ("doc_id", "source", "title", "content", "url", "publish_time", "stock_code", "collected_at", "crawled_at", "publish_time_bj", "publish_date_bj", "latency_minutes", "source_urls")
 KEY = "CASE WHEN source = 'cninfo' THEN stock_code || '|' || title || '|' || publish_time ELSE url END"
 
@@ -63,7 +67,7 @@ def s22(spark, sf):
 @query("r02_watermark_overlap", C.with_ctes(C.NEWS, NORMAL, select="SELECT doc_id, strftime(collected, '%Y-%m-%d %H:%M:%S') AS event_time FROM norm"))
 def r02(spark, sf):
     out = drained(spark, S.with_event_time(stream(spark, news_rows(spark, sf))))
-    return out.select("doc_id", F.substring(F.col("event_time").cast("string"), 1, 19).alias("event_time"))
+    return out.select("doc_id", F.substring(beijing("event_time"), 1, 19).alias("event_time"))
 
 
 @query("r03_stream_dedup", C.with_ctes(C.NEWS, NORMAL, select=f"SELECT DISTINCT sha256({KEY}) AS item_hash FROM norm"))
@@ -84,17 +88,10 @@ def r04(spark, sf):
 SELECT strftime(window_start, '%Y-%m-%d') AS window_start, keyword, count(*) AS n_items FROM w
 WHERE window_start + interval 1 day <= (SELECT max(collected) - interval 10 minute FROM norm) GROUP BY 1, 2 HAVING count(*) > 5"""))
 def r05(spark, sf):
-    """Daily windows in Beijing time; a window closes once the watermark has passed its end."""
+    """Beijing day windows; a window closes once the watermark has passed its end."""
     items = S.with_event_time(stream(spark, news_rows(spark, sf)))
-    # Windows are aligned to UTC, so the Beijing wall clock is carried as if it were UTC.
-    wall = items.withColumn("event_time", F.to_utc_timestamp("event_time", "UTC"))
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    try:
-        out = drained(spark, S.keyword_windows(wall, PLATES, "1 day"))
-        return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "keyword", "n_items")
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
+    out = drained(spark, S.keyword_windows(items, PLATES, "1 day", start="16 hours"))
+    return out.select(F.substring(beijing("window_start"), 1, 10).alias("window_start"), "keyword", "n_items")
 
 
 @query("r06_collector_health_state", C.with_ctes(C.RUN_LOG, STREAK, STATE, select="SELECT source, consecutive_failures, last_error, strftime(last_success_at, '%Y-%m-%d %H:%M:%S') AS last_success_at FROM state"))

@@ -41,7 +41,8 @@ def read_news_store(spark: SparkSession, path: str, source: str = "", date_from:
 
 
 def write_news_store(items: DataFrame, path: str, by: Sequence[str] = NEWS_KEYS) -> None:
-    items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Rebalanced by partition: small days end up in one file each, a very large day is split over tasks."""
+    items.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def stored_days(spark: SparkSession, path: str, days: DataFrame, by: Sequence[str] = NEWS_KEYS) -> DataFrame | None:

@@ -26,8 +26,9 @@ def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int |
 
 
 def with_event_time(items: DataFrame, column: str = "collected_at", delay: str = OVERLAP) -> DataFrame:
-    """Collection time as event time, with the overlap the incremental sync uses."""
-    return items.withColumn("event_time", iso_to_beijing(column).cast("timestamp")).withWatermark("event_time", delay)
+    """Collection time as event time (an instant), with the overlap the incremental sync uses."""
+    local = F.convert_timezone(F.lit("Asia/Shanghai"), F.current_timezone(), iso_to_beijing(column))
+    return items.withColumn("event_time", local.cast("timestamp")).withWatermark("event_time", delay)
 
 
 def distinct_stream(items: DataFrame) -> DataFrame:
@@ -36,11 +37,15 @@ def distinct_stream(items: DataFrame) -> DataFrame:
 
 
 def keyword_windows(
-    items: DataFrame, plates: Mapping[str, Sequence[str]], window: str = "1 hour", slide: str | None = None, threshold: int = 5, top_n: int = 20
+    items: DataFrame, plates: Mapping[str, Sequence[str]], window: str = "1 hour", slide: str | None = None, threshold: int = 5, top_n: int = 20,
+    start: str | None = None,
 ) -> DataFrame:
-    """Keyword counts per tumbling (or sliding) window of event time, above the threshold."""
+    """Keyword counts per tumbling (or sliding) window of event time, above the threshold.
+
+    Windows are aligned to UTC; ``start`` moves them (``"16 hours"`` makes day windows Beijing days).
+    """
     words = items.select("event_time", F.explode(extract_keywords(item_text(items), top_n, plates=plates)).alias("keyword"))
-    win = F.window("event_time", window, slide) if slide else F.window("event_time", window)
+    win = F.window("event_time", window, slide, start)
     counts = words.groupBy(win.alias("w"), "keyword").agg(F.count(F.lit(1)).alias("n_items"))
     return counts.where(F.col("n_items") > threshold).select(F.col("w.start").alias("window_start"), "keyword", "n_items")
 
