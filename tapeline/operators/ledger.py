@@ -77,32 +77,40 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([close()], columns=names)
 
 
-def with_segments(trades: DataFrame, bucket: Column) -> DataFrame:
-    """``segment`` per trade: how many full exits the key had before it.
+HOT_ROWS = 50_000
+
+
+def with_segments(trades: DataFrame, bucket: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``segment`` per trade of keys with at least ``hot_rows`` trades: how many full exits the key had before it.
 
     With known quantities the holding is a walk that never drops below zero: the running sum minus its lowest value
-    so far. Keys with unknown quantities or corrections are left in one segment. ``bucket`` must follow ``seq``.
+    so far. Smaller keys, and keys with unknown quantities or corrections, are left in one segment. ``bucket`` must
+    follow ``seq``. There can be at most ``rows / hot_rows`` hot keys, so the two lookups stay small.
     """
-    plain = trades.groupBy(*KEY).agg(
-        F.min((F.col("side").isin("buy", "sell") & F.coalesce(F.col("quantity") > 0, F.lit(False)) & ((F.col("side") == "sell") | (F.col("price") > 0))).cast("int")).alias("_plain")
+    known = F.coalesce(F.col("quantity") > 0, F.lit(False)) & ((F.col("side") == "sell") | (F.col("price") > 0))
+    sizes = trades.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("_n"), F.min((F.col("side").isin("buy", "sell") & known).cast("int")).alias("_plain")
     )
-    df = trades.join(plain, KEY).withColumn("_b0", bucket)
-    step = F.when(F.col("side") == "buy", F.col("quantity")).otherwise(-F.coalesce("quantity", F.lit(0)))
+    hot = sizes.where((F.col("_n") >= hot_rows) & (F.col("_plain") == 1)).select(*KEY)
+    cold = trades.join(hot, KEY, "left_anti").select(*trades.columns, F.lit(0).cast("bigint").alias("segment"))
+    df = trades.join(hot, KEY, "left_semi").withColumn("_b0", bucket)
+    step = F.when(F.col("side") == "buy", F.col("quantity")).otherwise(-F.col("quantity"))
     b = F.col("_b0")
     df = ordered_totals(df, KEY, b, ["seq"], {"_sum": step})
     df = ordered_extreme(df, KEY, b, ["seq"], F.col("_sum"), "_low", largest=False)
-    out = (F.col("side") == "sell") & (F.col("_plain") == 1) & (F.col("_sum") - F.least("_low", F.lit(0)) == 0)
+    out = (F.col("side") == "sell") & (F.col("_sum") - F.least("_low", F.lit(0)) == 0)
     df = df.withColumn("_exit", out.cast("bigint"))
     df = ordered_totals(df, KEY, b, ["seq"], {"_exits": F.col("_exit")})
-    return df.withColumn("segment", F.col("_exits") - F.col("_exit")).select(*trades.columns, "segment")
+    split = df.select(*trades.columns, (F.col("_exits") - F.col("_exit")).alias("segment"))
+    return cold.unionByName(split)
 
 
-def holdings(trades: DataFrame, bucket: Column | None = None) -> DataFrame:
+def holdings(trades: DataFrame, bucket: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Final position per (account, code) and the number of rejected trades.
 
     ``trades``: account, code, name, seq (total order), side buy|sell|upsert, quantity, price, at.
     """
-    df = with_segments(trades, bucket) if bucket is not None else trades.withColumn("segment", F.lit(0).cast("bigint"))
+    df = with_segments(trades, bucket, hot_rows) if bucket is not None else trades.withColumn("segment", F.lit(0).cast("bigint"))
     slim = df.select(F.col("account").cast("bigint").alias("account"), "code", "segment", "name", "seq", "side", "quantity", "price", "at")
     run = slim.repartition("account", "code", "segment").sortWithinPartitions("account", "code", "segment", "seq")
     folded = run.drop("seq").mapInPandas(_fold, RESULT)

@@ -81,52 +81,53 @@ def enrich_news(
     groups = sorted(impact, key=lambda g: -g[1])
     flags = list(risk)
 
-    def search(low: Column) -> Column:
-        cells = [_hits(low, risk[f]).alias(f"r{i}") for i, f in enumerate(flags)]
-        return F.struct(*cells, *[_hits(low, words).alias(f"g{i}") for i, (_, _, words) in enumerate(groups)])
+    def search(x: Column) -> Column:
+        cells = [_hits(x["low"], risk[f]).alias(f"r{i}") for i, f in enumerate(flags)]
+        cells += [_hits(x["low"], words).alias(f"g{i}") for i, (_, _, words) in enumerate(groups)]
+        start = F.lit(constants.DEFAULT_BASE_SCORE)
+        for source, value in base.items():
+            start = F.when(x["source"] == source, F.lit(value)).otherwise(start)
+        return F.struct(*cells, start.alias("base"))
+
+    def risks(h: Column) -> Column:
+        found = lambda f: F.size(h[f"r{flags.index(f)}"]) > 0
+        some = lambda names: reduce(lambda a, b: a | b, [found(f) for f in flags if f in names], F.lit(False))
+        level = F.when(some(high), "high").when(some(medium), "medium").when(some(flags), "low").otherwise("none")
+        why = [F.when(found(f), F.concat(F.lit(f + ": "), F.array_join(F.slice(h[f"r{i}"], 1, 3), ", "))) for i, f in enumerate(flags)]
+        return F.struct(
+            h.alias("h"), level.alias("level"), F.array_compact(F.array(*[F.when(found(f), F.lit(f)) for f in flags])).alias("flags"),
+            F.array_compact(F.array(*why)).alias("reasons"),
+        )
+
+    def assess(r: Column) -> Column:
+        h, level = r["h"], r["level"]
+        found = lambda i: F.size(h[f"g{i}"]) > 0
+        rank, total = F.lit(0), h["base"]
+        reasons = [F.concat(F.lit("source_base:"), h["base"].cast("string"))]
+        tier = F.lit("general")
+        for i, (name, weight, _) in enumerate(groups):
+            # Python rounding of the constants: halves go to the even neighbour.
+            applied = F.when(rank == 0, F.lit(weight)).when(rank == 1, F.lit(round(weight * 0.6))).otherwise(F.lit(min(8, round(weight * 0.3))))
+            total = total + F.when(found(i), applied).otherwise(F.lit(0))
+            quoted = F.array_join(F.slice(h[f"g{i}"], 1, 4), ", ")
+            reasons.append(F.when(found(i), F.concat(F.lit(f"{name}+"), applied.cast("string"), F.lit(": "), quoted)))
+            rank = rank + found(i).cast("int")
+        for i, (name, _, _) in reversed(list(enumerate(groups))):
+            tier = F.when(found(i), F.lit(name)).otherwise(tier)
+        alert = level.isin("medium", "high")
+        floor = F.when(level == "high", F.lit(75)).when(level == "medium", F.lit(65)).otherwise(F.lit(0))
+        reasons.append(F.when(alert, F.concat(F.lit("risk_alert_floor:"), floor.cast("string"))))
+        score = F.least(F.greatest(total, floor), F.lit(100))
+        return F.struct(
+            r["flags"].alias("risk_flags"), r["reasons"].alias("risk_reasons"), level.alias("risk_level"), alert.alias("is_risk_alert"),
+            score.alias("news_score"), F.when(alert, F.lit("risk_alert")).otherwise(tier).alias("news_tier"),
+            F.array_compact(F.array(*reasons)).alias("impact_reasons"), ((score >= 65) | alert).alias("is_high_impact"),
+        )
 
     text = combined_text(*[_col(items, c) for c in SEARCH_FIELDS])
-    df = items.withColumn("_h", bind(F.lower(text), search))
-    found = lambda part: F.size(F.col("_h")[part]) > 0
-    listed = lambda part, n: F.array_join(F.slice(F.col("_h")[part], 1, n), ", ")
-    some = lambda names: reduce(lambda a, b: a | b, [found(f"r{i}") for i, f in enumerate(flags) if f in names], F.lit(False))
-    level = (
-        F.when(some(high), F.lit("high")).when(some(medium), F.lit("medium")).when(some(flags), F.lit("low")).otherwise(F.lit("none"))
-    )
-    df = df.withColumns(
-        {
-            "risk_flags": F.array_compact(F.array(*[F.when(found(f"r{i}"), F.lit(f)) for i, f in enumerate(flags)])),
-            "risk_reasons": F.array_compact(
-                F.array(*[F.when(found(f"r{i}"), F.concat(F.lit(f + ": "), listed(f"r{i}", 3))) for i, f in enumerate(flags)])
-            ),
-            "risk_level": level,
-        }
-    ).withColumn("is_risk_alert", F.col("risk_level").isin("medium", "high"))
-    start = F.lit(constants.DEFAULT_BASE_SCORE)
-    for source, value in base.items():
-        start = F.when(F.lower("source") == source, F.lit(value)).otherwise(start)
-    rank, total = F.lit(0), start
-    reasons = [F.concat(F.lit("source_base:"), start.cast("string"))]
-    for i, (name, weight, _) in enumerate(groups):
-        # Python rounding of the constants: halves go to the even neighbour.
-        applied = F.when(rank == 0, F.lit(weight)).when(rank == 1, F.lit(round(weight * 0.6))).otherwise(F.lit(min(8, round(weight * 0.3))))
-        total = total + F.when(found(f"g{i}"), applied).otherwise(F.lit(0))
-        reasons.append(F.when(found(f"g{i}"), F.concat(F.lit(f"{name}+"), applied.cast("string"), F.lit(": "), listed(f"g{i}", 4))))
-        rank = rank + found(f"g{i}").cast("int")
-    alert = F.col("risk_level")
-    floor = F.when(alert == "high", F.lit(75)).when(alert == "medium", F.lit(65)).otherwise(F.lit(0))
-    reasons.append(F.when(alert.isin("high", "medium"), F.concat(F.lit("risk_alert_floor:"), floor.cast("string"))))
-    tier = F.lit("general")
-    for i, (name, _, _) in reversed(list(enumerate(groups))):
-        tier = F.when(found(f"g{i}"), F.lit(name)).otherwise(tier)
-    df = df.withColumns(
-        {
-            "news_score": F.least(F.greatest(total, floor), F.lit(100)),
-            "news_tier": F.when(F.col("is_risk_alert"), F.lit("risk_alert")).otherwise(tier),
-            "impact_reasons": F.array_compact(F.array(*reasons)),
-        }
-    )
-    return df.withColumn("is_high_impact", (F.col("news_score") >= 65) | F.col("is_risk_alert")).drop("_h")
+    given = F.struct(F.lower(text).alias("low"), F.lower("source").alias("source"))
+    df = items.withColumn("_e", bind(bind(bind(given, search), risks), assess))
+    return df.select(*[c for c in items.columns], "_e.*")
 
 
 def merge_duplicates(items: DataFrame, arrival: str, by: Sequence[str] = ("source", "publish_date_bj")) -> DataFrame:
@@ -259,6 +260,18 @@ def page(items: DataFrame, order: Sequence[Column], offset: int = 0, limit: int
     )
 
 
+def page_after(items: DataFrame, order: Sequence[tuple[str, bool]], last: Sequence, limit: int = 200) -> DataFrame:
+    """The page after a known row, for deep paging: the row's key becomes a filter, so earlier rows are never sorted.
+
+    ``order`` lists (column, descending) and ends in a unique column; ``last`` holds that row's values.
+    """
+    cond, equal = F.lit(False), F.lit(True)
+    for (c, desc), v in zip(order, last):
+        cond = cond | (equal & ((F.col(c) < v) if desc else (F.col(c) > v)))
+        equal = equal & (F.col(c) == v)
+    return items.where(cond).orderBy(*[F.desc(c) if desc else F.asc(c) for c, desc in order]).limit(limit)
+
+
 def list_columns(items: DataFrame) -> DataFrame:
     return items.select(*[c for c in LIST_COLUMNS if c in items.columns])
 

@@ -268,7 +268,11 @@ def c23(spark, sf):
     return P.leakage_audit(s.decisions, D.messages(spark, sf), P.sealed(s.picks))
 
 
-@query("x33_content_hash", None)
+@query("x33_content_hash", C.with_ctes(PANEL, EVENTS, SCORES, select="""
+SELECT mode, decision_no, channel, rank, sha256('{"channel":"' || channel || '","code":"' || code || '","decision_no":' || decision_no::varchar || ',"mode":"' || mode || '","rank":' || rank::varchar || '}') AS seal
+FROM picks"""))
 def x33(spark, sf):
-    """Seals of the stored picks; the canonical form is this library's own, so only its stability is checked."""
-    return P.sealed(signals(spark, sf).picks).select("mode", "decision_no", "channel", "rank", "seal_sha256")
+    from tapeline.functions.hashing import content_hash
+
+    picks = signals(spark, sf).picks
+    return picks.select("mode", "decision_no", "channel", "rank", content_hash(picks, ["mode", "decision_no", "channel", "rank", "code"]).alias("seal"))

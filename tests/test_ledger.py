@@ -48,8 +48,8 @@ def test_split_at_exits_equals_the_plain_fold(spark):
         log.append((1, code, side, rng.randint(1, 9), round(rng.uniform(5, 50), 2)))
     log += [(2, "fix", "buy", 5, 10.0), (2, "fix", "upsert", 7, None), (2, "fix", "sell", 7, None), (2, "fix", "buy", 1, 2.0)]
     df = frame(spark, log)
-    assert result(G.holdings(df)) == result(G.holdings(df, bucket=time_bucket(F.col("at"))))
-    segments = G.with_segments(df, time_bucket(F.col("at"))).where("code = 'hot'").select("segment").distinct().count()
+    assert result(G.holdings(df)) == result(G.holdings(df, bucket=time_bucket(F.col("at")), hot_rows=1))
+    segments = G.with_segments(df, time_bucket(F.col("at")), 1).where("code = 'hot'").select("segment").distinct().count()
     assert segments > 50
     want = {}
     for a, c, s, q, p in log:

@@ -50,7 +50,7 @@ def test_long_lower_shadow_then_breakout(spark):
 
 
 def test_high_position_is_rejected(spark):
-    rows = [[10 + i, 10.8 + i, 9.9 + i, 10.7 + i, 9.7 + i, 6e7] for i in range(20)]
+    rows = [[10.0 + i, 10.8 + i, 9.9 + i, 10.7 + i, 9.7 + i, 6e7] for i in range(20)]
     rows.append([30.5, 30.9, 28.5, 30.8, 29.7, 6e7])
     got = pins.evaluate_series(pins.series_panel(as_bars(spark, rows))).where(f"session_no = {len(rows)}").first()
     assert got.lower_shadow_ratio > 0.28 and not got.shape_pass

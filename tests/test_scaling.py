@@ -30,7 +30,7 @@ def events(spark, n=500):
     for i in range(n):
         start += timedelta(seconds=rng.randint(1, 900))
         data.append(("hot" if rng.random() < 0.8 else "cold", start, rng.randint(-5, 9)))
-    df = spark.createDataFrame(data, "k string, ts timestamp, x int").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, x int")
     return df.repartition(4), data
 
 
