@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.functions.codes import normalized_name
@@ -109,12 +109,18 @@ def with_events(features: DataFrame, ann: DataFrame, news: DataFrame) -> DataFra
 
 def next_session_outcomes(picks: DataFrame, bars: DataFrame, last_session_no: Column, threshold: float = 0.5) -> DataFrame:
     """T+1 result of each pick: entry at the decision session, returns on the next market session."""
-    own = bars.select("code", F.col("session_no").alias("decision_no"), F.col("open").alias("_eo"), F.col("close").alias("_ec"))
-    nxt = bars.select(
-        "code", (F.col("session_no") - 1).alias("decision_no"), F.col("session").alias("_nd"),
-        *[F.nullif(F.col(c), F.lit(0.0)).alias(f"_n_{c}") if c in ("open", "close") else F.col(c).alias(f"_n_{c}") for c in ("open", "high", "low", "close")],
+    w = Window.partitionBy("code").orderBy("session_no")
+    prices = F.struct(
+        "session_no", "session", F.nullif(F.col("open"), F.lit(0.0)).alias("open"), "high", "low", F.nullif(F.col("close"), F.lit(0.0)).alias("close")
     )
-    df = picks.join(own, ["code", "decision_no"], "left").join(nxt, ["code", "decision_no"], "left")
+    # The next own bar counts only when it lies on the very next market session.
+    own = bars.select(
+        "code", F.col("session_no").alias("decision_no"), F.col("open").alias("_eo"), F.col("close").alias("_ec"), F.lead(prices).over(w).alias("_x")
+    )
+    adjacent = F.when(F.col("_x.session_no") == F.col("decision_no") + 1, F.col("_x"))
+    own = own.withColumn("_x", adjacent)
+    df = picks.join(own, ["code", "decision_no"], "left")
+    df = df.withColumns({"_nd": F.col("_x.session"), **{f"_n_{c}": F.col(f"_x.{c}") for c in ("open", "high", "low", "close")}})
     entry = F.nullif(F.when(F.col("mode") == "morning", F.col("_eo")).otherwise(F.col("_ec")), F.lit(0.0))
     whole = entry.isNotNull()
     for c in ("open", "high", "low", "close"):

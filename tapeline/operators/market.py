@@ -328,12 +328,14 @@ def screen_page(matches: DataFrame, sort_by: str, ascending: bool = False, limit
     return page.withColumn("total_matches", total.scalar())
 
 
-def vendor_columns(raw: DataFrame, kind: str) -> DataFrame:
+def vendor_columns(raw: DataFrame, kind: str, keep: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
     """Vendor field codes to named columns; text fields stay text, the rest become numbers."""
     mapping = constants.VENDOR_FIELDS[kind]
     return raw.select(
+        *keep,
         *[
             (F.col(f).cast("string") if c in constants.TEXT_FIELDS else num_null_finite(f)).alias(c)
             for c, f in mapping.items()
-        ]
+            if columns is None or c in columns
+        ],
     )

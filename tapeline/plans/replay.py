@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -37,19 +37,27 @@ def market_sessions(bars: DataFrame) -> DataFrame:
     return bars.select("session", "session_no").distinct()
 
 
-def ranked_panel(bars: DataFrame) -> DataFrame:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def _lazy(df: DataFrame, label: str) -> DataFrame:
+    return df
+
+
+def ranked_panel(bars: DataFrame, stage: Stage = _lazy) -> DataFrame:
     """Tradable features of every as-of session with cross-sectional ranks; suspended codes keep their last row."""
     last = bars.groupBy().agg(F.max("session_no"))
-    panel = asof.as_of_panel(replay_features(bars), last.scalar()).where("is_tradable")
+    panel = stage(asof.as_of_panel(replay_features(bars), last.scalar()).where("is_tradable"), "panel")
     return percentile_ranks(panel, ["as_of_no"], ["code"], RANKS)
 
 
 def decision_features(
-    bars: DataFrame, messages: DataFrame, positive: Sequence[str] = constants.POSITIVE_WORDS, risk: Sequence[str] = constants.RISK_WORDS
+    bars: DataFrame, messages: DataFrame, positive: Sequence[str] = constants.POSITIVE_WORDS, risk: Sequence[str] = constants.RISK_WORDS,
+    stage: Stage = _lazy,
 ) -> tuple[DataFrame, DataFrame]:
     """(decisions, features with event counters). Ranks are taken per as-of session and shared by both modes."""
-    decided = asof.decisions(market_sessions(bars))
-    panel = ranked_panel(bars)
+    decided = stage(asof.decisions(market_sessions(bars)), "decisions")
+    panel = ranked_panel(bars, stage)
     names = bars.select("code", "name").distinct()
     ann, news = asof.event_counters(messages, names, decided, positive, risk)
     rows = panel.join(decided.select("mode", "decision_no", "decision_date", "as_of_no"), "as_of_no")
@@ -58,9 +66,12 @@ def decision_features(
 
 def generate_signals(
     bars: DataFrame, messages: DataFrame, channels: Sequence[Channel] = STANDARD_CHANNELS,
-    positive: Sequence[str] = constants.POSITIVE_WORDS, risk: Sequence[str] = constants.RISK_WORDS,
+    positive: Sequence[str] = constants.POSITIVE_WORDS, risk: Sequence[str] = constants.RISK_WORDS, stage: Stage = _lazy,
 ) -> Signals:
-    decided, features = decision_features(bars, messages, positive, risk)
+    """All signals of all decisions. ``stage`` may store the panel, the decisions and the features, which several
+    steps read; pass ``tapeline.session.staged`` to compute each once."""
+    decided, features = decision_features(bars, messages, positive, risk, stage)
+    features = stage(features, "features")
     scores = channel_scores(features, channels)
     picks = channel_picks(scores)
     return Signals(decided, features, scores, picks, consensus(picks), eligible_counts(scores))

@@ -262,10 +262,7 @@ def s16(spark, sf):
         "snapshot_id",
         *[(F.coalesce(F.col(c).cast("string"), F.lit("-")) if c in wanted else F.lit("-")).alias(f) for c, f in fields.items()],
     )
-    out = M.vendor_columns(raw.drop("snapshot_id"), "spot")
-    mapped = raw.select("snapshot_id", *[(F.col(fields[c]) if c in ("code", "name") else numbers.num_null_finite(fields[c])).alias(c) for c in wanted])
-    assert set(wanted) <= set(out.columns)
-    return mapped
+    return M.vendor_columns(raw, "spot", ["snapshot_id"], wanted)
 
 
 SNAP_VALID = C.SNAPSHOTS + f", snaps AS (SELECT *, {C.WINDOW_VALID} AS window_valid FROM snapshots)"

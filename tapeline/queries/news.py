@@ -318,15 +318,20 @@ def a11(spark, sf):
     return raw(spark, sf).groupBy("source").agg(F.count(F.lit(1)).alias("n_items"))
 
 
-@query("c25_news_summary", C.with_ctes(C.NEWS, NORMAL, ENRICH, THEMED, select="""
-SELECT 'source' AS section, source AS name, count(*) AS n FROM enr GROUP BY 2 UNION ALL SELECT 'theme', theme, count(*) FROM themed GROUP BY 2
-UNION ALL SELECT 'risk', risk_level, count(*) FROM enr WHERE risk_level <> 'none' GROUP BY 2 UNION ALL SELECT 'tier', news_tier, count(*) FROM enr GROUP BY 2"""))
+FIRST = "firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, trim(title), url ORDER BY doc_id) AS rn FROM enr WHERE trim(title) <> '') WHERE rn = 1)"
+
+
+@query("c25_news_summary", C.with_ctes(C.NEWS, NORMAL, ENRICH, FIRST, THEMED.replace("FROM enr", "FROM firsts"), select="""
+SELECT 'source' AS section, source AS name, count(*) AS n FROM firsts GROUP BY 2 UNION ALL SELECT 'theme', theme, count(*) FROM themed GROUP BY 2
+UNION ALL SELECT 'risk', risk_level, count(*) FROM firsts WHERE risk_level <> 'none' GROUP BY 2 UNION ALL SELECT 'tier', news_tier, count(*) FROM firsts GROUP BY 2"""))
 def c25(spark, sf):
-    e = N.distinct_items(enriched(spark, sf), "doc_id")
-    e = enriched(spark, sf)
-    count = lambda df, section, col: df.groupBy(F.col(col).alias("name")).agg(F.count(F.lit(1)).alias("n")).withColumn("section", F.lit(section))
-    out = count(e, "source", "source").unionByName(count(N.theme_matches(e, THEMES), "theme", "theme"))
-    return out.unionByName(count(e.where("risk_level <> 'none'"), "risk", "risk_level")).unionByName(count(e, "tier", "news_tier"))
+    """Section counts of the distinct items, in one pass: every item is unpivoted into its sections."""
+    e = N.distinct_items(enriched(spark, sf).select("doc_id", "source", "title", "url", "content", "stock_name", "stock_code", "risk_level", "news_tier"), "doc_id")
+    tag = lambda section, col: F.struct(F.lit(section).alias("section"), F.col(col).alias("name"))
+    risk = F.when(F.col("risk_level") != "none", tag("risk", "risk_level"))
+    plain = e.select(F.explode(F.array_compact(F.array(tag("source", "source"), tag("tier", "news_tier"), risk))).alias("s")).select("s.*")
+    themes = N.theme_matches(e, THEMES).select(F.lit("theme").alias("section"), F.col("theme").alias("name"))
+    return plain.unionByName(themes).groupBy("section", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- keywords --------------------------------------------------------------------------------------------

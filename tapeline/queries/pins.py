@@ -92,12 +92,14 @@ def c07(spark, sf):
 
 
 @query("k03_pin_lists", C.with_ctes(OBS, PINS, select="""
-SELECT session, 'confirmed' AS list, code, row_number() OVER (PARTITION BY session ORDER BY brk DESC, confirmed DESC, score DESC, amount DESC, code) AS rank FROM v WHERE hard AND confirmed
-UNION ALL SELECT session, 'scouts', code, row_number() OVER (PARTITION BY session ORDER BY score DESC, amount DESC, code) FROM v WHERE hard AND NOT confirmed
-UNION ALL SELECT session, 'recent_pin_breakouts', code, row_number() OVER (PARTITION BY session ORDER BY score DESC, amount DESC, code) FROM v WHERE hard AND brk"""))
+SELECT * FROM (
+ SELECT session, 'confirmed' AS list, code, row_number() OVER (PARTITION BY session ORDER BY brk DESC, confirmed DESC, score DESC, amount DESC, code) AS rank FROM v WHERE hard AND confirmed
+ UNION ALL SELECT session, 'scouts', code, row_number() OVER (PARTITION BY session ORDER BY score DESC, amount DESC, code) FROM v WHERE hard AND NOT confirmed
+ UNION ALL SELECT session, 'recent_pin_breakouts', code, row_number() OVER (PARTITION BY session ORDER BY score DESC, amount DESC, code) FROM v WHERE hard AND brk)
+WHERE rank <= 30"""))
 def k03(spark, sf):
     out = pins.evaluate_series(pins.series_panel(D.bars(spark, sf)))
-    return pins.scan_lists(out, limit=1_000_000).select("session", "list", "code", "rank")
+    return pins.scan_lists(out).select("session", "list", "code", "rank")
 
 
 # The series with a live bar spans one more session, seen from the live bar.

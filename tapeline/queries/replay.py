@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions import codes
@@ -10,6 +11,7 @@ from tapeline.plans import replay as P
 from tapeline.queries import ctes as C
 from tapeline.queries.features import REPLAY
 from tapeline.queries.registry import query
+from tapeline.session import staged
 from tapeline.sources import driver_tables as D
 
 # The driver's text is not Chinese, so the title flags use frequent words of its own languages.
@@ -99,7 +101,19 @@ summary AS (SELECT mode, grp AS "group", count(*) AS samples, avg(red_window::in
 
 
 def signals(spark, sf) -> P.Signals:
-    return P.generate_signals(D.bars(spark, sf), D.messages(spark, sf), positive=POSITIVE, risk=RISK)
+    """Signals over stored bars: the monthly bars stand for a table a user has on disk."""
+    return replay(spark, sf)[0]
+
+
+def replay(spark, sf) -> tuple[P.Signals, DataFrame]:
+    bars = staged(D.bars(spark, sf), "bars")
+    return P.generate_signals(bars, D.messages(spark, sf), positive=POSITIVE, risk=RISK, stage=staged), bars
+
+
+def outcomes(spark, sf):
+    s, bars = replay(spark, sf)
+    picks = staged(s.picks, "picks")
+    return P.evaluate(picks, channels.consensus(picks), bars)
 
 
 @query("j03_as_of_panel", C.with_ctes(PANEL, select="SELECT as_of_no, code, session, round(close, 4) AS close FROM panel0"))
@@ -114,7 +128,7 @@ def j03(spark, sf):
 
 @query("w16_percentile_ranks", C.with_ctes(PANEL, select=f"SELECT as_of_no, code, round({R}, 6) AS {R}, round({L}, 6) AS {L}, round({A}, 6) AS {A} FROM panel"))
 def w16(spark, sf):
-    return P.ranked_panel(D.bars(spark, sf)).select("as_of_no", "code", *[F.round(c, 6).alias(c) for c in (R, L, A)])
+    return P.ranked_panel(D.bars(spark, sf), staged).select("as_of_no", "code", *[F.round(c, 6).alias(c) for c in (R, L, A)])
 
 
 @query("j05_visible_messages", C.with_ctes(PANEL, C.MESSAGES.replace(C.NAMES + ",", ""), select="""
@@ -221,8 +235,7 @@ def c05(spark, sf):
 
 @query("j04_next_session_outcomes", C.with_ctes(PANEL, EVENTS, SCORES, select='SELECT mode, decision_no, code, grp AS "group", status, next_open_return, next_high_return, next_low_return, next_close_return, red_window, positive_open, positive_close, no_red FROM outcomes'))
 def j04(spark, sf):
-    s = signals(spark, sf)
-    return P.evaluate(s.picks, s.consensus, D.bars(spark, sf)).drop("entry_price", "next_date")
+    return outcomes(spark, sf).drop("entry_price", "next_date")
 
 
 RATES = ("red_window_rate", "positive_open_rate", "positive_close_rate", "no_red_rate", "mean_open_return", "median_high_return",
@@ -231,8 +244,7 @@ RATES = ("red_window_rate", "positive_open_rate", "positive_close_rate", "no_red
 
 @query("a12_outcome_summary", C.with_ctes(PANEL, EVENTS, SCORES, select='SELECT mode, "group", samples, ' + ", ".join(f"round({r}, 3) AS {r}" for r in RATES) + " FROM summary"))
 def a12(spark, sf):
-    s = signals(spark, sf)
-    out = asof.outcome_summary(P.evaluate(s.picks, s.consensus, D.bars(spark, sf)), ["mode", "group"])
+    out = asof.outcome_summary(outcomes(spark, sf), ["mode", "group"])
     return out.select("mode", "group", "samples", *[F.round(r, 3).alias(r) for r in RATES])
 
 
@@ -240,16 +252,14 @@ def a12(spark, sf):
 def k10(spark, sf):
     from pyspark.sql import Window
 
-    s = signals(spark, sf)
-    out = asof.outcome_summary(P.evaluate(s.picks, s.consensus, D.bars(spark, sf)), ["mode", "group"])
+    out = asof.outcome_summary(outcomes(spark, sf), ["mode", "group"])
     w = Window.partitionBy("mode").orderBy(F.desc("red_window_rate"), F.desc(F.round("median_high_return", 6)), "group")
     return out.select("mode", "group", F.row_number().over(w).alias("place"))
 
 
 @query("c06_outcome_evaluation", C.with_ctes(PANEL, EVENTS, SCORES, select='SELECT mode, "group", samples, round(red_window_rate, 3) AS red_window_rate, round(worst_low_return, 3) AS worst_low_return FROM summary WHERE "group" LIKE \'CONSENSUS%\''))
 def c06(spark, sf):
-    s = signals(spark, sf)
-    records = P.evaluate(s.picks, s.consensus, D.bars(spark, sf)).where(F.col("group").startswith("CONSENSUS"))
+    records = outcomes(spark, sf).where(F.col("group").startswith("CONSENSUS"))
     out = asof.outcome_summary(records, ["mode", "group"])
     return out.select("mode", "group", "samples", F.round("red_window_rate", 3).alias("red_window_rate"), F.round("worst_low_return", 3).alias("worst_low_return"))
 

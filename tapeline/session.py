@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tapeline", cores: str | int = "*", partitions: int | None = None) -> SparkSession:
@@ -42,3 +42,13 @@ def shared_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for staged tables and stream checkpoints."""
     return f"{shared_root(spark)}/tapeline/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that several later steps read to the shared folder and read it back.
+
+    This computes it once, cuts its lineage, and survives the loss of executors.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -180,3 +180,8 @@ def write_social(signals: DataFrame, path: str) -> None:
 def latest_social(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.json(path)
     return df.where(F.col("date") == df.groupBy().agg(F.max("date")).scalar())
+
+
+def save_bars_table(bars: DataFrame, table: str, buckets: int = 512) -> None:
+    """Bars bucketed and sorted by code, so that the feature windows over a code need no shuffle and no sort."""
+    bars.write.mode("overwrite").bucketBy(buckets, "code").sortBy("code", "session_no").saveAsTable(table)

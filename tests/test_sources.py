@@ -78,3 +78,25 @@ def test_later_payload_wins_and_old_dates_are_pruned(spark):
     two = spark.createDataFrame([("i", "new", "2026-06-18 09:00"), ("", "made", "2026-06-18 10:00")], schema)
     got = {r.title: r.id for r in merge_indexes([one, two], "2026-06-04", "2026-06-18").collect()}
     assert got["new"] == "i" and set(got) == {"new", "made"} and len(got["made"]) == 24
+
+
+def test_bucketed_bars_need_no_shuffle(spark, sf_dir):
+    from tapeline.operators.features import objective_features
+    from tapeline.sources.driver_tables import bars
+
+    S.save_bars_table(bars(spark, sf_dir), "bars_bucketed_test", 4)
+    plan = objective_features(spark.table("bars_bucketed_test")).select("code", "ma5")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    spark.sql("DROP TABLE bars_bucketed_test")
+
+
+def test_keyset_page_continues_the_offset_page(spark, sf_dir):
+    from tapeline.operators.news import newest_first, page, page_after, with_item_id
+    from tapeline.queries.news import normalized
+
+    items = with_item_id(normalized(spark, sf_dir)).select("id", "doc_id", "publish_time", "publish_time_bj")
+    first = page(items, newest_first(items), 0, 40).collect()
+    second = page(items, newest_first(items), 40, 20).collect()
+    last = first[-1]
+    keyed = page_after(items, [("publish_time_bj", True), ("id", False)], [last.publish_time_bj, last.id], 20).collect()
+    assert [r.doc_id for r in keyed] == [r.doc_id for r in second]
