@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tapeline.functions import text as X
-from tapeline.functions.times import ntz_text
 from tapeline.operators import features as W
-from tapeline.operators import market as M
 from tapeline.operators import news as N
 from tapeline.operators import social as O
 from tapeline.queries import ctes as C
 from tapeline.queries.features import HIST, ma
 from tapeline.queries.market import SNAP_VALID, snaps
-from tapeline.queries.news import ENRICH, MERGED, NORMAL, enriched, normalized, raw
+from tapeline.queries.news import ENRICH, MERGED, NORMAL, normalized, raw
 from tapeline.queries.registry import query
 from tapeline.session import work_path
 from tapeline.sources import decoders as E
