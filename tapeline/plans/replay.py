@@ -68,10 +68,9 @@ def generate_signals(
     bars: DataFrame, messages: DataFrame, channels: Sequence[Channel] = STANDARD_CHANNELS,
     positive: Sequence[str] = constants.POSITIVE_WORDS, risk: Sequence[str] = constants.RISK_WORDS, stage: Stage = _lazy,
 ) -> Signals:
-    """All signals of all decisions. ``stage`` may store the panel, the decisions and the features, which several
-    steps read; pass ``tapeline.session.staged`` to compute each once."""
+    """All signals of all decisions. ``stage`` may store the panel and the decisions, which several steps read; pass
+    ``tapeline.session.staged`` to compute each once."""
     decided, features = decision_features(bars, messages, positive, risk, stage)
-    features = stage(features, "features")
     scores = channel_scores(features, channels)
     picks = channel_picks(scores)
     return Signals(decided, features, scores, picks, consensus(picks), eligible_counts(scores))
