@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app: str = "tapeline", cores: str | int = "*", partitions: int | None = None) -> SparkSession:
     """A local session for tests and benches; on a cluster use the one you are given."""
     n = os.cpu_count() if cores == "*" else int(cores)
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    if SparkSession.getActiveSession() is None:
+        builder = builder.config("spark.checkpoint.dir", os.environ.get("TAPELINE_SHARED_DIR") or tempfile.mkdtemp(prefix="spark-"))
     return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
+        builder
         .config("spark.sql.shuffle.partitions", str(partitions or n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -30,18 +33,34 @@ def build_session(app: str = "tapeline", cores: str | int = "*", partitions: int
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (unit tests, a laptop) a local folder is made.
+    ``build_session`` names one for its own single-machine sessions; a cluster that names none is an error, as a folder
+    of one machine would lose what other executors write.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("spark.checkpoint.dir names no folder; set it to one that the driver and all executors share")
     return root.rstrip("/")
 
 
+@cache
+def _run_folder(root: str, app: str) -> str:
+    return f"{root}/tapeline/{app}-{uuid.uuid4().hex[:8]}"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return _run_folder(shared_root(spark), spark.sparkContext.applicationId)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Removes all tables and stream folders this application has staged; results that still read them end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for staged tables and stream checkpoints."""
-    return f"{shared_root(spark)}/tapeline/{label}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
