@@ -63,11 +63,11 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a table that several later steps read to the shared folder and read it back.
 
     This computes it once, cuts its lineage, and survives the loss of executors.
     """
     path = work_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
