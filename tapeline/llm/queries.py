@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import chat, language, mixing, packing, quality, secret_scan
+from tapeline.llm import chat, language, mixing, packing, quality, secret_scan, simhash, vector_dedup
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.withColumn("kept", F.col("tail_probability") >= 0.5)
 
 
+def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     names, matrix = language.prototypes(docs.where(~language.held_out(F.col("doc_id"))))
@@ -33,6 +38,26 @@ def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf, "embeddings"))
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN l ON r.other = l.a
+), c AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, c.component_id, c.vec_id = c.component_id AS kept FROM c
+"""
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
@@ -76,5 +101,5 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op5_language, op7_mixing, op8_chat, op9_secrets, op10_packing)}
-CHECKS = {"op8_chat": OP8_SQL}
+QUERIES = {f.__name__: f for f in (op1_quality, op4_simhash, op5_language, op6_vector_dedup, op7_mixing, op8_chat, op9_secrets, op10_packing)}
+CHECKS = {"op6_vector_dedup": OP6_SQL, "op8_chat": OP8_SQL}
