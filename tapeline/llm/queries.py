@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import chat, language, mixing, packing, quality, secret_scan, simhash, vector_dedup
+from tapeline.llm import chat, language, mixing, neighbours, packing, quality, secret_scan, simhash, substring_dedup, vector_dedup
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -26,6 +26,16 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     return scored.withColumn("kept", F.col("tail_probability") >= 0.5)
 
 
+def op2_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf, "documents"), digest=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string").alias("kept_sha256"))
+
+
+def op3_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
@@ -101,5 +111,5 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op4_simhash, op5_language, op6_vector_dedup, op7_mixing, op8_chat, op9_secrets, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_substrings, op3_neighbours, op4_simhash, op5_language, op6_vector_dedup, op7_mixing, op8_chat, op9_secrets, op10_packing)}
 CHECKS = {"op6_vector_dedup": OP6_SQL, "op8_chat": OP8_SQL}
