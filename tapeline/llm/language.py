@@ -177,7 +177,7 @@ def identify(docs: DataFrame, names: list[str], matrix: np.ndarray, keep: tuple[
     letter, and all texts if nothing was learned, get ``und`` and score 0. Repeated rows and null ids come out as they
     came in; texts of any length count whole; an empty table gives an empty one; other columns are ignored.
     """
-    rows = pick(docs, *keep, "text").withColumn("text", F.col("text").cast("string"))
+    rows = pick(docs, *keep, "text").toDF(*keep, "_text").withColumn("_text", F.col("_text").cast("string"))
     kinds, at = dict(rows.dtypes), len(keep)
     centre = matrix.mean(axis=0) if len(names) > 1 else np.zeros(matrix.shape[1])
     near = matrix - centre
@@ -206,12 +206,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-#: Texts whose nearest prototype is farther than this are in none of the learned languages.
-LEAST_SCORE = 0.1
+#: Texts with no score above this are in none of the learned languages: no prototype lies on their side.
+LEAST_SCORE = 0.0
 
 
 def speaks(docs: DataFrame, columns: tuple[str, ...], least: float = LEAST_SCORE) -> DataFrame:
-    """Rows of ``docs`` in a learned language: those with a letter and a score of ``least`` or more."""
+    """Rows of ``docs`` in a learned language: those with a letter and a score above ``least``."""
+    docs = pick(docs, *columns)
     names, matrix = prototypes(docs.where(~held_out(F.col("doc_id"))))
     rows = identify(docs, names, matrix, columns)
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*columns)
+    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > least)).select(*columns)

@@ -65,3 +65,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCH
     took = F.when(F.col("before") + F.col("size") <= F.lit(budget), F.col("size")).otherwise(0)
     first = [F.first(c).alias(c) for c in ("doc_id", *keep, "size", "source_size", "target")]
     return entries.groupBy("row").agg(*first, F.sum(took).alias("taken")).drop("row")
+
+
+def take_mix(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it takes it. Equal rows are taken as often as all of them are."""
+    rows = pick(docs, *columns).withColumn("_row", F.xxhash64(*columns))
+    mixed = mix(rows, keep=("_row",)).where(F.col("taken") > 0)
+    times = mixed.groupBy("doc_id", "_row").agg(F.sum(F.expr("taken div size")).alias("_times"))
+    same = rows["doc_id"].eqNullSafe(times["doc_id"]) & (rows["_row"] == times["_row"])
+    one = rows.join(times, same).drop(times["doc_id"]).drop(times["_row"]).dropDuplicates(["doc_id", "_row"])
+    return one.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*columns)
