@@ -147,7 +147,8 @@ def prototypes(labelled: DataFrame, dimension: int = DIMENSION, texts: int = LEA
     rows = pick(labelled, "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(texts)) / F.count(F.lit(1))).alias("_share"))
     drawn = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)
-    sample = rows.join(share, "lang").where(drawn).select("lang", "text")
+    # a number for each language, where the model that every task gets has a vector for each
+    sample = rows.join(F.broadcast(share), "lang").where(drawn).select("lang", "text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
