@@ -44,10 +44,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCH
     """How many words the mix takes of each row of ``docs`` (doc_id, text, source): size, source_size, target, taken.
 
     Sizes are counts of words. Null and empty texts have size 0 and are not taken; a null source is a source of its own;
-    equal rows are queued each for itself; an empty table gives an empty mix; other columns are ignored but for ``keep``,
-    which are passed on. The shuffle is a hash of doc_id and seed, so runs agree.
+    equal rows are queued each for itself; an empty table gives an empty mix; other columns are ignored but for ``keep``
+    (not text), which are passed on. The shuffle is a hash of doc_id and seed, so runs agree.
     """
-    rows = pick(docs, "doc_id", "source", "text", *keep).select("doc_id", "source", *keep, word_count(F.col("text")).alias("size"))
+    extra = [c for c in keep if c not in ("doc_id", "source", "text")]
+    rows = pick(docs, "doc_id", "source", "text", *extra).select("doc_id", "source", *extra, word_count(F.col("text")).alias("size"))
     shuffled = F.xxhash64(F.lit(seed), "doc_id")
     rows = prefix_sums(rows, [F.col("source"), shuffled, F.col("doc_id"), F.col("size")], {"row": F.lit(1), "served": F.col("size")}, "mix-queues")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("served").alias("queue_at"))
@@ -63,7 +64,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCH
     entries = prefix_sums(entries, [finish, F.col("rank"), F.col("epoch"), F.col("row")], {"before": F.col("size")}, "mix-entries")
     budget = sizes.agg(F.sum("source_size")).first()[0]
     took = F.when(F.col("before") + F.col("size") <= F.lit(budget), F.col("size")).otherwise(0)
-    first = [F.first(c).alias(c) for c in ("doc_id", *keep, "size", "source_size", "target")]
+    first = [F.first(c).alias(c) for c in dict.fromkeys(("doc_id", *keep, "size", "source_size", "target"))]
     return entries.groupBy("row").agg(*first, F.sum(took).alias("taken")).drop("row")
 
 
