@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.operators.scaling import ordered_extreme, ordered_totals, time_bucket
+from tapeline.operators.scaling import ordered_extreme, ordered_totals, range_buckets
 
 MAX_BACKOFF = 3600
 STRIKES = 5
@@ -25,14 +25,15 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
 def failure_streaks(log: DataFrame) -> DataFrame:
     """Consecutive failures after every attempt, with backoff and pause.
 
-    The streak is the running failure count minus its value at the last success; both are taken hour by hour first,
-    so one source may hold most of the log.
+    The streak is the running failure count minus its value at the last success; both are taken inside ranges of about
+    equally many attempts first, so one source may hold most of the log. Of attempts at one moment failures come first.
     """
-    bucket = time_bucket(F.col("ts"))
+    order = ["ts", "ok", "_tie"]
+    df = range_buckets(log, ["source"], ["ts", "ok"], "run-log")
     failed = F.when(F.col("ok"), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-    df = ordered_totals(log, ["source"], bucket, ["ts"], {"_failed": failed})
-    df = ordered_extreme(df, ["source"], bucket, ["ts"], F.when(F.col("ok"), F.col("_failed")), "_at_ok")
-    df = df.withColumn("consecutive_failures", F.col("_failed") - F.coalesce("_at_ok", F.lit(0))).drop("_failed", "_at_ok")
+    df = ordered_totals(df, ["source"], F.col("_bucket"), order, {"_failed": failed})
+    df = ordered_extreme(df, ["source"], F.col("_bucket"), order, F.when(F.col("ok"), F.col("_failed")), "_at_ok")
+    df = df.withColumn("consecutive_failures", F.col("_failed") - F.coalesce("_at_ok", F.lit(0))).drop("_failed", "_at_ok", "_bucket", "_tie")
     failing = ~F.col("ok")
     backoff = F.when(failing, backoff_seconds(F.col("consecutive_failures"), F.col("base_interval")))
     return df.withColumns(
@@ -61,6 +62,19 @@ def collector_state(log: DataFrame) -> DataFrame:
     return state.withColumn("paused_until", F.when(F.col("consecutive_failures") > 0, pause)).drop("_base")
 
 
+def open_attempts(log: DataFrame) -> DataFrame:
+    """The rows that a source's state rests on: those from its last success on, and its last failure.
+
+    ``collector_state`` of these and any later rows is that of the whole log, in whatever order rows come.
+    """
+    known = log.groupBy("source").agg(
+        F.max(F.when(F.col("ok"), F.col("ts"))).alias("_ok_at"), F.max(F.when(~F.col("ok"), F.col("ts"))).alias("_bad_at"), F.max("base_interval").alias("_base")
+    )
+    needed = F.col("_ok_at").isNull() | (F.col("ts") >= F.col("_ok_at")) | (~F.col("ok") & (F.col("ts") == F.col("_bad_at")))
+    rows = log.join(known, "source").where(needed)
+    return rows.withColumn("base_interval", F.col("_base")).select(*log.columns)
+
+
 def run_statistics(log: DataFrame) -> DataFrame:
     """Counts per source and in total (source null), duration, success share and the failed-run rule."""
     runs = log.withColumn("_bad", (F.col("fetched") == 0) & (F.col("saved") == 0) & (F.col("errors") > 0))

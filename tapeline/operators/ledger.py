@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.operators.scaling import ordered_extreme, ordered_totals
+from tapeline.operators.scaling import ordered_extreme, ordered_totals, range_buckets
 
 KEY = ["account", "code"]
 RESULT = "account bigint, code string, segment bigint, name string, quantity bigint, average_cost double, opened_at timestamp_ntz, last_updated_at timestamp_ntz, trades bigint, rejected bigint"
@@ -77,40 +77,33 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([close()], columns=names)
 
 
-HOT_ROWS = 50_000
+def with_segments(trades: DataFrame) -> DataFrame:
+    """``segment`` per trade: how many full exits its key had before it.
 
-
-def with_segments(trades: DataFrame, bucket: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``segment`` per trade of keys with at least ``hot_rows`` trades: how many full exits the key had before it.
-
-    With known quantities the holding is a walk that never drops below zero: the running sum minus its lowest value
-    so far. Smaller keys, and keys with unknown quantities or corrections, are left in one segment. ``bucket`` must
-    follow ``seq``. There can be at most ``rows / hot_rows`` hot keys, so the two lookups stay small.
+    With known quantities the holding is a walk that never drops below zero: the running sum minus its lowest value so
+    far. It is taken in ranges of about equally many trades. A rejected trade does not move it. Keys with corrections, or
+    with buys or sells whose numbers are unknown, have no such walk and stay one segment, which is streamed like any other.
     """
-    known = F.coalesce(F.col("quantity") > 0, F.lit(False)) & ((F.col("side") == "sell") | (F.col("price") > 0))
-    sizes = trades.groupBy(*KEY).agg(
-        F.count(F.lit(1)).alias("_n"), F.min((F.col("side").isin("buy", "sell") & known).cast("int")).alias("_plain")
-    )
-    hot = sizes.where((F.col("_n") >= hot_rows) & (F.col("_plain") == 1)).select(*KEY)
-    cold = trades.join(hot, KEY, "left_anti").select(*trades.columns, F.lit(0).cast("bigint").alias("segment"))
-    df = trades.join(hot, KEY, "left_semi").withColumn("_b0", bucket)
-    step = F.when(F.col("side") == "buy", F.col("quantity")).otherwise(-F.col("quantity"))
-    b = F.col("_b0")
-    df = ordered_totals(df, KEY, b, ["seq"], {"_sum": step})
-    df = ordered_extreme(df, KEY, b, ["seq"], F.col("_sum"), "_low", largest=False)
-    out = (F.col("side") == "sell") & (F.col("_sum") - F.least("_low", F.lit(0)) == 0)
-    df = df.withColumn("_exit", out.cast("bigint"))
-    df = ordered_totals(df, KEY, b, ["seq"], {"_exits": F.col("_exit")})
-    split = df.select(*trades.columns, (F.col("_exits") - F.col("_exit")).alias("segment"))
-    return cold.unionByName(split)
-
-
-def holdings(trades: DataFrame, bucket: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    known = (F.col("quantity").isNotNull() & (F.col("side") == "sell")) | ((F.col("side") == "buy") & F.col("quantity").isNotNull() & F.col("price").isNotNull())
+    plain = trades.groupBy(*KEY).agg(F.min(F.coalesce(known, F.lit(False)).cast("int")).alias("_plain"))
+    df = range_buckets(trades.join(plain, KEY), KEY, ["seq"], "trades")
+    order, bucket = ["seq", "_tie"], F.col("_bucket")
+    rejected = (F.col("quantity") <= 0) | ((F.col("price") <= 0) & (F.col("side") != "sell"))
+    step = F.when(rejected, 0).when(F.col("side") == "buy", F.col("quantity")).otherwise(-F.col("quantity"))
+    df = ordered_totals(df, KEY, bucket, order, {"_sum": step})
+    df = ordered_extreme(df, KEY, bucket, order, F.col("_sum"), "_low", largest=False)
+    out = (F.col("_plain") == 1) & (F.col("side") == "sell") & (F.col("_sum") - F.least("_low", F.lit(0)) == 0)
+    df = df.withColumn("_exit", F.coalesce(out, F.lit(False)).cast("bigint"))
+    df = ordered_totals(df, KEY, bucket, order, {"_exits": F.col("_exit")})
+    return df.select(*trades.columns, (F.col("_exits") - F.col("_exit")).alias("segment"))
+
+
+def holdings(trades: DataFrame) -> DataFrame:
     """Final position per (account, code) and the number of rejected trades.
 
     ``trades``: account, code, name, seq (total order), side buy|sell|upsert, quantity, price, at.
     """
-    df = with_segments(trades, bucket, hot_rows) if bucket is not None else trades.withColumn("segment", F.lit(0).cast("bigint"))
+    df = with_segments(trades)
     slim = df.select(F.col("account").cast("bigint").alias("account"), "code", "segment", "name", "seq", "side", "quantity", "price", "at")
     run = slim.repartition("account", "code", "segment").sortWithinPartitions("account", "code", "segment", "seq")
     folded = run.drop("seq").mapInPandas(_fold, RESULT)

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapeline.session import staged
+
 
 def order_bucket(value: Column, steps: int = 256) -> Column:
     """Integer that never decreases as a double grows: exponent, then ``steps`` slices of the mantissa."""
@@ -69,6 +71,17 @@ def percentile_ranks(
     return df.join(shares, ident, "left")
 
 
+def range_buckets(df: DataFrame, by: Sequence[str], order: Sequence[str], label: str) -> DataFrame:
+    """Adds ``_bucket``, which never decreases along (``by``, ``order``), and ``_tie``, a last sort key that makes the order unique.
+
+    Buckets are ranges that Spark cuts by the rows it samples, so they hold about equally many rows however dense a key or
+    an hour is. The table is stored, as later passes must see the same cuts.
+    """
+    by_all = [*by, *order, "_tie"]
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    return staged(tied.repartitionByRange(*by_all).withColumn("_bucket", F.spark_partition_id().cast("bigint")), label)
+
+
 def time_bucket(ts: Column, seconds: int = 3600) -> Column:
     """Bucket number of a wall-clock time, in Beijing or any other zone."""
     gap = (ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second").cast("decimal(20,6)")
@@ -101,14 +114,14 @@ def ordered_totals(
 
 
 def neighbours(
-    df: DataFrame, by: Sequence[str], bucket: Column, order: str, values: Sequence[str]
+    df: DataFrame, by: Sequence[str], bucket: Column, order: Column | str, values: Sequence[str]
 ) -> DataFrame:
     """Adds ``prev_<v>`` and ``first_<v>`` for each value along ``order`` per key, in two levels."""
-    by = list(by)
+    by, order = list(by), F.col(order) if isinstance(order, str) else order
     base = df.withColumn("_b", bucket)
     record = F.struct(*[F.col(v) for v in values])
     edges = base.groupBy(*by, "_b").agg(
-        F.min_by(record, F.col(order)).alias("_head"), F.max_by(record, F.col(order)).alias("_tail")
+        F.min_by(record, order).alias("_head"), F.max_by(record, order).alias("_tail")
     )
     across = Window.partitionBy(*by).orderBy("_b")
     edges = edges.select(

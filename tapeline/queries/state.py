@@ -40,10 +40,15 @@ def c19(spark, sf):
 
 
 @query("c18_stock_daily", C.with_ctes(C.TICKS, select="""
-SELECT code, market_date, arg_max(price, captured_at) AS price, arg_max(amount, captured_at) AS amount FROM ticks
-WHERE market_date >= (SELECT min(d) FROM (SELECT DISTINCT market_date AS d FROM ticks ORDER BY d DESC LIMIT 20)) AND market_date <= date '2024-01-25' GROUP BY 1, 2"""))
+, t AS (SELECT code, market_date, date_trunc('hour', captured_at) AS captured_at, price, amount FROM ticks),
+snap AS (SELECT market_date, captured_at FROM t GROUP BY 1, 2 HAVING count(DISTINCT code) >= 8),
+recent AS (SELECT market_date, max(captured_at) AS captured_at FROM snap GROUP BY 1 ORDER BY 1 DESC LIMIT 20)
+SELECT code, market_date, max(struct_pack(a := amount, p := price)).p AS price, max(amount) AS amount
+FROM t JOIN recent USING (market_date, captured_at) WHERE market_date <= date '2024-01-25' GROUP BY 1, 2"""))
 def c18(spark, sf):
-    return I.stock_daily(D.ticks(spark, sf), 20, date_to="2024-01-25").select("code", "market_date", "price", "amount")
+    """Hourly snapshots; a day's last hours may have too few codes to be admitted."""
+    ticks = D.ticks(spark, sf).withColumn("captured_at", F.date_trunc("hour", F.col("captured_at")))
+    return I.stock_daily(ticks, 20, date_to="2024-01-25", min_stocks=8).select("code", "market_date", "price", "amount")
 
 
 # --- collectors ------------------------------------------------------------------------------------------
@@ -107,9 +112,7 @@ f AS (SELECT account, code, 0::bigint AS i, 0::bigint AS q, 0.0::double AS c, 0:
 SELECT account, code, q AS quantity, CASE WHEN q > 0 THEN c END AS average_cost, i AS trades, rejected FROM (
  SELECT *, row_number() OVER (PARTITION BY account, code ORDER BY i DESC) AS rn FROM f) WHERE rn = 1""")
 def c17(spark, sf):
-    from tapeline.operators.scaling import time_bucket
-
-    held = G.holdings(D.trades(spark, sf), bucket=time_bucket(F.col("at"), 30 * 86400))
+    held = G.holdings(D.trades(spark, sf))
     return held.select("account", "code", "quantity", "average_cost", "trades", "rejected")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tapeline.operators import asof
+from tapeline.operators.collectors import collector_state
 from tapeline.plans import replay as P
 from tapeline.queries import ctes as C
 from tapeline.queries.news import KW20, LEVEL, NORMAL, PLATES, normalized
@@ -20,7 +21,7 @@ from tapeline.streaming import state as T
 def land(spark, df, files: int | None = None):
     """Write a table as JSON files and open it as a stream."""
     path = work_path(spark, "landing")
-    (df.repartition(files) if files else df).write.json(path)
+    (df if files == 4 else df.repartition(files) if files else df).write.json(path)
     return path
 
 
@@ -35,11 +36,9 @@ def drained(spark, df, mode="append"):
     return spark.read.parquet(out)
 
 
-def updates(spark, df):
-    """Update-mode results kept per batch, so that a replayed batch replaces itself."""
-    out = work_path(spark, "out")
-    S.run_batches(df, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"), work_path(spark, "cp"), "update")
-    return spark.read.parquet(out)
+def shuffled(df):
+    """The rows in an order that has nothing to do with their times, so that batches come late and out of order."""
+    return df.repartition(4, F.xxhash64(*[F.col(c) for c, t in df.dtypes if t in ("string", "bigint", "double", "timestamp")]))
 
 
 def beijing(instant: str):
@@ -72,7 +71,9 @@ def r02(spark, sf):
 
 @query("r03_stream_dedup", C.with_ctes(C.NEWS, NORMAL, select=f"SELECT DISTINCT sha256({KEY}) AS item_hash FROM norm"))
 def r03(spark, sf):
-    return drained(spark, S.distinct_stream(S.with_event_time(stream(spark, news_rows(spark, sf))))).select("item_hash")
+    store = work_path(spark, "distinct")
+    S.keep_distinct(spark, stream(spark, shuffled(news_rows(spark, sf)), 4, 1), store, work_path(spark, "cp"))
+    return spark.read.parquet(store).select("item_hash")
 
 
 @query("r04_late_rows", C.with_ctes(C.NEWS, NORMAL, select=f"SELECT CASE WHEN latency_minutes > 180 THEN 'late' ELSE 'on_time' END AS route, {LEVEL} AS latency_level, count(*) AS n FROM norm GROUP BY 1, 2"))
@@ -88,33 +89,37 @@ def r04(spark, sf):
 SELECT strftime(window_start, '%Y-%m-%d') AS window_start, keyword, count(*) AS n_items FROM w
 WHERE window_start + interval 1 day <= (SELECT max(collected) - interval 10 minute FROM norm) GROUP BY 1, 2 HAVING count(*) > 5"""))
 def r05(spark, sf):
-    """Beijing day windows; a window closes once the watermark has passed its end."""
-    items = S.with_event_time(stream(spark, news_rows(spark, sf)))
-    out = drained(spark, S.keyword_windows(items, PLATES, "1 day", start="16 hours"))
+    """Beijing day windows; a window closes once event time has passed its end by the overlap."""
+    store = work_path(spark, "keywords")
+    S.keep_keyword_counts(spark, stream(spark, shuffled(news_rows(spark, sf)), 4, 1), store, work_path(spark, "cp"), PLATES, window="1 day", start="16 hours")
+    out = S.keyword_windows(spark, store)
     return out.select(F.substring(beijing("window_start"), 1, 10).alias("window_start"), "keyword", "n_items")
 
 
 @query("r06_collector_health_state", C.with_ctes(C.RUN_LOG, STREAK, STATE, select="SELECT source, consecutive_failures, last_error, strftime(last_success_at, '%Y-%m-%d %H:%M:%S') AS last_success_at FROM state"))
 def r06(spark, sf):
-    log = D.run_log(spark, sf).select("source", F.col("ts").cast("timestamp").alias("ts"), "ok", "error")
-    out = updates(spark, T.collector_health(stream(spark, log)))
-    best = out.groupBy("source").agg(F.max_by(F.struct("consecutive_failures", "last_error", "last_success_at"), "last_attempt_at").alias("s"))
-    return best.select("source", "s.consecutive_failures", "s.last_error", F.substring(F.col("s.last_success_at").cast("string"), 1, 19).alias("last_success_at"))
+    log = D.run_log(spark, sf).select("source", F.col("ts").cast("timestamp").alias("ts"), "ok", "error", "base_interval")
+    store = work_path(spark, "health")
+    T.keep_collector_health(spark, stream(spark, shuffled(log), 4, 1), store, work_path(spark, "cp"))
+    state = collector_state(T.latest_version(spark, store).withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+    return state.select("source", "consecutive_failures", "last_error", F.substring(F.col("last_success_at").cast("string"), 1, 19).alias("last_success_at"))
 
 
 @query("r07_holdings_state", CHECKS["c17_holdings"])
 def r07(spark, sf):
     """Positions kept by the stream; the check is that of the batch fold."""
     t = D.trades(spark, sf).select("account", "code", "name", "side", "quantity", "price", F.col("at").cast("timestamp").alias("at"), "seq.*")
-    out = updates(spark, T.holdings_state(stream(spark, t), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]))
-    best = out.groupBy("account", "code").agg(F.max_by(F.struct("quantity", "average_cost", "rejected"), "trades").alias("s"), F.max("trades").alias("trades"))
-    return best.select("account", "code", "s.quantity", "s.average_cost", "trades", "s.rejected")
+    store = work_path(spark, "holdings")
+    T.keep_holdings(spark, stream(spark, shuffled(t), 4, 1), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], store, work_path(spark, "cp"))
+    return T.present_holdings(spark, store).select("account", "code", "quantity", "average_cost", "trades", "rejected")
 
 
 @query("r08_intraday_stream", C.with_ctes(C.TICKS, CHANGES, select="SELECT code, market_date, strftime(captured_at, '%H:%M:%S') AS captured_at, price_change_from_previous, price_change_from_first, amount_change_from_first FROM chg"))
 def r08(spark, sf):
     t = D.ticks(spark, sf).withColumn("captured_at", F.col("captured_at").cast("timestamp"))
-    out = drained(spark, T.intraday_stream(stream(spark, t)))
+    store = work_path(spark, "intraday")
+    T.keep_intraday(spark, stream(spark, shuffled(t), 4, 1), store, work_path(spark, "cp"))
+    out = spark.read.parquet(f"{store}/changes")
     return out.select(
         "code", "market_date", F.substring(F.col("captured_at").cast("string"), 12, 8).alias("captured_at"), "price_change_from_previous", "price_change_from_first",
         "amount_change_from_first",
@@ -124,9 +129,11 @@ def r08(spark, sf):
 @query("r09_stream_upsert", C.with_ctes(C.NEWS, NORMAL, f"m0 AS (SELECT *, {KEY} AS item_key FROM norm)", select="""
 SELECT source, publish_date_bj, item_key, min(collected_at) AS collected_at, array_to_string(list_sort(list_distinct(list(url))), ',') AS urls FROM m0 GROUP BY 1, 2, 3"""))
 def r09(spark, sf):
-    store = work_path(spark, "store")
+    """Batches are appended, then merged into the store by day in one pass."""
+    batches, store = work_path(spark, "batches"), work_path(spark, "store")
     n = news_rows(spark, sf).withColumn("arrival", F.col("doc_id"))
-    S.upsert(spark, stream(spark, n, 3, 1), store, work_path(spark, "cp"))
+    S.append_upserts(stream(spark, shuffled(n), 4, 1), batches, work_path(spark, "cp"))
+    S.compact(spark, batches, store)
     out = spark.read.parquet(store)
     return out.select("source", F.col("publish_date_bj").cast("string").alias("publish_date_bj"), "item_key", "collected_at", F.array_join(F.array_sort("source_urls"), ",").alias("urls"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.functions.codes import clean_code, clean_name
@@ -45,13 +45,25 @@ def write_news_store(items: DataFrame, path: str, by: Sequence[str] = NEWS_KEYS)
     items.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder if it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stored_days(spark: SparkSession, path: str, days: DataFrame, by: Sequence[str] = NEWS_KEYS) -> DataFrame | None:
-    """Stored rows of the given days, or None for a new store."""
-    try:
-        stored = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - the store does not exist yet
+    """Stored rows of the given days, or None for a new store. The range of the days prunes the partitions that are read."""
+    if not path_exists(spark, path):
         return None
-    return stored.withColumns({k: F.col(k).cast("string") for k in by}).join(days, list(by), "left_semi")
+    stored = spark.read.parquet(path)
+    stored = stored.withColumns({k: F.col(k).cast("string") for k in by})
+    lo, hi = days.agg(F.min(by[-1]), F.max(by[-1])).first()
+    return stored.where(F.col(by[-1]).between(lo, hi)).join(days, list(by), "left_semi")
 
 
 def save_news(spark: SparkSession, batch: DataFrame, path: str, staging: str, arrival: str = "arrival") -> None:
@@ -79,6 +91,23 @@ def expired_partitions(store: DataFrame, today: str, retention_days: int, date:
     return dates.where(F.col(date).cast("date") < F.date_sub(F.lit(today).cast("date"), retention_days))
 
 
+def drop_expired(spark: SparkSession, path: str, today: str, retention_days: int, date: str = "publish_date_bj") -> list[str]:
+    """Removes the stored partitions that are older than the retention, and lists their dates; 0 days keep everything.
+
+    Only the dates, one per partition, come to the driver.
+    """
+    if retention_days <= 0:
+        return []
+    gone = expired_partitions(spark.read.parquet(path), today, retention_days, date)
+    dates = sorted(str(r[0]) for r in gone.collect())
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for day in dates:
+        for found in (*(fs.globStatus(fs_path(f"{path}/{date}={day}")) or ()), *(fs.globStatus(fs_path(f"{path}/*/{date}={day}")) or ())):
+            fs.delete(found.getPath(), True)
+    return dates
+
+
 def retained(store: DataFrame, today: str, retention_days: int, date: str = "publish_date_bj") -> DataFrame:
     if retention_days <= 0:
         return store
@@ -111,11 +140,20 @@ def read_snapshots(spark: SparkSession, path: str, multi_line: bool = True) -> D
     return rows.select(*meta, *quote_columns("r."))
 
 
+def _touched(rows: DataFrame):
+    """A writer that replaces the partitions it has rows for, and no other."""
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
 def write_snapshots(snapshots: DataFrame, base: str, by: str = "market_date") -> None:
-    """Valid snapshots to ``base/valid``, the others to ``base/failed``; "latest" is a query, not a copy."""
-    ok = market.is_valid_snapshot()
-    snapshots.where(ok).write.mode("overwrite").partitionBy(by).parquet(f"{base}/valid")
-    snapshots.where(~ok).write.mode("overwrite").partitionBy(by).parquet(f"{base}/failed")
+    """Valid snapshots to ``base/valid``, the others to ``base/failed``; "latest" is a query, not a copy.
+
+    A snapshot that is written again replaces itself; every other one stays.
+    """
+    ok = F.coalesce(market.is_valid_snapshot(), F.lit(False))
+    keyed = snapshots.withColumn("snapshot", F.coalesce("snapshot_id", F.lit("none")))
+    _touched(keyed.where(ok)).partitionBy(by, "snapshot").parquet(f"{base}/valid")
+    _touched(keyed.where(~ok)).partitionBy(by, "snapshot").parquet(f"{base}/failed")
 
 
 def read_stock_archive(spark: SparkSession, pattern: str) -> DataFrame:
@@ -130,15 +168,19 @@ def read_stock_archive(spark: SparkSession, pattern: str) -> DataFrame:
     )
 
 
-def write_archive(rows: DataFrame, path: str, by: str | None = None) -> None:
-    """Gzip NDJSON export; one folder per ``by`` value."""
-    w = rows.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", False)
+def write_archive(rows: DataFrame, path: str, by: str | None = None) -> int:
+    """Gzip NDJSON export; one folder per ``by`` value, of which only those with new rows are replaced. Returns the row count."""
+    seen = Observation()
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    w = _touched(rows) if by else rows.write.mode("overwrite")
+    w = w.option("compression", "gzip").option("ignoreNullFields", False)
     (w.partitionBy(by) if by else w).json(path)
+    return seen.get["rows"]
 
 
 def write_index_archive(items: DataFrame, path: str, version: str = "dataset_version") -> None:
-    """Index rows by item date and dataset version."""
-    items.write.mode("overwrite").partitionBy("market_date", version).parquet(path)
+    """Index rows by item date and dataset version; other dates and versions stay."""
+    _touched(items).partitionBy("market_date", version).parquet(path)
 
 
 def read_index_archive(spark: SparkSession, path: str, date_from: str, date_to: str) -> DataFrame:
@@ -177,9 +219,13 @@ def write_social(signals: DataFrame, path: str) -> None:
     signals.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").json(path)
 
 
-def latest_social(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.json(path)
-    return df.where(F.col("date") == df.groupBy().agg(F.max("date")).scalar())
+def latest_social(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Signals of the newest date; ``schema`` is that of the stored rows, and only the newest folder is read."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = max(f.getPath().getName() for f in fs.listStatus(where) if f.getPath().getName().startswith("date="))
+    rows = spark.read.schema(schema).json(f"{path}/{newest}")
+    return rows.withColumn("date", F.lit(newest.removeprefix("date=")))
 
 
 def save_bars_table(bars: DataFrame, table: str, buckets: int = 512) -> None:

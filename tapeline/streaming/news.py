@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeline.functions.hashing import dedup_hash
 from tapeline.functions.times import iso_to_beijing, latency_level
 from tapeline.operators.keywords import extract_keywords, item_text
-from tapeline.session import work_path
-from tapeline.sources.stores import save_news
+from tapeline.operators.news import merge_duplicates
+from tapeline.sources.stores import path_exists, write_news_store
 
 OVERLAP = "10 minutes"
 
@@ -25,29 +25,59 @@ def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int |
     return reader.json(path)
 
 
+def event_time(column: str) -> Column:
+    """A Beijing time text as an instant."""
+    return F.convert_timezone(F.lit("Asia/Shanghai"), F.current_timezone(), iso_to_beijing(column)).cast("timestamp")
+
+
 def with_event_time(items: DataFrame, column: str = "collected_at", delay: str = OVERLAP) -> DataFrame:
     """Collection time as event time (an instant), with the overlap the incremental sync uses."""
-    local = F.convert_timezone(F.lit("Asia/Shanghai"), F.current_timezone(), iso_to_beijing(column))
-    return items.withColumn("event_time", local.cast("timestamp")).withWatermark("event_time", delay)
+    return items.withColumn("event_time", event_time(column)).withWatermark("event_time", delay)
+
+
+def keep_distinct(spark: SparkSession, items: DataFrame, store: str, checkpoint: str) -> None:
+    """The first copy of every item, however long ago an equal one came: new keys are those that no earlier batch stored."""
 
+    def write(batch: DataFrame, number: int) -> None:
+        fresh = batch.withColumn("item_hash", dedup_hash()).dropDuplicates(["item_hash"])
+        if path_exists(spark, store):
+            seen = spark.read.parquet(store).where(F.col("batch") < number).select("item_hash")
+            fresh = fresh.join(seen, "item_hash", "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{store}/batch={number}")
 
-def distinct_stream(items: DataFrame) -> DataFrame:
-    """Each item once while its key is within the watermark."""
-    return items.withColumn("item_hash", dedup_hash()).dropDuplicatesWithinWatermark(["item_hash"])
+    run_batches(items, write, checkpoint)
 
 
-def keyword_windows(
-    items: DataFrame, plates: Mapping[str, Sequence[str]], window: str = "1 hour", slide: str | None = None, threshold: int = 5, top_n: int = 20,
-    start: str | None = None,
+def keyword_counts(
+    items: DataFrame, plates: Mapping[str, Sequence[str]], window: str = "1 hour", slide: str | None = None, top_n: int = 20, start: str | None = None
 ) -> DataFrame:
-    """Keyword counts per tumbling (or sliding) window of event time, above the threshold.
+    """Keyword counts per tumbling (or sliding) window of event time.
 
     Windows are aligned to UTC; ``start`` moves them (``"16 hours"`` makes day windows Beijing days).
     """
     words = items.select("event_time", F.explode(extract_keywords(item_text(items), top_n, plates=plates)).alias("keyword"))
     win = F.window("event_time", window, slide, start)
     counts = words.groupBy(win.alias("w"), "keyword").agg(F.count(F.lit(1)).alias("n_items"))
-    return counts.where(F.col("n_items") > threshold).select(F.col("w.start").alias("window_start"), "keyword", "n_items")
+    return counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "keyword", "n_items")
+
+
+def keep_keyword_counts(spark: SparkSession, items: DataFrame, store: str, checkpoint: str, plates: Mapping[str, Sequence[str]], **windows) -> None:
+    """Counts of each batch, and how far its event time reaches; late rows count like any other."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        timed = batch.withColumn("event_time", event_time("collected_at"))
+        keyword_counts(timed, plates, **windows).write.mode("overwrite").parquet(f"{store}/counts/batch={number}")
+        timed.agg(F.max("event_time").alias("reached")).write.mode("overwrite").parquet(f"{store}/reached/batch={number}")
+
+    run_batches(items, write, checkpoint)
+
+
+def keyword_windows(spark: SparkSession, store: str, threshold: int = 5, delay: str = OVERLAP) -> DataFrame:
+    """Counts above the threshold of the windows that event time has passed by ``delay``; later rows still correct them."""
+    reached = spark.read.parquet(f"{store}/reached").agg(F.max("reached")).first()[0]
+    counts = spark.read.parquet(f"{store}/counts").where(F.col("window_end") <= F.lit(reached) - F.expr(f"INTERVAL {delay}"))
+    total = counts.groupBy("window_start", "keyword").agg(F.sum("n_items").alias("n_items"))
+    return total.where(F.col("n_items") > threshold)
 
 
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -75,13 +105,19 @@ def split_late(items: DataFrame, path: str, checkpoint: str, limit_minutes: floa
     run_batches(items, write, checkpoint)
 
 
-def upsert(spark: SparkSession, items: DataFrame, store: str, checkpoint: str, arrival: str = "arrival") -> None:
-    """Every micro-batch merged into the date partitions it touches. Merging a batch twice changes nothing."""
+def append_upserts(items: DataFrame, store: str, checkpoint: str) -> None:
+    """Every micro-batch as a version of its own; ``upserted`` merges them when they are read, ``compact`` for good."""
+    run_batches(items, lambda batch, number: batch.write.mode("overwrite").parquet(f"{store}/batch={number}"), checkpoint)
 
-    def write(batch: DataFrame, _: int) -> None:
-        save_news(spark, batch, store, work_path(spark, "staging"), arrival)
 
-    run_batches(items, write, checkpoint)
+def upserted(spark: SparkSession, store: str, arrival: str = "arrival") -> DataFrame:
+    """One row per item: the first that arrived, with all sources and addresses of the later ones."""
+    return merge_duplicates(spark.read.parquet(store).drop("batch"), arrival)
+
+
+def compact(spark: SparkSession, store: str, target: str, arrival: str = "arrival") -> None:
+    """Merged items by day, in one pass over what was appended."""
+    write_news_store(upserted(spark, store, arrival), target)
 
 
 def visible_to_decisions(messages: DataFrame, decisions: DataFrame, stamp: str = "stamp") -> DataFrame:

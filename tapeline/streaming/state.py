@@ -1,103 +1,81 @@
-"""Keyed streaming state: collector health, holdings and intraday changes.
+"""Stored state that micro-batches keep: collector health, holdings and intraday changes.
 
-State per key is a few scalars. A micro-batch is ordered inside its key; its size is set by the source's rate limit.
+Results do not depend on how rows are dealt to batches, nor on their order: each batch merges its rows into a stored table
+and recomputes only what they touch. A batch writes under its own number, so one that is replayed replaces itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from tapeline.operators.collectors import open_attempts
+from tapeline.operators.intraday import intraday_changes
+from tapeline.operators.ledger import holdings
+from tapeline.sources.stores import delete_path, path_exists
+from tapeline.streaming.news import run_batches
 
-from tapeline.operators.ledger import apply_trade
 
-HEALTH = "source string, consecutive_failures bigint, last_attempt_at timestamp, last_success_at timestamp, last_failure_at timestamp, last_error string"
-HEALTH_STATE = "failures bigint, attempt timestamp, success timestamp, failure timestamp, error string"
+def latest_version(spark: SparkSession, store: str) -> DataFrame:
+    """The table of the highest batch number under ``store``."""
+    df = spark.read.option("recursiveFileLookup", False).parquet(store)
+    return df.where(F.col("batch") == df.agg(F.max("batch")).first()[0]).drop("batch")
 
 
-def _ordered(parts: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
-    frames = list(parts)
-    return pd.concat(frames).sort_values(by, kind="stable") if frames else pd.DataFrame()
+def keep_collector_health(spark: SparkSession, log: DataFrame, store: str, checkpoint: str) -> None:
+    """Keeps the attempts that every source's state rests on; ``collector_state`` of ``latest_version`` is the state."""
 
+    def write(batch: DataFrame, number: int) -> None:
+        before = f"{store}/batch={number - 1}"
+        rows = batch.unionByName(spark.read.schema(batch.schema).parquet(before)) if path_exists(spark, before) else batch
+        open_attempts(rows).write.mode("overwrite").parquet(f"{store}/batch={number}")
+        delete_path(spark, f"{store}/batch={number - 2}")
 
-def _none(v):
-    return None if v is None or pd.isna(v) else v
+    run_batches(log, write, checkpoint)
 
 
-def collector_health(log: DataFrame) -> DataFrame:
-    """State of every source after each micro-batch (update mode). ``log``: source, ts, ok, error."""
+def keep_holdings(spark: SparkSession, trades: DataFrame, order: list[str], store: str, checkpoint: str, slots: int = 16) -> None:
+    """Appends trades to a log and recomputes the positions of the keys a batch has trades of.
 
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        failures, attempt, success, failure, error = state.get if state.exists else (0, None, None, None, None)
-        for row in _ordered(parts, ["ts"]).itertuples(index=False):
-            attempt = row.ts
-            if row.ok:
-                failures, success, error = 0, row.ts, None
-            else:
-                failures, failure, error = failures + 1, row.ts, row.error
-        now = (failures, _none(attempt), _none(success), _none(failure), error)
-        state.update(now)
-        yield pd.DataFrame([(key[0], *now)], columns=[c.split()[0] for c in HEALTH.split(", ")])
+    ``store/positions`` holds each key's position by batch, the highest being the present one. The log is divided by a
+    hash of the key, so that a batch reads only the slots it touches.
+    """
+    slot = F.pmod(F.xxhash64("account", "code"), F.lit(slots)).cast("int")
 
-    return log.groupBy("source").applyInPandasWithState(step, HEALTH, HEALTH_STATE, "update", GroupStateTimeout.NoTimeout)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("slot", slot).repartition("slot").write.mode("overwrite").partitionBy("slot").parquet(f"{store}/trades/batch={number}")
+        log = spark.read.parquet(f"{store}/trades").where(F.col("batch") <= number)
+        keys = log.where(F.col("batch") == number).select("slot", "account", "code").distinct()
+        touched = log.join(keys, ["slot", "account", "code"], "left_semi").withColumn("seq", F.struct(*order))
+        held = holdings(touched.withColumn("at", F.col("at").cast("timestamp_ntz")))
+        held.write.mode("overwrite").parquet(f"{store}/positions/batch={number}")
 
+    run_batches(trades, write, checkpoint)
 
-POSITION = "account bigint, code string, name string, quantity bigint, average_cost double, trades bigint, rejected bigint"
-POSITION_STATE = "held boolean, name string, quantity bigint, cost double, opened timestamp, updated timestamp, trades bigint, rejected bigint"
 
+def present_holdings(spark: SparkSession, store: str) -> DataFrame:
+    """The newest position of every key."""
+    rows = spark.read.parquet(f"{store}/positions")
+    fields = [c for c in rows.columns if c not in ("account", "code", "batch")]
+    return rows.groupBy("account", "code").agg(F.max_by(F.struct(*fields), "batch").alias("p")).select("account", "code", "p.*")
 
-def holdings_state(trades: DataFrame, order: list[str]) -> DataFrame:
-    """Position per (account, code) after each micro-batch (update mode); trades must arrive in order."""
 
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        position, trades_n, rejected = None, 0, 0
-        if state.exists:
-            held, name, quantity, cost, opened, updated, trades_n, rejected = state.get
-            if held:
-                position = {"name": name, "quantity": quantity, "cost": cost, "opened": opened, "updated": updated}
-        for row in _ordered(parts, order).itertuples(index=False):
-            quantity = None if pd.isna(row.quantity) else int(row.quantity)
-            price = None if pd.isna(row.price) else float(row.price)
-            position, accepted = apply_trade(position, row.side, quantity, price, row.name, row.at)
-            trades_n, rejected = trades_n + 1, rejected + (not accepted)
-        p = position or {}
-        fields = (p.get("name"), p.get("quantity"), p.get("cost"), _none(p.get("opened")), _none(p.get("updated")), trades_n, rejected)
-        state.update((position is not None, *fields))
-        quantity = p.get("quantity", 0 if position is None else None)
-        row = (key[0], key[1], p.get("name"), quantity, p.get("cost"), trades_n, rejected)
-        yield pd.DataFrame([row], columns=[c.split()[0] for c in POSITION.split(", ")])
+def keep_intraday(spark: SparkSession, ticks: DataFrame, store: str, checkpoint: str, keep_days: int | None = None) -> None:
+    """Appends ticks by day and rewrites the changes of the days a batch touches; days that expire are dropped.
 
-    return trades.groupBy("account", "code").applyInPandasWithState(step, POSITION, POSITION_STATE, "update", GroupStateTimeout.NoTimeout)
+    With ``keep_days``, days that lie that many days or more before the newest one lose their ticks, and their changes
+    stay as they are: later ticks of such days are ignored.
+    """
 
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").partitionBy("market_date").parquet(f"{store}/ticks/batch={number}")
+        log = spark.read.parquet(f"{store}/ticks").where(F.col("batch") <= number)
+        days = log.where(F.col("batch") == number).select("market_date").distinct()
+        if keep_days is not None and (newest := log.agg(F.max("market_date")).first()[0]):
+            first = F.date_sub(F.lit(newest), keep_days - 1)
+            days = days.where(F.col("market_date") >= first)
+        rows = log.drop("batch").join(days, "market_date", "left_semi")
+        changes = intraday_changes(rows)
+        changes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("market_date").parquet(f"{store}/changes")
 
-CHANGE = (
-    "code string, market_date date, captured_at timestamp, price double, amount double, price_change_from_previous double, "
-    "amount_change_from_previous double, price_change_from_first double, amount_change_from_first double"
-)
-CHANGE_STATE = "first_price double, first_amount double, last_price double, last_amount double"
-
-
-def intraday_stream(ticks: DataFrame) -> DataFrame:
-    """Changes of every new observation against the previous and the first one of its day (append mode)."""
-
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        df = _ordered(parts, ["captured_at"])
-        if df.empty:
-            return
-        seen = state.exists
-        first_p, first_a, last_p, last_a = state.get if seen else (float(df.price.iloc[0]), float(df.amount.iloc[0]), None, None)
-        prev_p, prev_a = df.price.shift(1), df.amount.shift(1)
-        if seen:
-            prev_p.iloc[0], prev_a.iloc[0] = last_p, last_a
-        state.update((first_p, first_a, float(df.price.iloc[-1]), float(df.amount.iloc[-1])))
-        yield pd.DataFrame(
-            {
-                "code": key[0], "market_date": key[1], "captured_at": df.captured_at, "price": df.price, "amount": df.amount,
-                "price_change_from_previous": (df.price - prev_p).round(4), "amount_change_from_previous": (df.amount - prev_a).round(2),
-                "price_change_from_first": (df.price - first_p).round(4), "amount_change_from_first": (df.amount - first_a).round(2),
-            }
-        )
-
-    return ticks.groupBy("code", "market_date").applyInPandasWithState(step, CHANGE, CHANGE_STATE, "append", GroupStateTimeout.NoTimeout)
+    run_batches(ticks, write, checkpoint)

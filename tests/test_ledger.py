@@ -6,7 +6,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tapeline.operators import ledger as G
-from tapeline.operators.scaling import time_bucket
 from tapeline.queries import all_queries
 
 SCHEMA = "account bigint, code string, name string, seq bigint, side string, quantity bigint, price double, at timestamp"
@@ -34,7 +33,7 @@ def test_weighted_cost_partial_and_full_sell(spark):
 
 def test_unknown_quantity_rejects_adds_and_partial_sells(spark):
     log = [(1, "a", "upsert", None, None), (1, "a", "buy", 10, 5.0), (1, "a", "sell", 5, None), (1, "b", "sell", 5, None), (1, "c", "buy", -1, 3.0)]
-    got = result(G.holdings(frame(spark, log), bucket=time_bucket(F.col("at"))))
+    got = result(G.holdings(frame(spark, log)))
     assert got[(1, "a")] == (None, None, 2)
     assert got[(1, "b")] == (0, None, 1) and got[(1, "c")] == (0, None, 1)
 
@@ -48,8 +47,7 @@ def test_split_at_exits_equals_the_plain_fold(spark):
         log.append((1, code, side, rng.randint(1, 9), round(rng.uniform(5, 50), 2)))
     log += [(2, "fix", "buy", 5, 10.0), (2, "fix", "upsert", 7, None), (2, "fix", "sell", 7, None), (2, "fix", "buy", 1, 2.0)]
     df = frame(spark, log)
-    assert result(G.holdings(df)) == result(G.holdings(df, bucket=time_bucket(F.col("at")), hot_rows=1))
-    segments = G.with_segments(df, time_bucket(F.col("at")), 1).where("code = 'hot'").select("segment").distinct().count()
+    segments = G.with_segments(df).where("code = 'hot'").select("segment").distinct().count()
     assert segments > 50
     want = {}
     for a, c, s, q, p in log:
