@@ -49,23 +49,25 @@ def visible_messages(messages: DataFrame, decisions_: DataFrame, stamp: str = "s
     return dated.join(wanted, "_day").where(inside).drop("_day", "lower")
 
 
+#: Most characters of a name's beginning that texts are met by.
+BLOCK = 8
+
+
 def name_mentions(items: DataFrame, names: DataFrame, text: str = "title", min_length: int = 3) -> DataFrame:
     """Which names occur inside which texts: (item columns, code, norm_name), one row per pair.
 
-    The texts are cut into the substring lengths that names really have, so the join is an exact equality on the
-    whole name; no candidate pair is formed that is not a match.
+    A text is split into characters once, and its distinct runs of as many characters as the shortest name has, at most
+    ``BLOCK``, are joined with the beginnings of the names; what meets is then searched for as a whole. Work is linear in the
+    length of a text.
     """
     known = names.select("code", normalized_name("name").alias("norm_name")).where(F.length("norm_name") >= min_length).distinct()
-    lengths = known.groupBy().agg(F.array_sort(F.collect_set(F.length("norm_name"))))
-    cut = items.withColumn("_text", normalized_name(text)).withColumn("_lens", lengths.scalar())
-    grams = F.flatten(
-        F.transform(
-            F.filter("_lens", lambda n: n <= F.length("_text")),
-            lambda n: F.transform(F.sequence(F.lit(1), F.length("_text") - n + 1), lambda i: F.substring(F.col("_text"), i, n)),
-        )
-    )
-    grams_of = cut.withColumn("norm_name", F.explode(F.array_distinct(grams))).drop("_lens", "_text")
-    return grams_of.join(known, "norm_name")
+    block = min(BLOCK, known.agg(F.min(F.length("norm_name"))).first()[0] or BLOCK)
+    known = known.withColumn("_block", F.substring("norm_name", 1, block))
+    cut = items.withColumn("_text", normalized_name(text)).withColumn("_chars", F.split("_text", ""))
+    starts = F.when(F.length("_text") >= block, F.sequence(F.lit(1), F.length("_text") - block + 1))
+    runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_chars", i, F.lit(block)), "")))
+    met = cut.withColumn("_block", F.explode(runs)).drop("_chars").join(known, "_block")
+    return met.where(F.contains("_text", "norm_name")).drop("_block", "_text")
 
 
 def event_counters(messages: DataFrame, names: DataFrame, decisions_: DataFrame, positive, risk) -> tuple[DataFrame, DataFrame]:

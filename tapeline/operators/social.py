@@ -60,3 +60,8 @@ def extract_signals(
     )
     usable = ok & F.col("trade_value").isin("usable_signal", "watch_only")
     return df.withColumn("usable_for_trading", usable).drop("_t", "_hard", "_emotion", "_risk")
+
+
+def fetch_status_counts(raw: DataFrame) -> DataFrame:
+    """How many texts each source delivered, by fetch status; a missing status is ``unknown``."""
+    return raw.groupBy("source_name", F.coalesce("fetch_status", F.lit("unknown")).alias("fetch_status")).agg(F.count(F.lit(1)).alias("n"))

@@ -106,10 +106,19 @@ def evaluate(signals_picks: DataFrame, signals_consensus: DataFrame, bars: DataF
     return asof.next_session_outcomes(first.unionByName(agreed), bars, last.scalar())
 
 
-def leakage_audit(decisions: DataFrame, messages: DataFrame, sealed_picks: DataFrame) -> DataFrame:
-    """Violations, empty when the replay is clean."""
-    seen = asof.visible_messages(messages.select("stamp"), decisions)
-    late = seen.where(F.col("stamp") > F.col("cutoff")).select("mode", "decision_no", F.lit("future message").alias("violation"))
+def visible_maxima(messages: DataFrame, decisions: DataFrame) -> DataFrame:
+    """(mode, decision_no, latest): the newest message that each decision saw, to be stored with its signals."""
+    return asof.visible_messages(messages.select("stamp"), decisions).groupBy("mode", "decision_no").agg(F.max("stamp").alias("latest"))
+
+
+def leakage_audit(decisions: DataFrame, maxima: DataFrame, sealed_picks: DataFrame) -> DataFrame:
+    """Violations in stored signals, empty when the replay is clean.
+
+    ``decisions``: mode, decision_no, cutoff and the stored as_of_no; ``maxima``: what ``visible_maxima`` stored; ``sealed_picks``:
+    what ``sealed`` stored. All three are audited as they are found.
+    """
+    late = maxima.join(decisions.select("mode", "decision_no", "cutoff"), ["mode", "decision_no"]).where(F.col("latest") > F.col("cutoff"))
+    late = late.select("mode", "decision_no", F.lit("future message").alias("violation"))
     anchor = decisions.where(
         ((F.col("mode") == "morning") & (F.col("as_of_no") >= F.col("decision_no")))
         | ((F.col("mode") == "overnight") & (F.col("as_of_no") != F.col("decision_no")))

@@ -272,10 +272,22 @@ def p22(spark, sf):
     )
 
 
-@query("c23_leakage_audit", "SELECT 'x' AS mode, 0 AS decision_no, '' AS violation WHERE false")
+@query("c23_leakage_audit", C.with_ctes(PANEL, EVENTS, SCORES, select="""
+SELECT d.mode, d.decision_no::int AS decision_no, 'future message' AS violation FROM decisions d
+ WHERE d.decision_no % 5 = 0 AND EXISTS (SELECT 1 FROM messages m WHERE m.stamp BETWEEN d.lower AND d.cutoff)
+UNION ALL SELECT mode, decision_no::int, 'wrong market anchor' FROM decisions WHERE decision_no % 7 = 3
+UNION ALL SELECT mode, decision_no::int, 'seal mismatch' FROM picks WHERE rank = 2 AND decision_no % 3 = 1"""))
 def c23(spark, sf):
+    """Stored signals with planted faults: late messages, shifted anchors and picks changed after they were sealed."""
     s = signals(spark, sf)
-    return P.leakage_audit(s.decisions, D.messages(spark, sf), P.sealed(s.picks))
+    no = F.col("decision_no")
+    maxima = staged(P.visible_maxima(D.messages(spark, sf), s.decisions), "maxima")
+    late = F.when(no % 5 == 0, F.expr("INTERVAL 5 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    decided = s.decisions.withColumn("as_of_no", F.col("as_of_no") + F.when(no % 7 == 3, 1).otherwise(0))
+    picks = staged(P.sealed(s.picks), "sealed")
+    picks = picks.withColumn("code", F.when((F.col("rank") == 2) & (no % 3 == 1), F.concat("code", F.lit("x"))).otherwise(F.col("code")))
+    out = P.leakage_audit(decided, maxima.withColumn("latest", F.col("latest") + late), picks)
+    return out.withColumn("decision_no", F.col("decision_no").cast("int"))
 
 
 @query("x33_content_hash", C.with_ctes(PANEL, EVENTS, SCORES, select="""

@@ -13,7 +13,7 @@ from tapeline.queries.features import HIST, ma
 from tapeline.queries.market import SNAP_VALID, snaps
 from tapeline.queries.news import ENRICH, MERGED, NORMAL, normalized, raw
 from tapeline.queries.registry import query
-from tapeline.session import work_path
+from tapeline.session import staged, work_path
 from tapeline.sources import decoders as E
 from tapeline.sources import driver_tables as D
 from tapeline.sources import html as P
@@ -74,7 +74,8 @@ SELECT CASE WHEN spot_ok AND stock_count > 1000 AND tradeable_stock_count > 500
 def s04(spark, sf):
     path = work_path(spark, "routed")
     s = snaps(spark, sf).withColumn("year", F.substring("market_date", 1, 4))
-    S.write_snapshots(s, path, by="year")
+    for batch in (0, 1):  # the second write keeps what the first one stored
+        S.write_snapshots(s.where(F.xxhash64("path") % 2 == batch if batch == 0 else F.xxhash64("path") % 2 != 0), path, f"b{batch}", by="year")
     one = lambda r: spark.read.parquet(f"{path}/{r}").groupBy().agg(F.count(F.lit(1)).alias("n")).withColumn("route", F.lit(r))
     return one("valid").unionByName(one("failed"))
 
@@ -91,11 +92,14 @@ def s05(spark, sf):
     return df.select("session", "code", "name", F.round("close", 6).alias("close"), "volume")
 
 
-@query("s06_feature_export", C.with_ctes(HIST, select=f"SELECT code, session::varchar AS session, {ma(5)} AS ma5, n AS history_points FROM h"))
+@query("s06_feature_export", C.with_ctes(HIST, select=f"SELECT code, session::varchar AS session, {ma(5)} AS ma5, n AS history_points, count(*) OVER () AS exported FROM h"))
 def s06(spark, sf):
     path = work_path(spark, "export")
-    S.write_archive(W.objective_features(D.bars(spark, sf)).select("code", F.col("session").cast("string").alias("session"), "ma5", "history_points"), path)
-    return spark.read.schema("code string, session string, ma5 double, history_points int").json(path)
+    rows = W.objective_features(D.bars(spark, sf)).select("code", F.col("session").cast("string").alias("session"), "ma5", "history_points")
+    rows = staged(rows, "features").withColumn("year", F.substring("session", 1, 4))
+    exported = sum(S.write_archive(rows.where(c), path, by="year") for c in (F.col("year") < "1995", F.col("year") >= "1995"))
+    out = spark.read.schema("code string, session string, ma5 double, history_points int, year string").json(path)
+    return out.drop("year").withColumn("exported", F.lit(exported).cast("bigint"))
 
 
 @query("s07_index_archive", C.with_ctes(C.NEWS, NORMAL, ENRICH, select="""
@@ -103,7 +107,8 @@ SELECT id, arg_max(title, row(publish_date_bj, lang, doc_id)) AS title, max(publ
 def s07(spark, sf):
     path = work_path(spark, "index")
     n = N.with_item_id(normalized(spark, sf)).withColumns({"market_date": F.col("publish_date_bj"), "dataset_version": F.col("lang")})
-    S.write_index_archive(n, path)
+    for early in (True, False):  # the second write has other dates and keeps the first one's
+        S.write_index_archive(n.where((F.col("market_date") <= "2024-01-12") == early), path)
     return S.read_index_archive(spark, path, "2024-01-08", "2024-01-20").select("id", "title", "market_date")
 
 
@@ -119,13 +124,6 @@ def s08(spark, sf):
     return dates.join(closed.withColumn("closed", F.lit(True)), "date", "left").withColumn("closed", F.coalesce("closed", F.lit(False)))
 
 
-@query("s18_social_store", "SELECT doc_id, lang AS date FROM documents WHERE lang = (SELECT max(lang) FROM documents)")
-def s18(spark, sf):
-    path = work_path(spark, "social")
-    S.write_social(D.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("date")), path)
-    return S.latest_social(spark, path).select("doc_id", F.col("date").cast("string").alias("date"))
-
-
 @query("s20_watchlist", C.with_ctes(C.BARS, select="SELECT DISTINCT code, name, 'live' AS status, session_no AS rank FROM bars WHERE session_no = (SELECT max(session_no) FROM bars)"))
 def s20(spark, sf):
     """A research watchlist of the newest session, written as a document and read back as rows."""
@@ -141,14 +139,17 @@ def s20(spark, sf):
 SELECT DISTINCT 'removed' AS what, publish_date_bj FROM norm WHERE publish_date_bj::date < date '2024-01-26' - 15 UNION ALL SELECT DISTINCT 'kept', publish_date_bj FROM norm WHERE publish_date_bj::date >= date '2024-01-26' - 15"""))
 def s21(spark, sf):
     n = normalized(spark, sf)
-    gone = S.expired_partitions(n, "2024-01-26", 15).select(F.lit("removed").alias("what"), "publish_date_bj")
-    return gone.unionByName(S.retained(n, "2024-01-26", 15).select(F.lit("kept").alias("what"), "publish_date_bj").distinct())
+    path = work_path(spark, "retention")
+    S.write_news_store(n, path)
+    gone = spark.createDataFrame([("removed", d) for d in S.drop_expired(spark, path, "2024-01-26", 15)], "what string, publish_date_bj string")
+    kept = spark.read.parquet(path).select(F.lit("kept").alias("what"), F.col("publish_date_bj").cast("string").alias("publish_date_bj"))
+    return gone.unionByName(kept.distinct())
 
 
-@query("s23_driver_tables", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in ("customer", "documents", "events", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")))
+@query("s23_driver_tables", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in D.TABLES))
 def s23(spark, sf):
     out = None
-    for t in ("customer", "documents", "events", "lineitem", "nation", "orders", "pages", "part", "region", "supplier"):
+    for t in D.TABLES:
         one = D.table(spark, sf, t).groupBy().agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit(t))
         out = one if out is None else out.unionByName(one)
     return out
@@ -248,12 +249,8 @@ def s19(spark, sf):
         F.struct(title.alias("display_title"), F.struct(F.concat(F.lit("by "), "lang").alias("nickname")).alias("user")).alias("note_card"),
     )
     # One response per document, as pages of a search come one by one.
-    one = d.select("lang", "doc_id", F.to_json(F.struct(F.struct(F.array(note).alias("items")).alias("data"))).alias("response"))
-    found = E.note_references(one.select(F.concat_ws("@", "lang", F.col("doc_id").cast("string")).alias("page"), F.col("lang").alias("source_name"), "response").withColumnRenamed("page", "_p").drop("_p"), limit=1_000_000)
-    from tapeline.operators.scaling import top_n
-
-    ordered = found.withColumn("no", F.substring("id", 2, 20).cast("bigint")).drop("rank")
-    return top_n(ordered, ["source_name"], [F.asc("no")], 5).select("source_name", "rank", "id")
+    one = d.select(F.col("lang").alias("source_name"), "doc_id", F.to_json(F.struct(F.struct(F.array(note).alias("items")).alias("data"))).alias("response"))
+    return E.note_references(one, page="doc_id").select("source_name", "rank", "id")
 
 
 # --- HTML ------------------------------------------------------------------------------------------------
@@ -333,6 +330,25 @@ def c14(spark, sf):
     return s.select("doc_id", F.array_join("mentioned_themes", ",").alias("themes"), "hard_logic_score", "emotion_score", "signal_type", "crowding_risk", "trade_value")
 
 
+@query("s18_social_store", C.with_ctes(SOC, select="""
+SELECT doc_id, lang AS date, hard_logic_score, CASE WHEN NOT ok THEN 'unknown' WHEN nr > 0 THEN 'risk' WHEN len(themes) > 0 OR nh > 0 THEN 'opinion' ELSE 'sentiment' END AS signal_type,
+ md5(text) AS text_md5 FROM soc2 WHERE lang = (SELECT max(lang) FROM documents)"""))
+def s18(spark, sf):
+    """Signals with their texts, one folder per language, which stands for a date; written in two parts."""
+    path = work_path(spark, "social")
+    raw_rows = social_raw(spark, sf).join(D.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("date")), "doc_id")
+    signals = O.extract_signals(raw_rows, THEMES, WORDS).select("doc_id", "date", "signal_type", "hard_logic_score", "raw_text", "mentioned_themes")
+    for part in (F.col("date") < "es", F.col("date") >= "es"):
+        S.write_social(signals.where(part), path)
+    out = S.latest_social(spark, path, "doc_id bigint, signal_type string, hard_logic_score int, raw_text string, mentioned_themes array<string>")
+    return out.select("doc_id", "date", "hard_logic_score", "signal_type", F.md5(F.col("raw_text").cast("binary")).alias("text_md5"))
+
+
+@query("a11_fetch_status", C.with_ctes(SOC, select="SELECT source, CASE WHEN doc_id % 9 = 0 THEN 'fetch_failed' ELSE 'success' END AS fetch_status, count(*) AS n FROM soc GROUP BY 1, 2"))
+def a11_fetch(spark, sf):
+    return O.fetch_status_counts(social_raw(spark, sf)).select(F.col("source_name").alias("source"), "fetch_status", "n")
+
+
 @query("x23_stock_codes", """
 SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(list_filter(string_split_regex(text, '[^0-9]+'), lambda x: regexp_full_match(x, '[0-36-9][0-9]{5}') AND x[1] NOT IN ('4','5','7')
  AND (x[1] IN ('0','1','2','3','6','8','9'))), lambda x: x))), ',') AS codes FROM documents""")

@@ -118,28 +118,28 @@ def normalize_flash_news(rows: DataFrame, title: str = "title", summary: str = "
     return out.where(F.col("title") != "")
 
 
-def note_references(responses: DataFrame, doc: str = "response", source_name: str = "source_name", limit: int = 5) -> DataFrame:
-    """Relevant notes of social search responses, at most ``limit`` per source in response order."""
+def note_references(responses: DataFrame, doc: str = "response", source_name: str = "source_name", limit: int = 5, page: str | None = None) -> DataFrame:
+    """Relevant notes of social search responses, at most ``limit`` per source in response order; ``page`` orders responses."""
     card = (
         "struct<display_title: string, title: string, desc: string, tag_list: array<struct<name: string>>, corner_tag_info: array<struct<text: string>>, "
         "user: struct<nickname: string, nick_name: string>>"
     )
     shape = f"data struct<items: array<struct<id: string, model_type: string, xsec_token: string, note_card: {card}>>>"
     rows = responses.withColumn("_items", F.from_json(doc, shape)["data"]["items"])
-    rows = rows.select(source_name, F.posexplode("_items").alias("_i", "n"))
+    rows = rows.select(source_name, (F.col(page) if page else F.lit(0)).alias("_page"), F.posexplode("_items").alias("_i", "n"))
     c = "n.note_card."
     author = first_text(c + "user.nickname", c + "user.nick_name")
     title = first_text(c + "display_title", c + "title")
     time_text = F.array_join(F.transform(F.col(c + "corner_tag_info"), lambda x: x["text"]), " ")
     tags = F.array_join(F.transform(F.col(c + "tag_list"), lambda x: x["name"]), " ")
     text = F.concat_ws(" ", *[F.nullif(F.coalesce(x, F.lit("")), F.lit("")) for x in (title, F.col(c + "desc"), tags, time_text, author)])
-    rows = rows.select(source_name, "_i", "n", author.alias("_author"), title.alias("title"), text.alias("_text"), time_text.alias("publish_time_text"))
+    rows = rows.select(source_name, "_page", "_i", "n", author.alias("_author"), title.alias("title"), text.alias("_text"), time_text.alias("publish_time_text"))
     filled = lambda x: F.coalesce(F.col(x), F.lit("")) != ""
     kept = rows.where(
         (F.col("n.model_type") == "note") & filled("n.id") & filled("n.xsec_token") & market_relevant("_text")
         & ((F.coalesce(source_name, F.lit("")) == "") | (F.col("_author") == "") | F.col("_author").contains(F.col(source_name)))
     )
-    best = top_n(kept, [source_name], [F.asc("_i"), F.asc("n.id")], limit)
+    best = top_n(kept, [source_name], [F.asc("_page"), F.asc("_i"), F.asc("n.id")], limit)
     url = F.concat(F.lit("https://www.xiaohongshu.com/explore/"), F.col("n.id"), F.lit("?xsec_token="), F.col("n.xsec_token"), F.lit("&xsec_source=pc_search"))
     return best.select(
         source_name, "rank", F.col("n.id").alias("id"), F.col("n.xsec_token").alias("xsec_token"), url.alias("url"), "title",

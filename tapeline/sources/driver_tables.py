@@ -15,6 +15,11 @@ from tapeline.operators.scaling import ordered_totals, time_bucket
 CODE_PREFIXES = ("000", "600", "300", "002", "688", "601", "003", "920", "603", "001")
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -145,15 +145,14 @@ def _touched(rows: DataFrame):
     return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
-def write_snapshots(snapshots: DataFrame, base: str, by: str = "market_date") -> None:
+def write_snapshots(snapshots: DataFrame, base: str, batch: str, by: str = "market_date") -> None:
     """Valid snapshots to ``base/valid``, the others to ``base/failed``; "latest" is a query, not a copy.
 
-    A snapshot that is written again replaces itself; every other one stays.
+    Snapshots never change once they are written. ``batch`` names the write: repeated, it replaces itself and nothing else.
     """
     ok = F.coalesce(market.is_valid_snapshot(), F.lit(False))
-    keyed = snapshots.withColumn("snapshot", F.coalesce("snapshot_id", F.lit("none")))
-    _touched(keyed.where(ok)).partitionBy(by, "snapshot").parquet(f"{base}/valid")
-    _touched(keyed.where(~ok)).partitionBy(by, "snapshot").parquet(f"{base}/failed")
+    for kind, rows in (("valid", snapshots.where(ok)), ("failed", snapshots.where(~ok))):
+        rows.write.mode("overwrite").partitionBy(by).parquet(f"{base}/{kind}/batch={batch}")
 
 
 def read_stock_archive(spark: SparkSession, pattern: str) -> DataFrame:
