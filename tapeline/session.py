@@ -5,14 +5,38 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def package_root() -> str:
+    return os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _let_workers_import() -> None:
+    """Python workers of a local session find this package whatever folder it was started from."""
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if package_root() not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([package_root(), *filter(None, paths)])
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors of a cluster that does not have it installed."""
+    with tempfile.TemporaryDirectory() as folder:
+        with zipfile.ZipFile(packed := os.path.join(folder, "tapeline.zip"), "w") as z:
+            for here, _, names in os.walk(os.path.join(package_root(), "tapeline")):
+                for name in names:
+                    if name.endswith(".py"):
+                        z.write(full := os.path.join(here, name), os.path.relpath(full, package_root()))
+        spark.sparkContext.addPyFile(packed)
+
+
 def build_session(app: str = "tapeline", cores: str | int = "*", partitions: int | None = None) -> SparkSession:
     """A local session for tests and benches; on a cluster use the one you are given."""
     n = os.cpu_count() if cores == "*" else int(cores)
+    _let_workers_import()
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     if SparkSession.getActiveSession() is None:
         builder = builder.config("spark.checkpoint.dir", os.environ.get("TAPELINE_SHARED_DIR") or tempfile.mkdtemp(prefix="spark-"))
