@@ -41,11 +41,19 @@ def with_collectors(health: DataFrame, state: DataFrame) -> DataFrame:
     return health.join(state.select("source", "last_success_at", "consecutive_failures", "last_error", "paused_until"), "source", "full_outer")
 
 
-def health_report(items: DataFrame, state: DataFrame, now: Column) -> DataFrame:
-    """Freshness of every source: last success counts first, the newest stored item otherwise."""
+def health_report(items: DataFrame, state: DataFrame, now: Column, frames: DataFrame | None = None, key: str = "snapshot_id") -> DataFrame:
+    """Freshness of every source: last success counts first, the newest stored item otherwise.
+
+    ``frames`` (snapshot_id, frame, ok, error) is the frame status of snapshots; the report then also has the names of the
+    frames that the newest one lacks.
+    """
     both = with_collectors(source_health(items), state)
     ref = F.coalesce("last_success_at", iso_to_beijing("newest_collected_at"))
-    return staleness(both.withColumn("_ref", ref), now, "_ref").drop("_ref").fillna(0, ["files", "items", "consecutive_failures"])
+    report = staleness(both.withColumn("_ref", ref), now, "_ref").drop("_ref").fillna(0, ["files", "items", "consecutive_failures"])
+    if frames is None:
+        return report
+    lacking = missing_frames(frames, frames.agg(F.max(key)).scalar(), key)
+    return report.withColumn("missing_frames", lacking.agg(F.array_sort(F.collect_set("frame"))).scalar())  # a snapshot has a few frames
 
 
 def missing_frames(status: DataFrame, newest_snapshot: Column, key: str = "snapshot_id") -> DataFrame:

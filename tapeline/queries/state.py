@@ -257,10 +257,14 @@ def j13(spark, sf):
 @query("c22_health_report", C.with_ctes(C.NEWS, NORMAL, SH, C.RUN_LOG, JOINED, select=f"""
 SELECT source, coalesce(files, 0) AS files, coalesce(items, 0) AS items, coalesce(consecutive_failures, 0) AS consecutive_failures,
  round(date_diff('microsecond', coalesce(last_success_at, newest), timestamp '{HNOW}') / 60000000.0, 2) AS age_minutes, coalesce(files, 0) = 0 AS missing,
- round(date_diff('microsecond', coalesce(last_success_at, newest), timestamp '{HNOW}') / 60000000.0, 2) > {LIMIT} AS is_stale FROM joined"""))
+ round(date_diff('microsecond', coalesce(last_success_at, newest), timestamp '{HNOW}') / 60000000.0, 2) > {LIMIT} AS is_stale,
+ (SELECT array_to_string(list_sort(list_distinct(list(lpad((o_orderkey % 6)::varchar, 2, '0')))), ',') FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders) AND o_orderstatus <> 'F') AS frames FROM joined"""))
 def c22(spark, sf):
-    r = H.health_report(normalized(spark, sf), mapped_state(spark, sf), F.lit(HNOW).cast("timestamp_ntz"))
-    return r.select("source", "files", "items", "consecutive_failures", "age_minutes", "missing", "is_stale")
+    """Orders of one day stand for the frames of one snapshot; those that are not fulfilled failed."""
+    o = D.table(spark, sf, "orders")
+    frames = o.select(F.col("o_orderdate").alias("snapshot_id"), F.lpad((F.col("o_orderkey") % 6).cast("string"), 2, "0").alias("frame"), (F.col("o_orderstatus") == "F").alias("ok"), F.lit("late").alias("error"))
+    r = H.health_report(normalized(spark, sf), mapped_state(spark, sf), F.lit(HNOW).cast("timestamp_ntz"), frames)
+    return r.select("source", "files", "items", "consecutive_failures", "age_minutes", "missing", "is_stale", F.array_join("missing_frames", ",").alias("frames"))
 
 
 @query("a24_sources_summary", C.with_ctes(C.NEWS, NORMAL, ENRICH, select="""
@@ -339,6 +343,41 @@ def c28(spark, sf):
     return A.archive_manifest(normalized(spark, sf), snaps)
 
 
+@query("c28_version_drift", C.with_ctes(C.NEWS, NORMAL, C.TICKS, """
+d AS (SELECT publish_date_bj AS market_date, count(*) AS n, max(doc_id) AS newest FROM norm GROUP BY 1),
+s AS (SELECT market_date::varchar AS market_date FROM ticks GROUP BY 1)""", select="""
+SELECT market_date, coalesce(newest % 3 <> 0, false) AS version_drift FROM d FULL JOIN s USING (market_date)"""))
+def c28_drift(spark, sf):
+    """Days whose stored version is not the published one; a published version lags where the newest id is no multiple of 3."""
+    n = normalized(spark, sf)
+    snaps = D.ticks(spark, sf).select(F.col("market_date").cast("string").alias("market_date"), F.col("code").alias("snapshot_id"), "captured_at")
+    newest = n.groupBy(F.col("publish_date_bj").alias("market_date")).agg(F.max("doc_id").alias("v"))
+    versions = newest.select("market_date", F.col("v").cast("string").alias("dataset_version"), (F.col("v") - F.col("v") % 3).cast("string").alias("published_version"))
+    return A.archive_manifest(n, snaps, versions).select("market_date", "version_drift")
+
+
+@query("c28_session_context", C.with_ctes(C.TICKS, select="""
+, r AS (SELECT market_date::varchar AS market_date, count(*) AS snapshot_count FROM ticks GROUP BY 1 ORDER BY 1 DESC LIMIT 15)
+SELECT market_date, snapshot_count, (SELECT min(market_date) FROM r) AS history_from, (SELECT max(market_date) FROM r) AS history_to FROM r"""))
+def c28_context(spark, sf):
+    """The last fifteen market days and the range they span."""
+    snaps = D.ticks(spark, sf).select(F.col("market_date").cast("string").alias("market_date"), F.col("code").alias("snapshot_id"), "captured_at")
+    return A.session_context(A.archive_manifest(normalized(spark, sf), snaps)).select("market_date", "snapshot_count", "history_from", "history_to")
+
+
+@query("c11_date_overlap", C.with_ctes(C.NEWS, NORMAL, ENRICH, UPSERT, """
+kept AS (SELECT DISTINCT id, publish_date_bj FROM early WHERE publish_date_bj BETWEEN '2024-01-10' AND '2024-01-24'),
+mark AS (SELECT ((SELECT max(publish_date_bj) FROM kept)::date - 1)::varchar AS d),
+delta AS (SELECT DISTINCT id FROM enr WHERE publish_date_bj BETWEEN '2024-01-10' AND '2024-01-24' AND publish_date_bj >= (SELECT d FROM mark))""", select="""
+SELECT id, id IN (SELECT id FROM delta) AS fetched FROM (SELECT id FROM kept UNION SELECT id FROM delta)"""))
+def c11_overlap(spark, sf):
+    """Merged rows where the server cannot filter by collection time: everything from the day before the newest date on."""
+    early, _ = payloads(spark, sf)
+    available = N.with_item_id(normalized(spark, sf)).withColumn("fetched", F.lit(True))
+    merged, _ = A.incremental_sync(early, available, "2024-01-24", supports_collected_after=False)
+    return merged.select("id", F.coalesce("fetched", F.lit(False)).alias("fetched"))
+
+
 # --- history ---------------------------------------------------------------------------------------------
 
 COVER = """uni AS (SELECT count(DISTINCT code) AS n, greatest(5, floor(count(DISTINCT code) * 0.9::double))::bigint AS required FROM bars),

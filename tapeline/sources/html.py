@@ -22,11 +22,17 @@ PAGE = (
 
 
 class _Reader(HTMLParser):
-    """Collects what the extractors need from one page. Text belongs to every open element around it."""
+    """Collects what the extractors need from one page. Text belongs to every open element around it.
+
+    All text is kept once, in order, and an open element remembers where its own begins; only elements that an extractor
+    may ask for are joined when they close.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, list[str]]] = []
+        self.open: list[tuple[str, str, int]] = []
+        self.texts: list[str] = []
+        self.stamped, self.silent = -1, 0
         self.hrefs: list[str] = []
         self.metas: dict[str, str] = {}
         self.found: dict[str, list[str]] = {k: [] for k in ("title", "h1", "p", "time", "tag", "headline")}
@@ -44,7 +50,8 @@ class _Reader(HTMLParser):
                 self._close_until("p", only_top=True)
             if tag == "div" and css == "news-item":
                 self.items.append({"title": None, "time": None, "content": [], "tags": []})
-            self.open.append((tag, css, []))
+            self.silent += tag in ("script", "style")
+            self.open.append((tag, css, len(self.texts)))
 
     def _close_until(self, tag: str, only_top: bool = False) -> None:
         if only_top:
@@ -62,13 +69,16 @@ class _Reader(HTMLParser):
         self._close_until(tag)
 
     def handle_data(self, data):
-        if any(t in ("script", "style") for t, _, _ in self.open):
+        if self.silent:
             return
-        for _, _, parts in self.open:
-            parts.append(data)
-
-    def _finish(self, tag: str, css: str, parts: list[str]) -> None:
-        text = " ".join("".join(parts).split())
+        if "发布时间" in data:
+            self.stamped = len(self.texts)
+        self.texts.append(data)
+
+    def _finish(self, tag: str, css: str, start: int) -> None:
+        self.silent -= tag in ("script", "style")
+        asked = tag in ("title", "h1", "h2", "h3", "p", "a", "time", "span") or "title" in css or css == "brief" or (tag == "div" and self.stamped >= start)
+        text = " ".join("".join(self.texts[start:]).split()) if asked else ""
         if not text:
             return
         inside = lambda *names: any(t in names or any(n in c for n in names) for t, c, _ in self.open)
