@@ -61,9 +61,11 @@ def test_suspended_code_keeps_its_last_row(spark, sf_dir):
 def test_replay_is_clean_and_audit_finds_tampering(spark, sf_dir):
     signals = P.generate_signals(D.bars(spark, sf_dir), D.messages(spark, sf_dir), positive=("tion",), risk=("zz",))
     sealed = P.sealed(signals.picks)
-    messages = D.messages(spark, sf_dir)
-    assert P.leakage_audit(signals.decisions, messages, sealed).count() == 0
+    maxima = P.visible_maxima(D.messages(spark, sf_dir), signals.decisions)
+    assert maxima.count() > 0 and P.leakage_audit(signals.decisions, maxima, sealed).count() == 0
     forged = sealed.withColumn("score", F.col("score") + 1)
-    assert P.leakage_audit(signals.decisions, messages, forged).where("violation = 'seal mismatch'").count() == sealed.count()
+    assert P.leakage_audit(signals.decisions, maxima, forged).where("violation = 'seal mismatch'").count() == sealed.count()
     early = signals.decisions.withColumn("as_of_no", F.col("decision_no"))
-    assert P.leakage_audit(early, messages, sealed).where("violation = 'wrong market anchor'").count() > 0
+    assert P.leakage_audit(early, maxima, sealed).where("violation = 'wrong market anchor'").count() > 0
+    late = maxima.withColumn("latest", F.col("latest") + F.expr("INTERVAL 9 DAYS"))
+    assert P.leakage_audit(signals.decisions, late, sealed).where("violation = 'future message'").count() == maxima.count()
