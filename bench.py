@@ -11,7 +11,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tapeline.queries import all_queries  # noqa: E402
-from tapeline.session import build_session  # noqa: E402
+from tapeline.session import build_session, clear_work  # noqa: E402
 
 HEADLINE = (
     "c01_objective_features", "c02_snapshot_derivation", "c03_overnight_scores", "k02_channel_top3", "a12_outcome_summary", "w16_percentile_ranks",
@@ -36,6 +36,7 @@ def main() -> None:
             start = time.perf_counter()
             queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
+        clear_work(spark)
         seconds[name] = round(statistics.median(runs), 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     print(json.dumps({"metric": "headline_total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": sf_dir.rstrip("/").split("sf")[-1]}))

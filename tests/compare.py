@@ -59,7 +59,7 @@ def main(pattern: str, sf_dir: str = "/root/testdata/sf0.01") -> int:
     import re
 
     from __spark_entry__ import oracle_sql, queries
-    from tapeline.session import build_session
+    from tapeline.session import build_session, clear_work
 
     spark = build_session(cores=8)
     spark.sparkContext.setLogLevel("ERROR")
@@ -81,6 +81,7 @@ def main(pattern: str, sf_dir: str = "/root/testdata/sf0.01") -> int:
                 note = f"no sql, {fn(spark, sf_dir).count()} rows"
         except Exception as exc:  # noqa: BLE001
             note = f"ERROR {type(exc).__name__}: {str(exc)[:700]}"
+        clear_work(spark)
         failed += not note.startswith(("ok", "no sql"))
         print(f"{name:40s} {time.time() - start:6.2f}s  {note}", flush=True)
     print("failed:", failed)
