@@ -12,6 +12,18 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of texts that go to a Python worker at once.
+BATCH_ROWS = 2000
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``BATCH_ROWS`` rows: texts are long, and workers have little memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns and no other. Extra columns are left out, even where their names differ in case only."""
     flat = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])

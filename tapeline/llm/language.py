@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import pick
+from tapeline.llm.common import bound_batches, pick
 
 DIMENSION = 512
 GRAM = 3
@@ -144,7 +144,7 @@ def prototypes(labelled: DataFrame, dimension: int = DIMENSION, texts: int = LEA
     A hash of the text decides which about ``texts`` texts of each language are learned from; texts without letters are
     not. Partitions add up their own profiles first; there is one row for each language and partition after that.
     """
-    rows = pick(labelled, "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = bound_batches(pick(labelled, "text", "lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(texts)) / F.count(F.lit(1))).alias("_share"))
     drawn = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)
     # a number for each language, where the model that every task gets has a vector for each
@@ -178,7 +178,7 @@ def identify(docs: DataFrame, names: list[str], matrix: np.ndarray, keep: tuple[
     letter, and all texts if nothing was learned, get ``und`` and score 0. Repeated rows and null ids come out as they
     came in; texts of any length count whole; an empty table gives an empty one; other columns are ignored.
     """
-    rows = pick(docs, *keep, "text").toDF(*keep, "_text").withColumn("_text", F.col("_text").cast("string"))
+    rows = bound_batches(pick(docs, *keep, "text")).toDF(*keep, "_text").withColumn("_text", F.col("_text").cast("string"))
     kinds, at = dict(rows.dtypes), len(keep)
     centre = matrix.mean(axis=0) if len(names) > 1 else np.zeros(matrix.shape[1])
     near = matrix - centre

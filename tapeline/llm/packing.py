@@ -17,12 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import pick
+from tapeline.llm.common import bound_batches, pick
 from tapeline.session import staged
 
 WINDOW = 4096
-#: Words whose ids a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers at most: those of late, and as many that were asked for before them.
+REMEMBERED = 300_000
 _WORDS: dict[str, WordIds] = {}
 
 
@@ -37,6 +37,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.before: dict[bytes, bytes] = {}
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.kind = "H" if self.whole.get_vocab_size() <= 65536 else "I"
@@ -54,12 +55,13 @@ class WordIds(dict):
         return array(self.kind, [t.id for t in self.model.tokenize(text if text.isascii() else word.decode("latin-1").translate(self.shown))]).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
+        ids = self.before.get(word)
+        if 2 * len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
-        ids = None
-        if self.plain:
+        if ids is None and self.plain:
             body, end = (word[:-1], word[-1:]) if word[-1:] in (b".", b",") else (word, b"")
-            if ids := dict.get(self, body) if end and body[-1:].isalpha() else None:
+            if ids := self.get(body) or self.before.get(body) if end and body[-1:].isalpha() else None:
                 ids += self[end]
             elif ids := self._letters(body):
                 ids += self[end] if end else b""
@@ -122,7 +124,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                     at += n[-1]
                 yield pa.record_batch([rows.column(0), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array([part] * len(n), pa.int32()), pa.array(start, pa.int64())], ["doc_id", "ids", "n", "_part", "_start"])
 
-    return pick(docs, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, TOKENS)
+    return bound_batches(pick(docs, "doc_id", "text")).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, TOKENS)
 
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"

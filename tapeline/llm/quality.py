@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import pick
+from tapeline.llm.common import bound_batches, pick
 
 BITS = 18
 #: Rated documents that the model is fitted on, in expectation: the bound of the sample.
@@ -138,7 +138,7 @@ def grade(docs: DataFrame, model: Model, select: int, keep: tuple[str, ...] = ("
     Null and empty texts have no words and get what the thresholds alone say. Repeated rows and null ids come out as they
     came in; whole texts count, of any length; an empty table gives an empty one; other columns are ignored.
     """
-    rows = pick(docs, *keep, "text").withColumn("text", F.col("text").cast("string"))
+    rows = bound_batches(pick(docs, *keep, "text")).withColumn("text", F.col("text").cast("string"))
     kinds, at = dict(rows.dtypes), len(keep)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))  # fixed size: 2^BITS numbers
 

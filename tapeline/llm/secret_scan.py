@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import pick
+from tapeline.llm.common import bound_batches, pick
 
 # The base patterns and their least lengths, in the order in which kinds are listed.
 _either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -137,14 +137,14 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     Null and empty texts have no spans; each row is scanned for itself, so repeated rows and null ids come out as they
     came in; texts of any length are scanned whole; an empty table gives an empty one; other columns are ignored.
     """
-    rows = pick(docs, *keep, "text").withColumn("text", F.col("text").cast("string"))
+    rows = bound_batches(pick(docs, *keep, "text")).withColumn("text", F.col("text").cast("string"))
     kinds = dict(rows.dtypes)
     return rows.mapInArrow(_scan, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), f"spans {SPANS}"]))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The rows of documents with every secret masked; n_chars follows. Nulls, empty texts and repeats stay as they are."""
-    rows = pick(docs, "doc_id", "text", "lang", "source", "n_chars").withColumn("n_chars", F.col("n_chars").cast("bigint"))
+    rows = bound_batches(pick(docs, "doc_id", "text", "lang", "source", "n_chars")).withColumn("n_chars", F.col("n_chars").cast("bigint"))
     return rows.mapInArrow(_mask, rows.schema)
 
 

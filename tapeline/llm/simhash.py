@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.llm.buckets import in_buckets
-from tapeline.llm.common import pick
+from tapeline.llm.common import bound_batches, pick
 from tapeline.llm.components import components, star_forest
 from tapeline.session import staged
 
@@ -57,7 +57,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns of ``keep`` and ``fp``, the fingerprint as a signed number, of each row of ``docs`` (text)."""
-    rows = pick(docs, *keep, "text").withColumn("text", F.col("text").cast("string"))
+    rows = bound_batches(pick(docs, *keep, "text")).withColumn("text", F.col("text").cast("string"))
     kinds, at = dict(rows.dtypes), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
