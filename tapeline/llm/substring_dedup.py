@@ -8,8 +8,9 @@
    run for each different content stays; where an anchor has several, some of their windows may be equal.
 3. Those contexts are cut from the texts and meet by anchor again. They are trimmed to what another context of the anchor
    shares, and the suffixes of what is left are ordered by linear grouping (``suffixes``). Equal windows are neighbours
-   in that order; all but the earliest are repeated. Anchors with more than ``CELL`` contexts are taken ``CELL`` at a
-   time, and the windows that are new in their cell meet by their own hash.
+   in that order; all but the earliest are repeated. Where more than ``CELL`` contexts are left they are taken ``CELL`` at a
+   time, and the windows that are new in their cell meet by their own hash. Only up to ``TRIMMED`` cells of one anchor
+   are held for trimming; beyond that all windows that are new in their cell meet so.
 4. The repeated windows of each document are joined to its text and merged to spans.
 
 Texts travel compressed. Which document is earlier is decided by doc_id, null last, then by a hash of the text.
@@ -28,13 +29,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import pick
+from tapeline.llm.common import bound_batches, pick
 from tapeline.llm.suffixes import suffix_order
 from tapeline.session import staged
 
 LENGTH = 100
 ANCHOR = 32
-CELL = 4096
+CELL, TRIMMED = 4096, 16
 #: Texts are taken up to this many bytes at a time; longer ones in blocks that overlap by less than a window.
 BATCH = 8 << 20
 BLOCK = 1 << 20
@@ -99,7 +100,7 @@ def _block_runs(text: bytes, length: int, base: int) -> tuple[np.ndarray, ...]:
 
 def _key(doc: DataFrame) -> DataFrame:
     """(doc_id, rid, text as bytes): rid tells documents with one id apart."""
-    rows = pick(doc, "doc_id", "text").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = bound_batches(pick(doc, "doc_id", "text")).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows.select("doc_id", F.xxhash64("text").alias("rid"), F.col("text").cast("binary").alias("text"))
 
 
@@ -239,15 +240,15 @@ def _resolve(length: int, cell: int):
                 yield from resolved(_once(rows.slice(0, cut), last), part)
                 part, last = 0, None
             held = _once(rows.slice(cut), last).combine_chunks()
-            while held.num_rows > cell:
-                yield from resolved(held.slice(0, cell), part, True)
-                last = tuple(held.column(c)[cell - 1].as_py() for c in ("doc_id", "rid", "lo"))
-                held, part = held.slice(cell), part + 1
+            while held.num_rows > (most := TRIMMED * cell):
+                yield from resolved(held.slice(0, most), part, True)
+                last = tuple(held.column(c)[most - 1].as_py() for c in ("doc_id", "rid", "lo"))
+                held, part = held.slice(most), part + 1
         if held is not None and held.num_rows:
             yield from resolved(_once(held, last), part)
 
     def resolved(rows: pa.Table, part: int, more: bool = False) -> Iterator[pa.RecordBatch]:
-        """part: whether cells of the first anchor have gone before; more: whether one follows."""
+        """part: whether rows of the first anchor have gone before; more: whether others follow."""
         rows = rows.combine_chunks()
         anchor = rows.column("anchor").to_numpy()
         cuts = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1], [True])))
@@ -258,9 +259,10 @@ def _resolve(length: int, cell: int):
         out: list[tuple] = []
         for g in range(len(cuts) - 1):
             s, e = int(cuts[g]), int(cuts[g + 1])
-            large = (g == 0 and part > 0) or more or e - s > cell
-            for at in range(s, e, cell):
-                out += _windows(data, shift, n, lo, left, right, range(at, min(e, at + cell)), length, large)
+            whole = not more and not (g == 0 and part > 0)
+            own = [i for i in range(s, e) if not whole or left[i] + ANCHOR + right[i] >= length]
+            for at in range(0, len(own) if len(own) > 1 or not whole else 0, cell):
+                out += _windows(data, shift, n, lo, left, right, own[at : at + cell], length, whole, len(own) > cell or not whole)
             if len(out) > 20_000:
                 yield packed(out, ids, rids)
                 out = []
@@ -298,15 +300,12 @@ def shared(data: list[bytes], shift: np.ndarray, anchor: np.ndarray) -> tuple[np
     return out[0], out[1]
 
 
-def _windows(data, shift, n, lo, left, right, own: range, length: int, large: bool) -> list[tuple]:
-    """(row, first window, windows, null, null) that are repeated in ``own``; if ``large``, also the others, one by one, with their hash."""
-    use = list(own) if large else [i for i in own if left[i] + ANCHOR + right[i] >= length]
-    if len(use) < 2 and not large:
-        return []
+def _windows(data, shift, n, lo, left, right, own: list[int], length: int, trim: bool, hashed: bool) -> list[tuple]:
+    """(row, first window, windows, null, null) that are repeated in ``own``; if ``hashed``, also the others, one by one, with their hash."""
     parts, where, at = [], [], 0
-    for i in use:
+    for i in own:
         s = int(shift[i])
-        l, r = (s, len(data[i]) - s - ANCHOR) if large else (int(left[i]), int(right[i]))
+        l, r = (int(left[i]), int(right[i])) if trim else (s, len(data[i]) - s - ANCHOR)
         # the anchor is common to all and takes one character
         piece = data[i][s - l : s].decode("latin-1") + "Ā" + data[i][s + ANCHOR : s + ANCHOR + r].decode("latin-1") + "ā"
         parts.append(piece)
@@ -329,7 +328,7 @@ def _windows(data, shift, n, lo, left, right, own: range, length: int, large: bo
         members.sort()
         for i, w in members[1:]:
             hits.setdefault(i, []).append(w)
-        if large:
+        if hashed:
             new.append(members[0])
 
     for p in suffix_order(text):

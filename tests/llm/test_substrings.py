@@ -41,7 +41,7 @@ def check(spark, docs, rows, length=100, cell=D.CELL):
     assert have == reference(rows, length) and all(r.n_removed == r.n_bytes - len(r.kept) for r in got)
 
 
-@pytest.mark.parametrize("cell", [D.CELL, 3])
+@pytest.mark.parametrize("cell", [D.CELL, 3, 1])
 def test_shared_passages(spark, cell):
     rng, rows = random.Random(6), []
     passages = [prose(1000 + k, 12 + 4 * k) for k in range(8)]
