@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.llm.common import bound_batches, pick
+from tapeline.session import staged
 
 DIMENSION = 512
 GRAM = 3
@@ -138,17 +139,28 @@ def _vectors(dimension: int) -> GramVectors:
     return _VECTORS[dimension]
 
 
-def prototypes(labelled: DataFrame, dimension: int = DIMENSION, texts: int = LEARNED_TEXTS, seed: int = 5) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and a prototype row for each, from (text, lang) with lang not null.
+def drawn(labelled: DataFrame, texts: int = LEARNED_TEXTS, seed: int = 5) -> DataFrame:
+    """The texts that are learned from, (lang, text), of (text, lang) with lang not null.
 
-    A hash of the text decides which about ``texts`` texts of each language are learned from; texts without letters are
-    not. Partitions add up their own profiles first; there is one row for each language and partition after that.
+    A hash of the text decides which about ``texts`` texts of each language they are.
     """
     rows = bound_batches(pick(labelled, "text", "lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(texts)) / F.count(F.lit(1))).alias("_share"))
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)
+    take = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)
     # a number for each language, where the model that every task gets has a vector for each
-    sample = rows.join(F.broadcast(share), "lang").where(drawn).select("lang", "text")
+    return rows.join(F.broadcast(share), "lang").where(take).select("lang", "text")
+
+
+def prototypes(labelled: DataFrame, dimension: int = DIMENSION, texts: int = LEARNED_TEXTS, seed: int = 5) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and a prototype row for each, from the texts ``drawn`` of (text, lang)."""
+    return learn(drawn(labelled, texts, seed), dimension)
+
+
+def learn(sample: DataFrame, dimension: int = DIMENSION) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and a prototype row for each, from all of (lang, text); texts without letters teach nothing.
+
+    Partitions add up their own profiles first; there is one row for each language and partition after that.
+    """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -171,9 +183,12 @@ def prototypes(labelled: DataFrame, dimension: int = DIMENSION, texts: int = LEA
     return names, matrix
 
 
-def identify(docs: DataFrame, names: list[str], matrix: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(docs: DataFrame, names: list[str], matrix: np.ndarray, keep: tuple[str, ...] = ("doc_id",), fit: bool = False) -> DataFrame:
     """The columns of ``keep``, ``lang_pred`` and ``score`` of each row of ``docs`` (text).
 
+    With ``fit`` also ``variety``, the whole power of 2 of the number of different n-grams that would make a profile as
+    long if all were as frequent, and ``near``, the part of the profile that all prototypes together account for (0 to 1).
+
     Score is the cosine with the nearest prototype, at least 0; ties go to the first name. Null texts, texts without a
     letter, and all texts if nothing was learned, get ``und`` and score 0. Repeated rows and null ids come out as they
     came in; texts of any length count whole; an empty table gives an empty one; other columns are ignored.
@@ -183,6 +198,8 @@ def identify(docs: DataFrame, names: list[str], matrix: np.ndarray, keep: tuple[
     centre = matrix.mean(axis=0) if len(names) > 1 else np.zeros(matrix.shape[1])
     near = matrix - centre
     near = near / np.maximum(np.linalg.norm(near, axis=1, keepdims=True), 1e-300)
+    _, spread, axes = np.linalg.svd(near, full_matrices=False)
+    axes = axes[spread > 1e-6]  # a text in two learned languages is far from either prototype, but in their span
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,16 +207,23 @@ def identify(docs: DataFrame, names: list[str], matrix: np.ndarray, keep: tuple[
                 part = batch.slice(lo, 64)
                 got, sizes = _vectors(matrix.shape[1]).profiles([t or "" for t in part.column(at).to_pylist()])
                 got = got.astype(np.float64)
-                got = got / np.maximum(np.linalg.norm(got, axis=1, keepdims=True), 1e-300) - centre
+                length = np.linalg.norm(got, axis=1, keepdims=True)
+                got = got / np.maximum(length, 1e-300) - centre
                 got /= np.maximum(np.linalg.norm(got, axis=1, keepdims=True), 1e-300)
                 known = (sizes > 0) & (len(names) > 0)
                 cosine = got @ near.T if names else np.zeros((len(got), 1))
                 best = cosine.argmax(axis=1)
                 pred = [names[b] if k else UNKNOWN for b, k in zip(best, known)]
                 score = np.where(known, np.clip(cosine.max(axis=1), 0, 1), 0.0)
-                yield pa.record_batch([*part.columns[:at], pa.array(pred, pa.string()), pa.array(score)], [*part.schema.names[:at], "lang_pred", "score"])
+                out = {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score)}
+                if fit:
+                    # vectors of n-grams are all but orthogonal, so a profile's square is the dimension by the number
+                    variety = np.log2(np.clip(matrix.shape[1] / np.maximum(length[:, 0], 1e-9) ** 2, 1, 1 << 30)).astype(np.int32)
+                    out |= {"variety": pa.array(variety), "near": pa.array(np.linalg.norm(got @ axes.T, axis=1))}
+                yield pa.record_batch([*part.columns[:at], *out.values()], [*part.schema.names[:at], *out])
 
-    return rows.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "lang_pred string", "score double"]))
+    added = ["lang_pred string", "score double", *(["variety int", "near double"] if fit else [])]
+    return rows.mapInArrow(run, ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), *added]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -207,13 +231,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-#: Texts with no score above this are in none of the learned languages: no prototype lies on their side.
-LEAST_SCORE = 0.0
+#: A text is in a learned language from this part of what all but ``LOW`` of the learned texts of its variety reach.
+PART, LOW = 0.4, 0.01
+#: Learned texts of one language and variety that a limit is derived from, at least.
+LEAST_TEXTS = 20
+
 
+def limits(sample: DataFrame, names: list[str], matrix: np.ndarray, least: int = LEAST_TEXTS) -> dict[str, dict[int, float]]:
+    """Least ``near`` of a text in a learned language, by the language named for it and by variety, from (lang, text).
+
+    A text of few different n-grams is far from every prototype in any language, so texts are compared with those of like
+    variety. The language is the one found, not the label: wrong labels and mixed texts do not move a limit. A language
+    and variety with fewer than ``least`` learned texts has no limit.
+    """
+    fits = identify(sample, names, matrix, ("lang",), fit=True).where(F.col("lang_pred") != UNKNOWN)
+    low = fits.groupBy("lang_pred", "variety").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("near", LOW, 10_000).alias("low"))
+    found: dict[str, dict[int, float]] = {}
+    for r in low.where(F.col("n") >= least).toLocalIterator():  # a number for each language and power of 2
+        found.setdefault(r["lang_pred"], {})[r["variety"]] = PART * r["low"]
+    return found
 
-def speaks(docs: DataFrame, columns: tuple[str, ...], least: float = LEAST_SCORE) -> DataFrame:
-    """Rows of ``docs`` in a learned language: those with a letter and a score above ``least``."""
+
+def speaks(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rows of ``docs`` in a learned language: those with a letter whose ``near`` reaches the limit.
+
+    A variety without a limit has that of the next lower one, as more n-grams bring a text nearer. Where there is none,
+    which is for texts of few words and languages of few texts, too little is known to leave a text out, and it stays.
+    """
     docs = pick(docs, *columns)
-    names, matrix = prototypes(docs.where(~held_out(F.col("doc_id"))))
-    rows = identify(docs, names, matrix, columns)
-    return rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > least)).select(*columns)
+    sample = staged(drawn(docs.where(~held_out(F.col("doc_id")))), "language-sample")
+    names, matrix = learn(sample)
+    rows = identify(docs, names, matrix, columns, fit=True)
+    enough = F.col("lang_pred") != UNKNOWN
+    for name, by in limits(sample, names, matrix).items():
+        limit = F.lit(0.0)
+        for variety in sorted(by):
+            limit = F.when(F.col("variety") >= variety, by[variety]).otherwise(limit)
+        enough = enough & ((F.col("lang_pred") != name) | (F.col("near") >= limit))
+    return rows.where(enough).select(*columns)

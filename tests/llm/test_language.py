@@ -67,3 +67,32 @@ def test_one_language(spark):
     names, matrix = L.prototypes(spark.createDataFrame([(1, "hello there", "en", "s", 1)], SCHEMA))
     row = L.identify(spark.createDataFrame([(2, "hello there", None, "s", 1)], SCHEMA), names, matrix).first()
     assert row.lang_pred == "en" and row.score == pytest.approx(1, abs=1e-6)
+
+
+FOREIGN = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+}
+
+
+def test_stage_keeps_learned_languages_and_no_others(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(3)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), n)) for n in (300, 600, 1500, 4000) for _ in range(10)]
+    texts = [*FOREIGN.values(), *[t * 3 for t in FOREIGN.values()], *noise]
+    kind = dict(docs.dtypes)["doc_id"]
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    rows = docs.unionByName(planted.withColumn("doc_id", F.col("doc_id").cast(kind)))
+    ids = {r.doc_id for r in L.speaks(rows, ("doc_id", "text", "lang")).select("doc_id").collect()}
+    learned = {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert ids == learned
+
+
+def test_limits_need_enough_texts_and_rise_with_variety(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names, matrix = L.prototypes(docs)
+    got = L.limits(L.drawn(docs), names, matrix)
+    assert set(got) == set(names) and all(0.1 < v < 0.5 for by in got.values() for k, v in by.items() if k >= 6)
+    assert L.limits(L.drawn(docs), names, matrix, 10_000) == {}
