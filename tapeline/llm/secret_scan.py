@@ -39,13 +39,13 @@ CLASSES = (
 #: Strings that hold one of these words, or have one of these forms as a whole, are no secrets.
 ALLOWED_WORDS = ("example", "sample", "placeholder", "changeme", "xxxx", "abcdef", "0123456", "1234567", "http", "www")
 ALLOWED_FORMS = re.compile(
-    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|[0-9_/=+-]+|[A-Za-z_/=+-]+|(?:[A-Za-z]+[-_/]?)+[0-9]{0,4}"
+    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|[0-9_/=+-]+|[A-Za-z_/=+-]+|[A-Za-z]+(?:[-_/][A-Za-z]+)*[-_/]?[0-9]{0,4}"
 )
 
 
 def hot_windows(text: str, width: int, bits: float) -> list[tuple[int, int]]:
     """Merged ranges of the windows of ``width`` characters whose entropy is at least ``bits`` per character."""
-    term = [0.0] + [n * math.log2(n) for n in range(1, width + 1)]
+    term = [0.0] + [n * math.log2(n) for n in range(1, width + 2)]  # a step adds a character before one leaves
     limit = width * (math.log2(width) - bits) + 1e-9
     counts: dict[str, int] = {}
     total, spans = 0.0, []

@@ -1,5 +1,8 @@
 import math
+import random
 import re
+import string
+import time
 from collections import Counter
 
 from tests.llm.cases import SCHEMA, no_docs, odd_docs, odd_rows
@@ -48,6 +51,24 @@ def test_windows_by_incremental_counts():
     assert {i for a, b in S.hot_windows(text, 20, 3.75) for i in range(a, b)} == covered
 
 
+def test_allowed_forms_take_linear_time():
+    rng, keys = random.Random(4), string.ascii_letters + string.digits + "+/"
+    began = time.perf_counter()
+    for text in ("a" * 200 + "12345", "camelCase" * 20 + "_12345", "some/long/path/" * 20 + "20240101", "q" * 40 + "".join(rng.choices(keys, k=50_000))):
+        S.find_secrets(text)
+    assert time.perf_counter() - began < 5
+
+
+def test_allowed_forms_are_the_same_strings():
+    old = re.compile(r"(?:[A-Za-z]+[-_/]?)+[0-9]{0,4}")
+    new = re.compile(r"[A-Za-z]+(?:[-_/][A-Za-z]+)*[-_/]?[0-9]{0,4}")
+    assert S.ALLOWED_FORMS.pattern.endswith("|" + new.pattern)
+    rng = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(rng.choices("aB-_/0", k=rng.randint(1, 9)))
+        assert bool(old.fullmatch(text)) == bool(new.fullmatch(text))
+
+
 def test_operator(spark):
     got = S.scan(odd_docs(spark)).toPandas()
     assert len(got) == len(odd_rows()) and got.spans.map(len).sum() == 0
