@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and sliding-window Shannon entropy over candidate strings.
 
-A candidate is a maximal run of at least 20 characters that keys are written in. Its character class (hex, alphanumeric,
-base64) sets the window and the entropy a random key of that class passes. Entropy is held as the sum of n log n over the
-window's character counts, so a step of the window changes two terms. Windows above the limit merge to spans. Spans with
-an allowed word or form (placeholders, paths, dates, UUIDs), without digits or without letters, are left out.
+A candidate is a maximal run of at least 20 characters that keys are written in, without the names and '=' before a value
+of that length. Each run in it of one character class (hex, alphanumeric, base64) is scanned with the window and the entropy
+that a random key of that class passes. Entropy is held as the sum of n log n over the window's character counts, so a step
+of the window changes two terms. Windows above the limit merge to spans. Spans with an allowed word, runs of an allowed form
+(placeholders, paths, dates, UUIDs) and spans without digits or without letters are left out.
 """
 
 from __future__ import annotations
@@ -30,13 +31,17 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Every access, hex and entropy span lies in such a run.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{20,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Character class: form, window, least bits per character of a window.
+#: A name and its '=', before a value that a window fits in.
+NAME = re.compile(r"[-_/]*(?:[A-Za-z]+[0-9]{0,4}[-_/]+)*[A-Za-z]+[0-9]{0,4}[-_/]*=+(?=[A-Za-z0-9+/_=-]{20})")
+#: Character class: its runs, window, least bits per character of a window. A run shorter than the window is one window.
 CLASSES = (
-    ("hex", re.compile(r"(?:[0-9a-f-]+|[0-9A-F-]+)"), 24, 3.2),
-    ("alphanumeric", re.compile(r"[A-Za-z0-9]+"), 20, 3.75),
-    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 20, 3.85),
+    ("hex", re.compile(r"[0-9a-f-]{20,}|[0-9A-F-]{20,}"), 24, 3.2),
+    ("alphanumeric", re.compile(r"[A-Za-z0-9]{20,}"), 20, 3.75),
+    ("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 20, 3.85),
 )
-#: Strings that hold one of these words, or have one of these forms as a whole, are no secrets.
+UUID = re.compile(r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])")
+#: Strings that hold one of these words, or have one of these forms as a whole, are no secrets. A short word says nothing in a
+#: string so long that it is there by chance (more than once in a thousand, with 32 characters to choose from).
 ALLOWED_WORDS = ("example", "sample", "placeholder", "changeme", "xxxx", "abcdef", "0123456", "1234567", "http", "www")
 ALLOWED_FORMS = re.compile(
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|[0-9_/=+-]+|[A-Za-z_/=+-]+|[A-Za-z]+(?:[-_/][A-Za-z]+)*[-_/]?[0-9]{0,4}"
@@ -69,7 +74,42 @@ def hot_windows(text: str, width: int, bits: float) -> list[tuple[int, int]]:
 
 def allowed(text: str) -> bool:
     low = text.lower()
-    return any(w in low for w in ALLOWED_WORDS) or ALLOWED_FORMS.fullmatch(text) is not None
+    return any(w in low and len(text) * 1000 <= 32 ** len(w) for w in ALLOWED_WORDS) or ALLOWED_FORMS.fullmatch(text) is not None
+
+
+def entropy_spans(word: str) -> list[tuple[int, int]]:
+    """Merged spans of a candidate that are random enough for the character class of some run in it."""
+    start = 0
+    while m := NAME.match(word, start):
+        start = m.end()
+    if ALLOWED_FORMS.fullmatch(word, start):
+        return []
+    known = [m.span() for m in UUID.finditer(word, start)]
+    spans: list[tuple[int, int]] = []
+    for _, runs, width, bits in CLASSES:
+        for run in runs.finditer(word, start):
+            for at, end in _between(run.start(), run.end(), known):
+                if end - at < 20 or ALLOWED_FORMS.fullmatch(word, at, end):
+                    continue
+                for lo, hi in hot_windows(word[at:end], min(width, end - at), bits):
+                    part = word[at + lo : at + hi]
+                    if any(c.isdigit() for c in part) and any(c.isalpha() for c in part) and not allowed(part):
+                        spans.append((at + lo, at + hi))
+    merged: list[tuple[int, int]] = []
+    for lo, hi in sorted(spans):
+        if merged and lo <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+        else:
+            merged.append((lo, hi))
+    return merged
+
+
+def _between(lo: int, hi: int, known: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    for a, b in known:
+        if a < hi and b > lo:
+            yield lo, a
+            lo = b
+    yield lo, hi
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
@@ -80,15 +120,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         for kind, form in (("access", ACCESS), ("hex", HEX)):
             found += [(kind, at + m.start(), at + m.end()) for m in form.finditer(body) if m.end() - m.start() >= LEAST[kind]]
         for m in CANDIDATE.finditer(body):
-            word = m.group()
-            if allowed(word):
-                continue
-            width, bits = next((w, b) for _, form, w, b in CLASSES if form.fullmatch(word))
-            for lo, hi in hot_windows(word, width, bits):
-                part = word[lo:hi]
+            for lo, hi in entropy_spans(m.group()):
                 lo, hi = at + m.start() + lo, at + m.start() + hi
-                mixed = any(c.isdigit() for c in part) and any(c.isalpha() for c in part)
-                if mixed and not allowed(part) and not any(a <= lo and hi <= b for _, a, b in found):
+                if not any(a <= lo and hi <= b for _, a, b in found):
                     found.append(("entropy", lo, hi))
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 

@@ -69,6 +69,22 @@ def test_allowed_forms_are_the_same_strings():
         assert bool(old.fullmatch(text)) == bool(new.fullmatch(text))
 
 
+def test_names_words_and_classes_do_not_hide_values():
+    upper, short = "9F3A0C7E51B8D2466AE0F1937C5D8B24", "9f3a0c7e51b8d2466ae0f"
+    for name in ("HTTP_AUTH=", "DB_SAMPLE_KEY=", "AWS_S3_KEY2=", "A=B="):
+        for value in (RANDOM, upper, short):
+            assert S.find_secrets(f"x {name}{value} y") == [("entropy", 2 + len(name), 2 + len(name) + len(value))]
+    assert S.find_secrets(f"x {short} y") == [("entropy", 2, 2 + len(short))]
+    [(_, lo, hi)] = S.find_secrets(f"x dir/zz_{upper} y")
+    assert lo <= 9 and hi == 9 + len(upper)
+    rng = random.Random(6)
+    blob = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=3000))
+    found = S.find_secrets(blob[:1500] + "WwW" + blob[1500:])
+    assert sum(b - a for kind, a, b in found if kind == "entropy") > 2900
+    for text in ("id=123e4567-e89b-12d3-a456-426614174000", "abc-123e4567-e89b-12d3-a456-426614174000", "KEY=AbcdefExample0123456XyZwvutsr", "FILE=path/to/some/long/file/name2024"):
+        assert S.find_secrets(text) == []
+
+
 def test_operator(spark):
     got = S.scan(odd_docs(spark)).toPandas()
     assert len(got) == len(odd_rows()) and got.spans.map(len).sum() == 0
