@@ -142,13 +142,15 @@ def _vectors(dimension: int) -> GramVectors:
 def drawn(labelled: DataFrame, texts: int = LEARNED_TEXTS, seed: int = 5) -> DataFrame:
     """The texts that are learned from, (lang, text), of (text, lang) with lang not null.
 
-    A hash of the text decides which about ``texts`` texts of each language they are.
+    A hash of the text decides which about ``texts`` different texts of each language they are; copies count once.
     """
     rows = bound_batches(pick(labelled, "text", "lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(texts)) / F.count(F.lit(1))).alias("_share"))
-    take = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)
+    rows = rows.withColumn("_hash", F.xxhash64(F.lit(seed), "text"))
+    share = rows.select("lang", "_hash").distinct().groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(texts)) / F.count(F.lit(1))).alias("_share"))
+    take = F.pmod(F.col("_hash"), F.lit(1 << 30)) < F.col("_share") * (1 << 30)
     # a number for each language, where the model that every task gets has a vector for each
-    return rows.join(F.broadcast(share), "lang").where(take).select("lang", "text")
+    taken = rows.join(F.broadcast(share), "lang").where(take)
+    return taken.groupBy("lang", "_hash").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def prototypes(labelled: DataFrame, dimension: int = DIMENSION, texts: int = LEARNED_TEXTS, seed: int = 5) -> tuple[list[str], np.ndarray]:

@@ -96,3 +96,13 @@ def test_limits_need_enough_texts_and_rise_with_variety(spark):
     got = L.limits(L.drawn(docs), names, matrix)
     assert set(got) == set(names) and all(0.1 < v < 0.5 for by in got.values() for k, v in by.items() if k >= 6)
     assert L.limits(L.drawn(docs), names, matrix, 10_000) == {}
+
+
+def test_copies_are_drawn_once(spark):
+    kinds = [("copied text", "aa", 5000), ("other text", "bb", 3000), ("third one", "bb", 3000)]
+    rows = [(t, lang) for t, lang, n in kinds for _ in range(n)] + [(f"text {chr(97 + i % 26)}{chr(97 + i // 26)}", "aa") for i in range(600)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for seed in range(4):
+        got = L.drawn(docs, 300, seed).toPandas()
+        assert not got.duplicated().any() and 200 < (got.lang == "aa").sum() < 400
+        assert set(got[got.lang == "bb"].text) == {"other text", "third one"}
