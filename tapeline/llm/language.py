@@ -237,6 +237,8 @@ def held_out(doc_id: Column) -> Column:
 PART, LOW = 0.4, 0.01
 #: Learned texts of one language and variety that a limit is derived from, at least.
 LEAST_TEXTS = 20
+#: Under 128 different n-grams, learned texts and noise are equally near, and none is left out.
+LEAST_VARIETY = 7
 
 
 def limits(sample: DataFrame, names: list[str], matrix: np.ndarray, least: int = LEAST_TEXTS) -> dict[str, dict[int, float]]:
@@ -244,12 +246,12 @@ def limits(sample: DataFrame, names: list[str], matrix: np.ndarray, least: int =
 
     A text of few different n-grams is far from every prototype in any language, so texts are compared with those of like
     variety. The language is the one found, not the label: wrong labels and mixed texts do not move a limit. A language
-    and variety with fewer than ``least`` learned texts has no limit.
+    and variety with fewer than ``least`` learned texts, or a variety below ``LEAST_VARIETY``, has no limit.
     """
     fits = identify(sample, names, matrix, ("lang",), fit=True).where(F.col("lang_pred") != UNKNOWN)
     low = fits.groupBy("lang_pred", "variety").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("near", LOW, 10_000).alias("low"))
     found: dict[str, dict[int, float]] = {}
-    for r in low.where(F.col("n") >= least).toLocalIterator():  # a number for each language and power of 2
+    for r in low.where((F.col("n") >= least) & (F.col("variety") >= LEAST_VARIETY)).toLocalIterator():  # a number for each language and power of 2
         found.setdefault(r["lang_pred"], {})[r["variety"]] = PART * r["low"]
     return found
 
