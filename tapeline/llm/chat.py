@@ -2,8 +2,9 @@
 
 A chat that is logged after each turn leaves conversations that are prefixes of longer ones. Every conversation gets a
 rolling hash of each of its turn prefixes; a conversation whose whole hash is a proper prefix of another one goes, and of
-equal ones the smallest conv_id stays. The rolling hash is a sum of hashes of (position, turn), four lanes of 32 bits, so
-that prefix sums over ranges give it: no task holds a conversation, whatever its length.
+equal ones the smallest conv_id stays. The rolling hash is a sum of hashes of (position, turn) modulo 2^32 in four lanes, so
+that prefix sums over ranges give it: no task holds a conversation, whatever its length, and no sum outgrows its lane,
+whatever the table's.
 """
 
 from __future__ import annotations
@@ -33,13 +34,13 @@ def prefix_hashes(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
     pos = F.col("at") - F.col("first")
     low = F.lit(0xFFFFFFFF).cast("bigint")
     lane = [F.xxhash64(pos, c).bitwiseAND(low) if half else F.shiftrightunsigned(F.xxhash64(pos, c), 32) for c in ("x", "y") for half in (0, 1)]
-    rolled = prefix_sums(slim.withColumns(dict(zip((f"_h{k}" for k in LANES), lane))), [F.col("at")], {k: F.col(f"_h{k}") for k in LANES}, "chat-hashes")
+    rolled = prefix_sums(slim.withColumns(dict(zip((f"_h{k}" for k in LANES), lane))), [F.col("at")], {k: F.col(f"_h{k}") for k in LANES}, "chat-hashes", 1 << 32)
     rolled = staged(rolled.select("conv_id", "first", "turns", (F.col("at") - F.col("first")).alias("pos"), *LANES, *[f"_h{k}" for k in LANES]), "chat-rolled")
-    # sums never fall, so a conversation's least is what stood before its first turn
-    base = rolled.groupBy("conv_id").agg(*[F.min(k).alias(f"_{k}") for k in LANES])
-    rolled = rolled.join(base, rolled["conv_id"].eqNullSafe(base["conv_id"])).drop(base["conv_id"])
-    own = [(F.col(k) - F.col(f"_{k}")).alias(k) for k in LANES]
-    with_turn = [(F.col(k) - F.col(f"_{k}") + F.col(f"_h{k}")).alias(k) for k in LANES]
+    # what stood before a conversation's first turn is taken off, modulo 2^32
+    base = rolled.where(F.col("pos") == 0).select("first", *[F.col(k).alias(f"_{k}") for k in LANES])
+    rolled = rolled.join(base, "first")
+    own = [(F.col(k) - F.col(f"_{k}")).bitwiseAND(low).alias(k) for k in LANES]
+    with_turn = [(F.col(k) - F.col(f"_{k}") + F.col(f"_h{k}")).bitwiseAND(low).alias(k) for k in LANES]
     whole = rolled.where(F.col("pos") == F.col("turns") - 1).select("conv_id", "first", "turns", *with_turn)
     prefixes = rolled.where(F.col("pos") > 0).select(F.col("pos").alias("turns"), *own).distinct()
     return whole, prefixes

@@ -22,15 +22,16 @@ from tapeline.session import staged
 
 WINDOW = 4096
 #: Words whose ids a worker remembers at most: those of late, and as many that were asked for before them.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 _WORDS: dict[str, WordIds] = {}
 
 
 class WordIds(dict):
     """Ids of words cut at ASCII white space, which this kind of tokenizer never joins or keeps.
 
-    Most words come again, so their ids are remembered as bytes. Words of plain lower-case letters go to the model
-    straight, all others through the whole tokenizer.
+    Most words come again, so their ids are remembered as bytes. Latin letters with ASCII signs after them are two pieces
+    for the tokenizer: the letters go to the model straight and are remembered for themselves, and so are the signs. All other words go
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -48,37 +49,54 @@ class WordIds(dict):
         self.shown = dict(zip(shown, map(chr, shown))) | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in shown)}
 
     def _letters(self, word: bytes) -> bytes | None:
-        """The model's own ids for a word of lower-case Latin letters without combining marks, else None."""
-        text = word.decode()
-        if not text or not text.isalpha() or max(text) >= "ɐ" or text.lower() != text:
+        """The model's own ids for a word of Latin letters without combining marks, else None."""
+        if word.isalpha():  # ASCII letters
+            shown = word.decode()
+            if not shown.islower():
+                return None
+        else:
+            text = word.decode()
+            if not text.isalpha() or max(text) >= "ɐ" or "İ" in text or any("A" <= c <= "Z" for c in text):
+                return None
+            shown = text.lower().encode().decode("latin-1").translate(self.shown)
+        return array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _signed(self, word: bytes) -> bytes | None:
+        """Ids of letters with signs after them, else None."""
+        body = word.rstrip(SIGNS)
+        if not body or not (body.isalpha() or body.decode().isalpha()):
             return None
-        return array(self.kind, [t.id for t in self.model.tokenize(text if text.isascii() else word.decode("latin-1").translate(self.shown))]).tobytes()
+        ids = self.get(body) or self.before.get(body)
+        if ids is None and (ids := self._letters(body)) and len(body) <= 64:
+            self[body] = ids
+        return ids + self[word[len(body) :]] if ids else None
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
-        if 2 * len(self) >= REMEMBERED:
-            self.before = dict(self)
-            self.clear()
         if ids is None and self.plain:
-            body, end = (word[:-1], word[-1:]) if word[-1:] in (b".", b",") else (word, b"")
-            if ids := self.get(body) or self.before.get(body) if end and body[-1:].isalpha() else None:
-                ids += self[end]
-            elif ids := self._letters(body):
-                ids += self[end] if end else b""
+            ids = self._letters(word) if word[-1] not in SIGNS else self._signed(word)
         if ids is None:
             ids = array(self.kind, self.whole.encode(word.decode(), add_special_tokens=False).ids).tobytes()
         if len(word) <= 64:
+            if 2 * len(self) >= REMEMBERED:
+                self.before = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
 
+#: ASCII signs; a run of them after letters is one piece for the tokenizer.
+SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+
+
 def _splits_words(tokenizer) -> bool:
-    """Whether letters, and a full stop or comma after them, are tokenized apart and in lower case."""
+    """Whether letters, and signs after them, are tokenized apart and in lower case."""
     ids = lambda s: tokenizer.encode(s, add_special_tokens=False).ids
-    tries = ("word", "straße", "xqzv")
+    tries = ("word", "straße", "xqzv", "élan")
     try:
         model = lambda s: [t.id for t in tokenizer.model.tokenize(s)]
-        return all(ids(f"{w.capitalize()}, {w}.") == [*ids(w), *ids(","), *ids(w), *ids(".")] for w in tries) and ids("xqzv") == model("xqzv")
+        apart = all(ids(f"{w.capitalize()}{s} {w}.") == [*ids(w), *ids(s), *ids(w), *ids(".")] for w in tries for s in (",", "'", ",%%%", "'-\"", "***"))
+        return apart and ids("xqzv") == model("xqzv")
     except Exception:  # noqa: BLE001  models without this call
         return False
 
@@ -100,7 +118,10 @@ def token_ids(path: str, text: bytes) -> bytes:
     words = word_ids(path)
     if not words.split_safe:
         return array(words.kind, words.whole.encode(text.decode(), add_special_tokens=False).ids).tobytes()
-    return b"".join(map(words.__getitem__, (text if b"<|" in text else text.lower() if words.plain else text).split()))
+    # Composition comes before lower case: some letters compose with a mark (U+0300 to U+036F) in one case only. Special
+    # tokens are found before both.
+    cased = not words.plain or b"<|" in text or b"\xcc" in text or b"\xcd" in text
+    return b"".join(map(words.__getitem__, (text if cased else text.lower()).split()))
 
 
 TOKENS = "doc_id bigint, ids binary, n bigint, _part int, _start bigint"

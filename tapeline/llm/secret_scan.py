@@ -9,6 +9,7 @@ of the window changes two terms. Windows above the limit merge to spans. Spans w
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterator
@@ -105,25 +106,32 @@ def entropy_spans(word: str) -> list[tuple[int, int]]:
 
 
 def _between(lo: int, hi: int, known: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    for a, b in known:
-        if a < hi and b > lo:
-            yield lo, a
-            lo = b
+    """What ``known``, sorted spans that do not overlap, leave of a range."""
+    for a, b in known[bisect.bisect_right(known, lo, key=lambda s: s[1]) :]:
+        if a >= hi:
+            break
+        yield lo, a
+        lo = b
     yield lo, hi
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then kind as listed."""
     found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= LEAST["assign"]]
+    hot = []
     for run in RUN.finditer(text):
         at, body = run.start(), run.group()
         for kind, form in (("access", ACCESS), ("hex", HEX)):
             found += [(kind, at + m.start(), at + m.end()) for m in form.finditer(body) if m.end() - m.start() >= LEAST[kind]]
         for m in CANDIDATE.finditer(body):
-            for lo, hi in entropy_spans(m.group()):
-                lo, hi = at + m.start() + lo, at + m.start() + hi
-                if not any(a <= lo and hi <= b for _, a, b in found):
-                    found.append(("entropy", lo, hi))
+            hot += [(at + m.start() + lo, at + m.start() + hi) for lo, hi in entropy_spans(m.group())]
+    # a hot span inside a base span says nothing new; of the base spans that start no later, the one that ends last decides
+    base, k, last = sorted((a, b) for _, a, b in found), 0, -1
+    for lo, hi in hot:
+        while k < len(base) and base[k][0] <= lo:
+            last, k = max(last, base[k][1]), k + 1
+        if last < hi:
+            found.append(("entropy", lo, hi))
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 
@@ -177,7 +185,11 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The rows of documents with every secret masked; n_chars follows. Nulls, empty texts and repeats stay as they are."""
+    """The rows of documents with every secret masked; n_chars follows.
+
+    Null and empty texts stay as they are, and so do rows with other nulls and repeated rows, each for itself; texts of any length are
+    scanned whole; an empty table gives an empty one; columns beyond those of documents are left out.
+    """
     rows = bound_batches(pick(docs, "doc_id", "text", "lang", "source", "n_chars")).withColumn("n_chars", F.col("n_chars").cast("bigint"))
     return rows.mapInArrow(_mask, rows.schema)
 

@@ -1,6 +1,9 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tapeline.llm import chat
+from tapeline.llm.common import prefix_sums
 
 
 def reference(rows):
@@ -52,3 +55,18 @@ def test_one_conversation_of_many_turns(spark):
 
 def test_empty_table(spark):
     assert chat.format_chats(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
+
+
+def test_lanes_do_not_outgrow_their_sums(spark):
+    """Lanes scaled so that a plain running sum leaves 64 bits: modulo 2^32 they stay exact."""
+    big = (1 << 62) + 12345
+    rows = spark.range(40, numPartitions=4).withColumn("x", F.lit(big).cast("bigint").bitwiseAND(F.lit((1 << 61) - 1)) + F.col("id"))
+    got = {r.id: r.s for r in prefix_sums(rows, [F.col("id")], {"s": F.col("x").bitwiseAND(F.lit(0xFFFFFFFF))}, "lanes", 1 << 32).collect()}
+    values = [(big & ((1 << 61) - 1)) + k for k in range(40)]
+    assert got == {k: sum(v & 0xFFFFFFFF for v in values[:k]) % (1 << 32) for k in range(40)}
+
+
+def test_conversations_after_a_wrap_of_the_lanes(spark):
+    """Hashes are near 2^31 on average, so their sums wrap many times; prefixes still meet."""
+    rows = [(c, k, "user", f"t{k % 5}") for c in range(60) for k in range(3 + c % 4)]
+    check(spark, rows)

@@ -1,4 +1,5 @@
 from array import array
+from functools import cache
 
 import numpy as np
 import pytest
@@ -12,20 +13,48 @@ from tapeline.llm.queries import tokenizer_file
 PATH = tokenizer_file()
 
 
-def whole_ids(text):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(PATH)
+
+
+def whole_ids(text):
+    return tokenizer().encode(text, add_special_tokens=False).ids
+
+
+PARTS = [
+    "don't", "It's.", "a.b", "a.,", "É", "É", "straße.", "ΣΑΣ", "İx", "<|endoftext|>", "<|X|>", "x1y", "\x1c", "\xa0", "\u0301a", "ok,", "日本", " ", "\n", "ﬁ", "ſ", "A",
+    "J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "ǰ", "Øre,%%%", "word***", "word'", "'s", "ab's.", "Éoi$$$", "ŉ'", "ª", "K", "Å", "\u0340", "a\u05b0\u030c", "ᾼ", "1,2,", "--", "ño.,'",
+]
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from(["don't", "It's.", "a.b", "a.,", "É", "É", "straße.", "ΣΑΣ", "İx", "<|endoftext|>", "<|X|>", "x1y", "\x1c", " ", "́a", "ok,", "日本", " ", "\n", "ﬁ", "ſ", "A"]), max_size=12))
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=12))
 def test_word_by_word_ids_are_those_of_the_whole_text(parts):
     text = "".join(parts)
     got = array("H", packing.token_ids(PATH, text.encode())).tolist()
     assert got == whole_ids(text)
 
 
+@settings(max_examples=600, deadline=None)
+@given(st.text(st.sampled_from("aJhTwyYKZé ÉßİŞ.,'$ " + "".join(map(chr, range(0x300, 0x370)))), max_size=20))
+def test_letters_with_random_marks(text):
+    assert array("H", packing.token_ids(PATH, text.encode())).tolist() == whole_ids(text)
+
+
+def test_letters_whose_capitals_do_not_compose():
+    for word in ("J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "H\u0331adīth"):
+        assert array("H", packing.token_ids(PATH, f"x {word} y".encode())).tolist() == whole_ids(f"x {word} y")
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(st.characters(min_codepoint=33, max_codepoint=0x24F), max_size=12))
+def test_any_latin_text(text):
+    assert array("H", packing.token_ids(PATH, text.encode())).tolist() == whole_ids(text)
+
+
 def test_pieces_rebuild_every_document(spark):
     pieces = packing.pack(odd_docs(spark), PATH, window=64).toPandas()
     for _, own in pieces.groupby("sequence_id"):

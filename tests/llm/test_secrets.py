@@ -96,3 +96,61 @@ def test_redaction(spark):
     rows = {r.doc_id: r for r in S.redact(docs).collect()}
     assert rows[1].text == "a [secret] b [secret] c" and rows[1].n_chars == len(rows[1].text)
     assert rows[2].text == "clean" and rows[2].n_chars == 99 and rows[None].text is None
+
+
+def test_very_many_spans_take_linear_time():
+    rng = random.Random(8)
+    keys = " ".join("".join(rng.choices(string.ascii_letters + string.digits, k=40)) for _ in range(50_000))
+    hexes = " ".join(f"{rng.getrandbits(128):032x}" for _ in range(60_000))
+    uuids = "-".join(f"{x[:8]}-{x[8:12]}-{x[12:16]}-{x[16:20]}-{x[20:]}" for x in (f"{rng.getrandbits(128):032x}" for _ in range(55_000)))
+    mixed = "/".join(f"{x[:8]}-{x[8:12]}-{x[12:16]}-{x[16:20]}-{x[20:]}/{x}" for x in (f"{rng.getrandbits(128):032x}" for _ in range(28_000)))
+    for text in (keys, hexes, uuids, mixed):
+        began = time.process_time()
+        S.find_secrets(text)
+        assert len(text) > 1_900_000 and time.process_time() - began < 20
+
+
+def plain_spans(text):
+    """Entropy spans that no base span holds, each compared with all."""
+    found = base(text)
+    for run in S.RUN.finditer(text):
+        for m in S.CANDIDATE.finditer(run.group()):
+            for lo, hi in S.entropy_spans(m.group()):
+                lo, hi = run.start() + m.start() + lo, run.start() + m.start() + hi
+                if not any(a <= lo and hi <= b for _, a, b in found):
+                    found.append(("entropy", lo, hi))
+    return sorted(found, key=lambda f: (f[1], S.KINDS.index(f[0]), f[2]))
+
+
+def test_spans_kept_are_those_that_no_base_span_holds():
+    rng = random.Random(9)
+    bits = [RANDOM, KEY, "token=", "secret: '", "0123456789abcdef" * 2, "9f3a0c7e51b8d2466ae0f1937c5d8b24", "123e4567-e89b-12d3-a456-426614174000", " ", "/", "-", "=", "abc", "q7Zt3LmX9vKp2RsW"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 9)))
+        assert S.find_secrets(text) == plain_spans(text)
+
+
+def windows_by_definition(text, width, bits):
+    """Ranges of windows that pass, each window counted from nothing."""
+    out = []
+    for i in range(len(text) - width + 1):
+        if sum(n * math.log2(n) for n in Counter(text[i : i + width]).values()) <= width * (math.log2(width) - bits) + 1e-9:
+            if out and i <= out[-1][1]:
+                out[-1] = (out[-1][0], i + width)
+            else:
+                out.append((i, i + width))
+    return out
+
+
+def test_every_class_by_definition():
+    rng = random.Random(10)
+    for _, _, width, bits in S.CLASSES:
+        for _ in range(200):
+            text = "".join(rng.choices(rng.choice(["ab01", string.hexdigits, string.ascii_letters + string.digits + "+/"]), k=rng.randint(width, 90)))
+            assert S.hot_windows(text, width, bits) == windows_by_definition(text, width, bits)
+
+
+def test_redaction_of_odd_and_no_rows(spark):
+    rows = S.redact(odd_docs(spark)).collect()
+    assert sorted(map(repr, ((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in rows))) == sorted(map(repr, odd_rows()))
+    assert S.redact(no_docs(spark)).count() == 0
