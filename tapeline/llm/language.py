@@ -28,20 +28,42 @@ _FOLD = np.zeros(0x110000, np.uint8)  # 0: not seen yet, 1: no letter, 2: letter
 _BLOCK = 1 << 18
 
 
-def grams(texts: list[str], n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams of the texts, packed 21 bits a letter, and which text each is of.
-
-    Texts are lower-cased; each run of other characters than letters, and either end, is one blank (code point 0).
-    """
-    low = [f"\0{t.lower()}\0" for t in texts]
-    points = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
-    of = np.repeat(np.arange(len(low)), [len(t) for t in low])
+def _code_points(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points, and which of them are letters."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     kinds = _FOLD[points]
     if not kinds.all():
         for c in np.unique(points[kinds == 0]).tolist():
             _FOLD[c] = 1 + chr(c).isalpha()
         kinds = _FOLD[points]
-    letter = kinds == 2
+    return points, kinds == 2
+
+
+def ended(text: str) -> str:
+    return f"\0{text.lower()}\0"
+
+
+def blocks_of(text: str, n: int = GRAM) -> Iterator[str]:
+    """A long text as blocks whose n-grams are together those of the text; a block starts with the n - 1 last points of the one before."""
+    text, carry, after = ended(text), "", True
+    for lo in range(0, len(text), _BLOCK):
+        points, letter = _code_points(text[lo : lo + _BLOCK])
+        use = letter.copy()
+        use[0] |= after
+        use[1:] |= letter[:-1]
+        after = bool(letter[-1])
+        block = carry + np.where(letter, points, 0)[use].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+        yield block
+        carry = block[max(0, len(block) - n + 1) :]
+
+
+def grams(low: list[str], n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of lower-cased texts with their ends, packed 21 bits a letter, and which text each is of.
+
+    Each run of other characters than letters, and either end, is one blank (code point 0).
+    """
+    points, letter = _code_points("".join(low))
+    of = np.repeat(np.arange(len(low)), [len(t) for t in low])
     use = letter.copy()
     use[0] = True
     use[1:] |= letter[:-1] | (of[1:] != of[:-1])
@@ -103,16 +125,11 @@ class GramVectors:
     def profiles(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Profile of each text, divided by its number of n-grams (zero without letters), and that number."""
         out, sizes = np.zeros((len(texts), self.dimension), np.float32), np.zeros(len(texts), np.int64)
-        # very long texts go block by block, which are read like words at their ends
-        blocks = [(i, t[lo : lo + _BLOCK]) for i, t in enumerate(texts) for lo in range(0, max(1, len(t)), _BLOCK)]
-        while blocks:
-            take, chars = 0, 0
-            while take < len(blocks) and take < 64 and (not take or chars + len(blocks[take][1]) <= _BLOCK):
-                chars += len(blocks[take][1])
-                take += 1
-            owner = np.array([i for i, _ in blocks[:take]])
-            packed, of = grams([t for _, t in blocks[:take]], self.n)
-            blocks = blocks[take:]
+        # very long texts go block by block
+        parts = ((i, b) for i, t in enumerate(texts) for b in (blocks_of(t, self.n) if len(t) > _BLOCK else (ended(t),)))
+        for blocks in _together(parts):
+            take, owner = len(blocks), np.array([i for i, _ in blocks])
+            packed, of = grams([t for _, t in blocks], self.n)
             if not len(packed):
                 continue
             used, col = _dense(self.columns(packed), len(self.table))
@@ -124,6 +141,19 @@ class GramVectors:
         return out, sizes
 
 
+def _together(parts: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    """Runs of blocks of up to ``_BLOCK`` characters, or one longer block."""
+    run, chars = [], 0
+    for part in parts:
+        if run and (len(run) == 64 or chars + len(part[1]) > _BLOCK):
+            yield run
+            run, chars = [], 0
+        run.append(part)
+        chars += len(part[1])
+    if run:
+        yield run
+
+
 def _dense(index: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The numbers that occur among ``index``, and the place of each entry among them."""
     there = np.bincount(index, minlength=size) > 0
@@ -259,6 +289,9 @@ def limits(sample: DataFrame, names: list[str], matrix: np.ndarray, least: int =
 def speaks(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Rows of ``docs`` in a learned language: those with a letter whose ``near`` reaches the limit.
 
+    Null texts and texts without letters go; rows with other nulls and repeated rows are judged each for itself, as wholes of any
+    length; an empty table, and one without labels to learn from, gives an empty one; other columns are left out.
+
     A variety without a limit has that of the next lower one, as more n-grams bring a text nearer. Where there is none,
     which is for texts of few words and languages of few texts, too little is known to leave a text out, and it stays.
     """

@@ -69,7 +69,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCH
 
 
 def take_mix(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it takes it. Equal rows are taken as often as all of them are."""
+    """The rows of ``docs`` that the mix takes, each as often as it takes it. Equal rows are taken as often as all of them are.
+
+    Null and empty texts have no words and are not taken; rows with a null doc_id or source are taken like others; texts of any length
+    count whole; an empty table gives an empty one; other columns are left out.
+    """
     rows = pick(docs, *columns).withColumn("_row", F.xxhash64(*columns))
     mixed = mix(rows, keep=("_row",)).where(F.col("taken") > 0)
     times = mixed.groupBy("doc_id", "_row").agg(F.sum(F.expr("taken div size")).alias("_times"))

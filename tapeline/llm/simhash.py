@@ -166,7 +166,11 @@ def fingerprint_text(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Rows of ``docs`` less near-duplicates: of each component the row with the least doc_id (null last), of ties one."""
+    """Rows of ``docs`` less near-duplicates: of each component the row with the least doc_id (null last), of ties one.
+
+    Null and empty texts have one fingerprint and are copies of each other; texts of any length count whole; repeated rows
+    are one; an empty table gives an empty one; other columns are left out.
+    """
     rows = pick(docs, *columns)
     rows = rows.withColumn("_row", F.xxhash64(*columns))
     marked = staged(fingerprints(rows, ("doc_id", "_row")), "simhash")

@@ -37,6 +37,39 @@ def test_memory_of_grams_is_bounded(monkeypatch):
     assert np.allclose(got, L.GramVectors(64).profiles(texts)[0], atol=1e-5)
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 64])
+def test_blocks_have_the_grams_of_the_whole_text(size, monkeypatch):
+    texts = ["ab  12 3cd, Éf" * 3, "....", "a", " x ", "", "ΑΣ ΑΣΑ. " * 4, "123 " * 30 + "z"]
+    whole = [sorted(L.grams([L.ended(t)])[0].tolist()) for t in texts]
+    want, n = L.GramVectors(64).profiles(texts)
+    monkeypatch.setattr(L, "_BLOCK", size)
+    assert [sorted(g for b in L.blocks_of(t) for g in L.grams([b])[0].tolist()) for t in texts] == whole
+    got, m = L.GramVectors(64).profiles(texts)
+    assert np.allclose(got, want, atol=1e-6) and (m == n).all()
+
+
+def test_choice_is_the_nearest_centred_prototype(spark, sf_dir):
+    """Profiles, centring, cosine and choice written out one text at a time."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names, matrix = L.prototypes(docs.where(~L.held_out(F.col("doc_id"))))
+    v, centre = L.GramVectors(matrix.shape[1]), matrix.mean(axis=0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.identify(docs, names, matrix).collect()}
+    for r in docs.select("doc_id", "text").collect()[::5]:
+        low = "\0" + "".join(c if c.isalpha() else "\0" for c in (r.text or "").lower()) + "\0"
+        while "\0\0" in low:
+            low = low.replace("\0\0", "\0")
+        if low == "\0":
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        profile = np.zeros(matrix.shape[1])
+        for i in range(len(low) - 2):
+            profile += v.of_gram(sum(ord(c) << 21 * (2 - k) for k, c in enumerate(low[i : i + 3])))
+        profile = profile / np.linalg.norm(profile) - centre
+        cosine = [profile @ (p - centre) / np.linalg.norm(profile) / np.linalg.norm(p - centre) for p in matrix]
+        best = int(np.argmax(cosine))
+        assert got[r.doc_id][0] == names[best] and got[r.doc_id][1] == pytest.approx(max(0, cosine[best]), abs=1e-4)
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     names, matrix = L.prototypes(docs.where(~L.held_out(F.col("doc_id"))))

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.cases import SCHEMA, no_docs, odd_docs, odd_rows, prose
 
 from tapeline.llm import mixing
@@ -60,5 +61,37 @@ def test_taken_rows_are_documents(spark):
     assert rows.count() == (taken.taken[taken["size"] > 0] // taken["size"][taken["size"] > 0]).sum()
 
 
+def queues(rows, weights=(1, 2, 3), epochs=3):
+    """Words taken of each row, by serving the queues one entry after another. Rows: (shuffle hash, doc_id, text, source)."""
+    sizes, queue = {}, {}
+    for h, doc, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + words(text)
+        queue.setdefault(source, []).append((h, doc is None, doc or 0, words(text)))
+    target, order = targets(sizes, weights, epochs), sorted(s for s in sizes if s is not None) + [s for s in sizes if s is None]
+    served, entries, row = dict.fromkeys(sizes, 0), [], 0
+    for rank, source in enumerate(order):
+        queue[source].sort()
+        for epoch in range(epochs):
+            for k, (_, none, doc, size) in enumerate(queue[source]):
+                if size:
+                    served[source] += size
+                    entries.append((served[source] / target[source], rank, epoch, k, none, doc, size))
+    budget, total, taken = sum(sizes.values()), 0, {}
+    for *_, none, doc, size in sorted(entries):
+        if total + size <= budget:
+            taken[None if none else doc] = taken.get(None if none else doc, 0) + size
+        total += size
+    return taken
+
+
+def test_taken_words_are_those_of_queues_served_in_turn(spark):
+    rows = [(i, prose(i, 5 + i * 7 % 40), "en", [None, "a", "b", "c", "tiny"][min(i % 4, 3) if i % 50 else 4], 1) for i in range(400)] + [(1000, None, "en", "a", 1), (1001, "", "en", "none", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    hashed = [tuple(r) for r in docs.select(F.xxhash64(F.lit(7), "doc_id"), "doc_id", "text", "source").collect()]
+    got = {r.doc_id: r.taken for r in mixing.mix(docs).collect() if r.taken}
+    assert got == queues(hashed)
+
+
 def test_empty_table(spark):
+    assert mixing.take_mix(no_docs(spark), ("doc_id", "text", "lang", "source", "n_chars")).count() == 0
     assert mixing.mix(no_docs(spark)).count() == 0

@@ -9,8 +9,7 @@ def numbers(texts):
     return [np.array(sorted(Q.slot(w) for w in Q.words(t)), np.int64) for t in texts]
 
 
-def test_thresholds_rise_and_slope_is_right():
-    rng = np.random.default_rng(1)
+def test_thresholds_rise_and_grades_are_told_apart():
     texts = [prose(i, 20) + (" bad" * (i % 3 == 0)) + (" fine" * (i % 3 == 2)) for i in range(300)]
     grades = np.array([i % 3 for i in range(300)])
     model = Q.fit(numbers(texts), grades, 3)
@@ -19,7 +18,44 @@ def test_thresholds_rise_and_slope_is_right():
     below = model.at_most(z)
     expected = (1 - below).sum(axis=1)
     assert expected[grades == 0].max() < expected[grades == 1].min() and expected[grades == 1].max() < expected[grades == 2].min()
-    assert ((0 <= below) & (below <= 1)).all() and (below[:, 0] <= below[:, 1]).all() and rng is not None
+    assert ((0 <= below) & (below <= 1)).all() and (below[:, 0] <= below[:, 1]).all()
+
+
+def loss(weights, first, gaps, texts, grades, ridge):
+    """Mean negative log likelihood of the grades, one text at a time."""
+    cuts, total = np.concatenate(([-np.inf], first + np.concatenate(([0.0], np.cumsum(np.exp(gaps)))), [np.inf])), 0.0
+    for t, g in zip(texts, grades):
+        z = sum(weights[w] for w in t)
+        total -= np.log(1 / (1 + np.exp(z - cuts[g + 1])) - 1 / (1 + np.exp(z - cuts[g])))
+    return total / len(texts) + ridge / 2 * sum(w * w for w in weights.values())
+
+
+def test_fit_is_at_the_least_loss():
+    """No single weight or threshold can be moved to a lower loss: the slopes that the fit follows are those of the likelihood."""
+    rng = np.random.default_rng(4)
+    grades = np.array([i % 4 for i in range(160)])
+    texts = [np.flatnonzero(rng.random(6) < 0.2 + 0.15 * g * np.arange(6) / 6) + 10 for g in grades]
+    model = Q.fit(texts, grades, 4, steps=4000, rate=0.02, ridge=0.01, least=1)
+    weights = {w: model.weights[w] for w in range(10, 16)}
+    first, gaps = model.thresholds[0], np.log(np.diff(model.thresholds))
+    best = loss(weights, first, gaps, texts, grades, 0.01)
+    for d in (-0.05, 0.05):
+        assert loss(weights, first + d, gaps, texts, grades, 0.01) > best
+        for k in range(2):
+            assert loss(weights, first, gaps + d * (np.arange(2) == k), texts, grades, 0.01) > best
+        for w in weights:
+            assert loss(weights | {w: weights[w] + d}, first, gaps, texts, grades, 0.01) > best
+
+
+def test_grades_against_sums_written_out(spark):
+    rng = np.random.default_rng(5)
+    model = Q.Model(rng.normal(size=1 << Q.BITS), np.array([-0.5, 0.7]))
+    got = {r.doc_id: (r.expected_grade, r.tail_probability) for r in Q.grade(odd_docs(spark), model, 2).collect()}
+    for doc, text, *_ in odd_rows():
+        if doc is not None:
+            z = sum(model.weights[Q.slot(w)] for w in Q.words(text or ""))
+            above = [1 - 1 / (1 + np.exp(np.clip(z - t, -40, 40))) for t in model.thresholds]
+            assert np.allclose(got[doc], (sum(above), above[1]), atol=1e-9)
 
 
 def test_held_out_selection(spark):
