@@ -14,6 +14,7 @@ from tapeline.queries.replay import PANEL
 from tapeline.queries.state import CHANGES, STATE, STREAK
 from tapeline.session import work_path
 from tapeline.sources import driver_tables as D
+from tapeline.streaming import keyed as K
 from tapeline.streaming import news as S
 from tapeline.streaming import state as T
 
@@ -63,17 +64,41 @@ def s22(spark, sf):
     return drained(spark, stream(spark, news_rows(spark, sf), 4, 1)).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("r02_watermark_overlap", C.with_ctes(C.NEWS, NORMAL, select="SELECT doc_id, strftime(collected, '%Y-%m-%d %H:%M:%S') AS event_time FROM norm"))
+def in_batches(spark, df, batch, n=4):
+    """A landing folder whose files are the rows of batch 0, 1 and so on, in that order; one file is one batch."""
+    path = work_path(spark, "landing")
+    for k in range(n):
+        df.where(batch == k).coalesce(1).write.mode("append").json(path)
+    return S.landing_stream(spark, path, ", ".join(f"`{c}` {t}" for c, t in df.dtypes), 1)
+
+
+ITEM_FIELDS = ("doc_id", "source", "title", "content", "url", "publish_time", "stock_code", "collected_at")
+ALL_TIME = "20000 days"
+
+
+@query("r02_watermark_overlap", C.with_ctes(C.NEWS, NORMAL, select=f"""
+, b AS (SELECT *, {KEY} AS item_key, doc_id % 4 AS batch, collected - interval 8 hour AS event_time FROM norm),
+w AS (SELECT batch, max(max(event_time)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - interval 10 minute AS watermark FROM b GROUP BY batch),
+r AS (SELECT *, coalesce(event_time < watermark, false) AS late FROM b JOIN w USING (batch))
+SELECT doc_id, CASE WHEN late THEN 'late' ELSE 'first' END AS route, strftime(collected, '%Y-%m-%d %H:%M:%S') AS event_time
+FROM r WHERE late OR doc_id = (SELECT min(doc_id) FROM r q WHERE q.item_key = r.item_key AND NOT q.late)"""))
 def r02(spark, sf):
-    out = drained(spark, S.with_event_time(stream(spark, news_rows(spark, sf))))
-    return out.select("doc_id", F.substring(beijing("event_time"), 1, 19).alias("event_time"))
+    """Rows are dealt to four batches by doc_id, so most come after the watermark of ten minutes: those are routed aside."""
+    store, rows = work_path(spark, "watermark"), news_rows(spark, sf)
+    S.keep_distinct(in_batches(spark, rows, F.pmod("doc_id", F.lit(4))), store, work_path(spark, "cp"), "doc_id", hold=ALL_TIME)
+    schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+    sides = [K.distinct_items(spark, store, schema).withColumn("route", F.lit("first")), K.late_rows(spark, store, schema).withColumn("route", F.lit("late"))]
+    out = sides[0].unionByName(sides[1]).withColumn("event_time", S.event_time("collected_at"))
+    return out.select("doc_id", "route", F.substring(beijing("event_time"), 1, 19).alias("event_time"))
 
 
-@query("r03_stream_dedup", C.with_ctes(C.NEWS, NORMAL, select=f"SELECT DISTINCT sha256({KEY}) AS item_hash FROM norm"))
+@query("r03_stream_dedup", C.with_ctes(C.NEWS, NORMAL, select=f"""
+SELECT sha256({KEY}) AS item_hash, {", ".join(f"arg_min({c}, doc_id) AS {c}" if c != "doc_id" else "min(doc_id) AS doc_id" for c in ITEM_FIELDS)} FROM norm GROUP BY {KEY}"""))
 def r03(spark, sf):
-    store = work_path(spark, "distinct")
-    S.keep_distinct(spark, stream(spark, shuffled(news_rows(spark, sf)), 4, 1), store, work_path(spark, "cp"))
-    return spark.read.parquet(store).select("item_hash")
+    """Four shuffled batches; the watermark waits so long that no row is late."""
+    store, rows = work_path(spark, "distinct"), news_rows(spark, sf)
+    S.keep_distinct(stream(spark, shuffled(rows), 4, 1), store, work_path(spark, "cp"), "doc_id", delay=ALL_TIME)
+    return K.distinct_items(spark, store, ", ".join(f"{c} {t}" for c, t in rows.dtypes)).select(F.col("item_key").alias("item_hash"), *ITEM_FIELDS)
 
 
 @query("r04_late_rows", C.with_ctes(C.NEWS, NORMAL, select=f"SELECT CASE WHEN latency_minutes > 180 THEN 'late' ELSE 'on_time' END AS route, {LEVEL} AS latency_level, count(*) AS n FROM norm GROUP BY 1, 2"))

@@ -12,7 +12,8 @@ from tapeline.functions.hashing import dedup_hash
 from tapeline.functions.times import iso_to_beijing, latency_level
 from tapeline.operators.keywords import extract_keywords, item_text
 from tapeline.operators.news import merge_duplicates
-from tapeline.sources.stores import path_exists, write_news_store
+from tapeline.sources.stores import write_news_store
+from tapeline.streaming import keyed
 
 OVERLAP = "10 minutes"
 
@@ -35,17 +36,9 @@ def with_event_time(items: DataFrame, column: str = "collected_at", delay: str =
     return items.withColumn("event_time", event_time(column)).withWatermark("event_time", delay)
 
 
-def keep_distinct(spark: SparkSession, items: DataFrame, store: str, checkpoint: str) -> None:
-    """The first copy of every item, however long ago an equal one came: new keys are those that no earlier batch stored."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        fresh = batch.withColumn("item_hash", dedup_hash()).dropDuplicates(["item_hash"])
-        if path_exists(spark, store):
-            seen = spark.read.parquet(store).where(F.col("batch") < number).select("item_hash")
-            fresh = fresh.join(seen, "item_hash", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{store}/batch={number}")
-
-    run_batches(items, write, checkpoint)
+def keep_distinct(items: DataFrame, store: str, checkpoint: str, arrival: str, delay: str = OVERLAP, hold: str = "1 day") -> StreamingQuery:
+    """The first copy of every item in order of ``arrival``, and the rows later than ``delay``; see ``streaming.keyed``."""
+    return keyed.keep_distinct(with_event_time(items, delay=delay), dedup_hash(), F.col(arrival), store, checkpoint, hold)
 
 
 def keyword_counts(
