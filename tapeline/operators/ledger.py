@@ -1,23 +1,30 @@
 """Holdings as a fold over an append-only trade log.
 
-The average cost is rounded after every buy, so trades of one position must be applied in order. A position that is
-sold out starts afresh, which gives exact cut points: the held quantity is found in parallel first, the log is split
-after each full exit, and only the trades between two exits form one ordered run. Runs are streamed through a sorted
-partition with constant state; no group is ever gathered.
+A trade moves the held quantity x by a map max(x + a, b), or sets it, and such maps compose to one of the same form. So the
+log is cut into ranges of about equal size; each range is one pass that composes the maps of a key from its start, and a single
+row for each range carries what came before it. The quantity before every trade follows, and with it what was rejected and
+where a position was opened, set anew or sold out.
+
+The average cost is rounded after every buy, so the trades of one position must be applied in order. Only those that still
+count are: for each key those after it was last sold out, or from the last correction that sets quantity and cost. They are
+streamed through sorted partitions with constant state.
+
+A correction of one number where nothing is held opens a position with an unknown one, which no such map describes. Keys with
+one are applied in full, in runs that begin at each sale of everything and each correction of both numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.operators.scaling import ordered_extreme, ordered_totals, range_buckets
+from tapeline.operators.scaling import composed_moves
 
 KEY = ["account", "code"]
-RESULT = "account bigint, code string, segment bigint, name string, quantity bigint, average_cost double, opened_at timestamp_ntz, last_updated_at timestamp_ntz, trades bigint, rejected bigint"
+RUN = "account bigint, code string, run bigint, name string, quantity bigint, average_cost double, opened_at timestamp_ntz, last_updated_at timestamp_ntz, held boolean, afresh boolean, first_at timestamp_ntz, trades bigint, rejected bigint"
 
 
 def apply_trade(position: dict | None, side: str, quantity: int | None, price: float | None, name: str, at) -> tuple[dict | None, bool]:
@@ -50,68 +57,107 @@ def apply_trade(position: dict | None, side: str, quantity: int | None, price: f
     }, True
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Streams sorted trades; emits one row per (account, code, segment)."""
-    key, position, trades, rejected, done = None, None, 0, 0, []
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Streams sorted trades; emits one row per (account, code, run). ``afresh``: nothing was held at some point of the run."""
+    names, key, done = [f.split()[0] for f in RUN.split(", ")], None, []
+    position, trades, rejected, afresh, first_at = None, 0, 0, False, None
 
     def close() -> tuple:
         p = position or {}
-        return (*key, p.get("name"), p.get("quantity", 0 if position is None else None), p.get("cost"), p.get("opened"), p.get("updated"), trades, rejected)
+        return (*key, p.get("name"), p.get("quantity", 0 if position is None else None), p.get("cost"), p.get("opened"), p.get("updated"), position is not None, afresh, first_at, trades, rejected)
 
-    names = [f.split()[0] for f in RESULT.split(", ")]
-    for pdf in batches:
-        for row in pdf.itertuples(index=False):
-            here = (row.account, row.code, row.segment)
-            if here != key:
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        stamp = pa.timestamp("us")
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.float64(), stamp, stamp, pa.bool_(), pa.bool_(), stamp, pa.int64(), pa.int64()]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    for batch in batches:
+        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*KEY, "run", "side", "quantity", "price", "name", "at")]
+        for account, code, run, side, quantity, price, name, at in zip(*columns):
+            if (account, code, run) != key:
                 if key is not None:
                     done.append(close())
-                key, position, trades, rejected = here, None, 0, 0
-            quantity = None if pd.isna(row.quantity) else int(row.quantity)
-            price = None if pd.isna(row.price) else float(row.price)
-            position, accepted = apply_trade(position, row.side, quantity, price, row.name, row.at)
-            trades, rejected = trades + 1, rejected + (not accepted)
+                resets = side not in ("sell", "buy") and (quantity or 0) > 0 and (price or 0) > 0
+                key, position, trades, rejected, afresh, first_at = (account, code, run), None, 0, 0, not resets, at
+            position, accepted = apply_trade(position, side, quantity, None if price is None or price != price else price, name, at)
+            trades, rejected, afresh = trades + 1, rejected + (not accepted), afresh or position is None
         if done:
-            yield pd.DataFrame(done, columns=names)
+            yield packed(done)
             done = []
     if key is not None:
-        yield pd.DataFrame([close()], columns=names)
+        yield packed([close()])
 
 
-def with_segments(trades: DataFrame) -> DataFrame:
-    """``segment`` per trade: how many full exits its key had before it.
+def _kinds() -> dict[str, Column]:
+    """What a trade does, by its own numbers: null-safe conditions."""
+    side, quantity, price = F.col("side"), F.col("quantity"), F.when(~F.isnan("price"), F.col("price"))
+    bad = F.coalesce((quantity <= 0) | ((price <= 0) & (side != "sell")), F.lit(False))
+    sell, buy = ~bad & (side == "sell"), ~bad & (side == "buy")
+    fix = ~bad & ~side.isin("sell", "buy")
+    whole = quantity.isNotNull() & price.isNotNull()
+    return {
+        "bad": bad, "sell": sell, "all": sell & quantity.isNull(), "buy": buy & whole, "halfbuy": buy & ~whole,
+        "reset": fix & whole, "sets": fix & quantity.isNotNull(), "partial": fix & ~whole,
+    }
 
-    With known quantities the holding is a walk that never drops below zero: the running sum minus its lowest value so
-    far. It is taken in ranges of about equally many trades. A rejected trade does not move it. Keys with corrections, or
-    with buys or sells whose numbers are unknown, have no such walk and stay one segment, which is streamed like any other.
+
+def moved(trades: DataFrame) -> DataFrame:
+    """Each trade with ``held`` (the quantity before it), ``_tie`` (last sort key) and ``sold_out`` and ``resets`` (how many sales of
+    everything and corrections of both numbers its key had before it). ``held`` is right up to a key's first ``partial``
+    correction where nothing is held, and again after the next sale of everything or correction of both numbers.
     """
-    known = (F.col("quantity").isNotNull() & (F.col("side") == "sell")) | ((F.col("side") == "buy") & F.col("quantity").isNotNull() & F.col("price").isNotNull())
-    plain = trades.groupBy(*KEY).agg(F.min(F.coalesce(known, F.lit(False)).cast("int")).alias("_plain"))
-    df = range_buckets(trades.join(plain, KEY), KEY, ["seq"], "trades")
-    order, bucket = ["seq", "_tie"], F.col("_bucket")
-    rejected = (F.col("quantity") <= 0) | ((F.col("price") <= 0) & (F.col("side") != "sell"))
-    step = F.when(rejected, 0).when(F.col("side") == "buy", F.col("quantity")).otherwise(-F.col("quantity"))
-    df = ordered_totals(df, KEY, bucket, order, {"_sum": step})
-    df = ordered_extreme(df, KEY, bucket, order, F.col("_sum"), "_low", largest=False)
-    out = (F.col("_plain") == 1) & (F.col("side") == "sell") & (F.col("_sum") - F.least("_low", F.lit(0)) == 0)
-    df = df.withColumn("_exit", F.coalesce(out, F.lit(False)).cast("bigint"))
-    df = ordered_totals(df, KEY, bucket, order, {"_exits": F.col("_exit")})
-    return df.select(*trades.columns, (F.col("_exits") - F.col("_exit")).alias("segment"))
+    k, n = _kinds(), F.col("quantity")
+    add = F.when(k["sell"], -n).when(k["buy"], n).otherwise(0)
+    low = F.when(k["buy"] | k["sets"], n).otherwise(0)
+    flat = k["all"] | k["sets"]  # the quantity after it does not depend on the one before
+    counts = {"sold_out": k["all"].cast("bigint"), "resets": k["reset"].cast("bigint")}
+    return composed_moves(trades, KEY, ["seq"], F.coalesce(add, F.lit(0)), F.coalesce(low, F.lit(0)), flat, "held", counts, "trades")
 
 
 def holdings(trades: DataFrame) -> DataFrame:
-    """Final position per (account, code) and the number of rejected trades.
+    """Final position per (account, code) and the number of trades and of rejected ones.
 
-    ``trades``: account, code, name, seq (total order), side buy|sell|upsert, quantity, price, at.
+    ``trades``: account, code, name, seq (total order), side buy|sell|upsert, quantity, price, at. A quantity or price may be
+    null (unknown): such a sell sells everything, such a buy is rejected, such an upsert leaves the number as it is. Trades without an
+    account or a code are left out.
     """
-    df = with_segments(trades)
-    slim = df.select(F.col("account").cast("bigint").alias("account"), "code", "segment", "name", "seq", "side", "quantity", "price", "at")
-    run = slim.repartition("account", "code", "segment").sortWithinPartitions("account", "code", "segment", "seq")
-    folded = run.drop("seq").mapInPandas(_fold, RESULT)
+    named = trades.where(F.col("account").isNotNull() & F.col("code").isNotNull())
+    rows = moved(named.withColumn("account", F.col("account").cast("bigint")))
+    k, held, n = _kinds(), F.col("held"), F.col("quantity")
+    after = F.when(k["all"], 0).when(k["sell"], F.greatest(held - n, F.lit(0))).when(k["buy"], held + n).when(k["sets"], n).otherwise(held)
+    rejected = k["bad"] | (k["sell"] & (held == 0)) | k["halfbuy"]
+    place = F.struct("seq", "_tie")
+    rows = rows.withColumns({
+        "_after": after, "_rejected": rejected, "_unknown": k["partial"] & (held == 0), "_place": place, "_reset": k["reset"], "_opens": (held == 0) & (after > 0),
+    })
+    keys = rows.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("trades"), F.sum(F.col("_rejected").cast("bigint")).alias("rejected"), F.max("_unknown").alias("_odd"),
+        F.max(F.when(F.col("_after") == 0, F.col("_place"))).alias("_none"), F.max(F.when(F.col("_reset"), F.col("_place"))).alias("_set"),
+        F.max_by("at", F.when(F.col("_opens"), F.col("_place"))).alias("_opened"),
+    )
+    rows = rows.join(keys.select(*KEY, "_odd", "_none", "_set"), KEY)
+    since = (F.col("_none").isNull() | (F.col("_place") > F.col("_none"))) & (F.col("_set").isNull() | (F.col("_place") >= F.col("_set")))
+    run = F.when(F.col("_odd"), F.col("sold_out") + F.col("resets") + F.col("_reset").cast("bigint")).otherwise(0)
+    slim = rows.where(F.col("_odd") | since).select(*KEY, run.alias("run"), "seq", "_tie", "side", "quantity", "price", "name", "at")
+    order = [*KEY, "run", "seq", "_tie"]
+    folded = slim.repartition(*KEY, "run").sortWithinPartitions(*order).drop("seq", "_tie").mapInArrow(_fold, RUN)
+    # a run that begins with a correction and never holds nothing goes on with the position of the run before it
+    state = F.struct("name", "quantity", "average_cost", "last_updated_at", "held")
     last = folded.groupBy(*KEY).agg(
-        F.max_by(F.struct("name", "quantity", "average_cost", "opened_at", "last_updated_at"), "segment").alias("_p"),
-        F.sum("trades").alias("trades"), F.sum("rejected").alias("rejected"),
+        F.max_by(state, "run").alias("_p"), F.sum("rejected").alias("_rejected"), F.max("run").alias("_last"),
+        F.max(F.when(F.col("afresh"), F.col("run"))).alias("_afresh"), F.max_by("opened_at", F.when(F.col("afresh"), F.col("run"))).alias("_opened_in"),
+        F.max_by("held", F.when(F.col("afresh"), F.col("run"))).alias("_kept"),
+    )
+    # the first run after the last one that ended with nothing, or the very first
+    heirs = folded.join(last.select(*KEY, "_afresh", "_kept"), KEY).where(F.col("_afresh").isNull() | (F.col("run") > F.col("_afresh")))
+    heirs = heirs.groupBy(*KEY).agg(F.min_by("first_at", "run").alias("_inherited"))
+    out = keys.join(last, KEY, "left").join(heirs, KEY, "left")
+    opened = F.when(~F.col("_odd"), F.col("_opened")).when(F.coalesce("_kept", F.lit(False)), F.col("_opened_in")).otherwise(F.col("_inherited"))
+    return out.select(
+        *KEY, F.col("_p.name").alias("name"), F.when(F.col("_p").isNull(), 0).otherwise(F.col("_p.quantity")).alias("quantity"), F.col("_p.average_cost").alias("average_cost"),
+        F.when(F.coalesce("_p.held", F.lit(False)), opened).alias("opened_at"), F.col("_p.last_updated_at").alias("last_updated_at"),
+        "trades", F.when(F.col("_odd"), F.col("_rejected")).otherwise(F.col("rejected")).alias("rejected"),
     )
-    return last.select(*KEY, "_p.*", "trades", "rejected")
 
 
 def open_positions(held: DataFrame) -> DataFrame:

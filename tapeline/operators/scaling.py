@@ -2,6 +2,7 @@
 
 * ``percentile_rank``  cross-sectional rank without a per-group window over raw rows
 * ``ordered_totals``   running totals in two levels: inside small buckets, then across bucket sums
+* ``composed_moves``   a value moved by max(x + a, b) or set, row after row: one pass per range and a row to carry over
 * ``neighbours``       first / previous value per row in two levels
 * ``latest_by``        newest record per key by a map-side combining aggregate
 * ``top_n``            best rows per group; Spark cuts each task to ``n`` rows before the shuffle
@@ -9,10 +10,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from tapeline.session import staged
 
@@ -170,3 +175,112 @@ def ordered_extreme(
     joined = base.withColumn("_run", agg("_v").over(inside)).join(carry, [*by, "_b"])
     # greatest / least skip nulls.
     return joined.select(*[c for c in df.columns if c != out], pick("_run", "_carry").alias(out))
+
+
+class MovesInRange:
+    """Composes the moves of each key over the sorted rows of one range, batch after batch.
+
+    A move is (flat, add, low): x becomes low if flat, else max(x + add, low). A run of moves without a flat one is again
+    such a move: its add is the sum, and its low is the largest of each row's low plus what later rows add.
+    """
+
+    def __init__(self, by: Sequence[str], counts: Sequence[str]):
+        self.by, self.counts, self.key = list(by), list(counts), None
+        self.before = (False, 0, 0)
+        self.counted = [0] * len(self.counts)
+
+    def __call__(self, batch: pa.RecordBatch) -> list[np.ndarray]:
+        """For each row what its key's rows before it in the range make: flat, add, low and the counts."""
+        column = lambda c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
+        n, keys = batch.num_rows, [column(c) for c in self.by]
+        starts = np.zeros(n, bool)
+        for k in keys:
+            starts[1:] |= k[1:] != k[:-1]
+        first = tuple(k[0] for k in keys)
+        goes_on = first == self.key
+        starts[0] = True
+        # a row before each key's first: what came before, or nothing
+        at = np.flatnonzero(starts)
+        row = np.arange(n) + np.cumsum(starts)  # places of the rows among all
+        flat, add, low = np.zeros(n + len(at), bool), np.zeros(n + len(at), np.int64), np.zeros(n + len(at), np.int64)
+        flat[row], add[row], low[row] = column("_flat").astype(bool), column("_add"), column("_low")
+        lead = row[at] - 1
+        if goes_on:
+            flat[0], add[0], low[0] = self.before
+        add[flat] = 0
+        begins = flat.copy()
+        begins[lead] = True
+        run = np.cumsum(begins) - 1
+        where = np.flatnonzero(begins)
+        total = np.cumsum(add)
+        summed = total - (total - add)[where][run]
+        lowest = total + pd.Series(low - total).groupby(run).cummax().to_numpy()
+        is_flat = flat[where][run]
+        out = [is_flat[row - 1], summed[row - 1], lowest[row - 1]]
+        self.before = (bool(is_flat[-1]), int(summed[-1]), int(lowest[-1]))
+        for i, c in enumerate(self.counts):
+            each = column(f"_c_{c}").astype(np.int64)
+            running = np.cumsum(each) - each
+            base = np.repeat(running[at], np.diff(np.append(at, n)))
+            got = running - base
+            if goes_on:
+                got[: at[1] if len(at) > 1 else n] += self.counted[i]
+            out.append(got)
+            self.counted[i] = int(got[-1] + each[-1])
+        self.key = tuple(k[-1] for k in keys)
+        return out
+
+
+def composed_moves(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], add: Column, low: Column, flat: Column, out: str, counts: dict[str, Column], label: str
+) -> DataFrame:
+    """Adds ``out``, a whole number that starts at zero in each key and that every row moves, as it is before the row.
+
+    A row sets it to ``low`` where ``flat``, else to max(``out`` + ``add``, ``low``); it must not fall below zero. ``counts`` are running sums before
+    the row, by name. Rows that tie in ``order`` follow their read order, which is kept in ``_tie``. Rows are cut into ranges of about
+    equal size along (``by``, ``order``), so a key with any share of all rows is split; each range is sorted and passed once, and stored. What
+    came before a range concerns only the key that it starts with, so at most one row for each range is carried over.
+    """
+    by, totals, named = list(by), list(counts), {"_add": add.cast("bigint"), "_low": low.cast("bigint"), "_flat": F.coalesce(flat, F.lit(False)), **{f"_c_{k}": c for k, c in counts.items()}}
+    tied = df.withColumns(named | {"_tie": F.monotonically_increasing_id()})
+    line = [*by, *order, "_tie"]
+    ranged = tied.repartitionByRange(*line).sortWithinPartitions(*line).withColumn("_range", F.spark_partition_id())
+    fields = [StructField("_pflat", BooleanType()), *(StructField(c, LongType()) for c in ("_padd", "_plow", *(f"_p_{k}" for k in counts)))]
+    added = [f.name for f in fields]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moves = MovesInRange(by, totals)
+        for batch in batches:
+            if batch.num_rows:
+                flat_, *whole = moves(batch)
+                yield pa.record_batch([*batch.columns, pa.array(flat_), *(pa.array(w, pa.int64()) for w in whole)], [*batch.schema.names, *added])
+
+    rows = staged(ranged.mapInArrow(scan, StructType([*ranged.schema.fields, *fields])), label)
+    # the move of a whole key in a range: what came before its last row, and that row
+    total = F.struct(
+        (F.col("_pflat") | F.col("_flat")).alias("flat"), F.when(F.col("_flat"), 0).otherwise(F.col("_padd") + F.col("_add")).alias("add"),
+        F.when(F.col("_flat"), F.col("_low")).otherwise(F.greatest(F.col("_plow") + F.col("_add"), "_low")).alias("low"),
+        *[(F.col(f"_p_{k}") + F.col(f"_c_{k}")).alias(k) for k in counts],
+    )
+    tails = rows.groupBy(*by, "_range").agg(F.max_by(total, F.struct(*order, "_tie")).alias("_m")).select(*by, "_range", "_m.*")
+    several = tails.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by))).where(F.col("_n") > 1).drop("_n")
+
+    def carry(key: tuple, ranges: pa.Table) -> pa.Table:
+        value, counted, got = 0, [0] * len(totals), []
+        for r in ranges.sort_by("_range").to_pylist():
+            got.append((r["_range"], value, *counted))
+            value = r["low"] if r["flat"] else max(value + r["add"], r["low"])
+            counted = [c + r[k] for c, k in zip(counted, totals)]
+        columns = list(zip(*got[1:]))
+        kept = [pa.array([k.as_py()] * len(got[1:]), f.type) for k, f in zip(key, [ranges.schema.field(c) for c in by])]
+        return pa.table([*kept, pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])], [*by, "_range", "_x", *(f"_x_{k}" for k in totals)])
+
+    shape = StructType([*(rows.schema[c] for c in by), rows.schema["_range"], *(StructField(c, LongType()) for c in ("_x", *(f"_x_{k}" for k in counts)))])
+    carried = F.broadcast(several.groupBy(*by).applyInArrow(carry, shape))  # one row for each range but the first, at most
+    same = rows["_range"] == carried["_range"]
+    for c in by:
+        same = same & rows[c].eqNullSafe(carried[c])
+    joined = rows.join(carried, same, "left").select(*[rows[c] for c in rows.columns], "_x", *(f"_x_{k}" for k in counts))
+    start = F.coalesce("_x", F.lit(0))
+    value = F.when(F.col("_pflat"), F.col("_plow")).otherwise(F.greatest(start + F.col("_padd"), "_plow"))
+    return joined.select(*df.columns, "_tie", value.alias(out), *[(F.coalesce(f"_x_{k}", F.lit(0)) + F.col(f"_p_{k}")).alias(k) for k in counts])

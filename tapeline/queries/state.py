@@ -116,6 +116,38 @@ def c17(spark, sf):
     return held.select("account", "code", "quantity", "average_cost", "trades", "rejected")
 
 
+FIXES = """fixes AS (SELECT account, code, name, seq,
+ CASE WHEN side = 'buy' AND struct_extract(seq, 2) % 7 = 0 THEN 'upsert' ELSE side END AS side,
+ CASE WHEN side = 'sell' AND struct_extract(seq, 2) % 5 = 0 OR side = 'buy' AND struct_extract(seq, 2) % 21 = 7 THEN NULL ELSE quantity END AS quantity,
+ CASE WHEN side = 'buy' AND struct_extract(seq, 2) % 21 = 14 THEN NULL ELSE price END AS price FROM trades)"""
+
+
+@query("c17_corrections", "WITH RECURSIVE " + C.TRADES + "," + FIXES + """,
+t AS (SELECT *, row_number() OVER (PARTITION BY account, code ORDER BY seq) AS i FROM fixes),
+f AS (SELECT account, code, 0::bigint AS i, false AS held, NULL::bigint AS q, NULL::double AS c, 0::bigint AS rejected FROM (SELECT DISTINCT account, code FROM t)
+ UNION ALL SELECT t.account, t.code, t.i,
+  CASE side WHEN 'sell' THEN held AND NOT coalesce(quantity IS NULL OR quantity >= q, false) ELSE true END,
+  CASE WHEN side = 'sell' THEN CASE WHEN quantity IS NULL OR quantity >= q THEN NULL WHEN q IS NULL THEN NULL ELSE q - quantity END
+   WHEN side = 'upsert' THEN CASE WHEN held THEN coalesce(quantity, q) ELSE quantity END
+   WHEN NOT held THEN quantity WHEN q IS NULL OR c IS NULL THEN q ELSE q + quantity END,
+  CASE WHEN side = 'sell' THEN CASE WHEN quantity IS NULL OR quantity >= q THEN NULL ELSE c END
+   WHEN side = 'upsert' THEN CASE WHEN held THEN coalesce(price, c) ELSE price END
+   WHEN NOT held THEN price WHEN q IS NULL OR c IS NULL THEN c ELSE printf('%.4f', (q * c + quantity * price) / (q + quantity))::double END,
+  rejected + CASE WHEN side = 'sell' AND (NOT held OR quantity IS NOT NULL AND q IS NULL) OR side = 'buy' AND held AND (q IS NULL OR c IS NULL) THEN 1 ELSE 0 END
+ FROM f JOIN t ON t.account = f.account AND t.code = f.code AND t.i = f.i + 1)
+SELECT account, code, CASE WHEN held THEN q ELSE 0 END AS quantity, CASE WHEN held THEN c END AS average_cost, i AS trades, rejected FROM (
+ SELECT *, row_number() OVER (PARTITION BY account, code ORDER BY i DESC) AS rn FROM f) WHERE rn = 1""")
+def c17_corrections(spark, sf):
+    """Sells of everything, and corrections of one number or of both."""
+    t, key = D.trades(spark, sf), F.col("seq.l_orderkey")
+    buy, sell = F.col("side") == "buy", F.col("side") == "sell"
+    fixed = t.withColumns({
+        "side": F.when(buy & (key % 7 == 0), "upsert").otherwise(F.col("side")),
+        "quantity": F.when(~(sell & (key % 5 == 0) | buy & (key % 21 == 7)), F.col("quantity")), "price": F.when(~(buy & (key % 21 == 14)), F.col("price")),
+    })
+    return G.holdings(fixed).select("account", "code", "quantity", "average_cost", "trades", "rejected")
+
+
 # --- journal ---------------------------------------------------------------------------------------------
 
 

@@ -134,8 +134,8 @@ def r06(spark, sf):
 def r07(spark, sf):
     """Positions kept by the stream; the check is that of the batch fold."""
     t = D.trades(spark, sf).select("account", "code", "name", "side", "quantity", "price", F.col("at").cast("timestamp").alias("at"), "seq.*")
-    store = work_path(spark, "holdings")
-    T.keep_holdings(spark, stream(spark, shuffled(t), 4, 1), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], store, work_path(spark, "cp"))
+    store, order = work_path(spark, "holdings"), [F.unix_micros(F.col("l_shipdate").cast("timestamp")), *map(F.col, ("l_orderkey", "l_linenumber", "l_partkey"))]
+    T.keep_holdings(stream(spark, shuffled(t), 4, 1), order, store, work_path(spark, "cp"), delay=ALL_TIME)
     return T.present_holdings(spark, store).select("account", "code", "quantity", "average_cost", "trades", "rejected")
 
 

@@ -6,13 +6,21 @@ and recomputes only what they touch. A batch writes under its own number, so one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import bisect
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tapeline.operators.collectors import open_attempts
 from tapeline.operators.intraday import intraday_changes
-from tapeline.operators.ledger import holdings
+from tapeline.operators.ledger import apply_trade
 from tapeline.sources.stores import delete_path, path_exists
+from tapeline.streaming.keyed import run_keyed
 from tapeline.streaming.news import run_batches
 
 
@@ -34,30 +42,113 @@ def keep_collector_health(spark: SparkSession, log: DataFrame, store: str, check
     run_batches(log, write, checkpoint)
 
 
-def keep_holdings(spark: SparkSession, trades: DataFrame, order: list[str], store: str, checkpoint: str, slots: int = 16) -> None:
-    """Appends trades to a log and recomputes the positions of the keys a batch has trades of.
+class HeldPosition(StatefulProcessor):
+    """The trades of one key in chunks by order, each with the position before it.
+
+    A trade, late or not, is put into its chunk and replayed from there; where the position before a chunk is what it was, replay
+    ends. So a batch reads the chunks it has trades for and those whose start it moves, not the log. Once the watermark has
+    passed all trades of the first chunk, it leaves the state, and the position before the next one stands for it.
+    """
 
-    ``store/positions`` holds each key's position by batch, the highest being the present one. The log is divided by a
-    hash of the key, so that a batch reads only the slots it touches.
+    def __init__(self, chunk: int):
+        self.chunk = chunk
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        # JSON: chunks (number, least order, position before, trades, rejected), the position after all, trades and rejected of chunks that left
+        self.index = handle.getValueState("index", "json string")
+        self.chunks = handle.getMapState("chunks", "number bigint", "trades string")
+
+    def load(self, number: int) -> list:
+        return json.loads(self.chunks.getValue((number,))[0]) if self.chunks.containsKey((number,)) else []
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        chunks, end, left = json.loads(self.index.get()[0]) if self.index.exists() else [[[0, None, None, 0, 0]], None, [0, 0]]
+        came = [list(json.loads(t).values()) for batch in rows for t in batch.trade]
+        fresh = [t for t in came if chunks[0][1] is None or t[0] >= chunks[0][1]]
+        starts, by = [c[1] for c in chunks[1:]], {}
+        for t in fresh:
+            by.setdefault(bisect.bisect_right(starts, t[0]), []).append(t)
+        kept, read, moved, end_so_far, number = [], 0, False, None, max(c[0] for c in chunks)
+        for n, (own, least, before, *counts) in enumerate(chunks):
+            position = end_so_far if moved else before
+            if n not in by and position == before:
+                kept.append([own, least, before, *counts])
+                moved = False
+                continue
+            stored = self.load(own)
+            read += len(stored)
+            trades = sorted(stored + by.get(n, []), key=lambda t: (t[0], repr(t[1:])))
+            size = self.chunk if len(trades) > 2 * self.chunk else max(len(trades), 1)
+            for lo in range(0, len(trades), size):
+                part = trades[lo : lo + size]
+                if lo:
+                    number += 1
+                    own, least = number, part[0][0]
+                after, rejected = replayed(position, part)
+                kept.append([own, least, position, len(part), rejected])
+                self.chunks.updateValue((own,), (json.dumps(part),))
+                position = after
+            end_so_far, moved = position, True
+        end = end_so_far if moved else end
+        while len(kept) > 1 and all(t[5] is not None and t[5] < 1000 * timerValues.getCurrentWatermarkInMs() for t in self.load(kept[0][0])):
+            number, _, _, *counts = kept.pop(0)
+            left = [x + y for x, y in zip(left, counts)]
+            self.chunks.removeKey((number,))
+        self.index.update((json.dumps([kept, end, left]),))
+        trades, rejected = (x + sum(c[i] for c in kept) for i, x in enumerate(left, 3))
+        row = (key[0], key[1], *((end or GONE)[f] for f in ("name", "quantity", "cost", "opened", "updated")), trades, rejected, len(came) - len(fresh), read)
+        kinds = {"quantity": "Int64", "opened_at": "Int64", "last_updated_at": "Int64"}
+        yield pd.DataFrame([row], columns=[f.split()[0] for f in HELD.split(", ")]).astype(kinds)
+
+    def close(self) -> None:
+        pass
+
+
+GONE = {"name": None, "quantity": 0, "cost": None, "opened": None, "updated": None}
+
+
+def replayed(position: dict | None, trades: list) -> tuple[dict | None, int]:
+    """The position after more trades, and how many of them were rejected."""
+    rejected = 0
+    for _, side, quantity, price, name, at in trades:
+        position, accepted = apply_trade(position, side, quantity, price, name, at)
+        rejected += not accepted
+    return position, rejected
+
+
+HELD = (
+    "account bigint, code string, name string, quantity bigint, average_cost double, opened_at bigint, last_updated_at bigint, trades bigint, rejected bigint, late bigint, replayed bigint"
+)
+
+
+def keep_holdings(trades: DataFrame, order: list[Column], store: str, checkpoint: str, delay: str = "7 days", chunk: int = 256) -> StreamingQuery:
+    """The position of every key a batch has trades of, from keyed state; ``present_holdings`` is the newest of each.
+
+    ``trades``: account, code, name, side, quantity, price, at (an instant), in the order of the whole numbers ``order``. Equal orders follow
+    by side, quantity and price. ``replayed`` counts the stored trades a batch read for a key. ``delay`` is how late a trade may be: chunks of trades
+    that are older than the watermark leave the state, and a trade from before them is counted as ``late`` and not applied. Trades
+    without an account or a code are left out.
     """
-    slot = F.pmod(F.xxhash64("account", "code"), F.lit(slots)).cast("int")
+    named = trades.where(F.col("account").isNotNull() & F.col("code").isNotNull())
+    timed = named.withColumn("event_time", F.col("at").cast("timestamp")).withWatermark("event_time", delay)
+    price = F.when(~F.isnan("price"), F.col("price"))
+    fields = {"o": F.array(*[c.cast("bigint") for c in order]), "s": F.col("side"), "q": F.col("quantity").cast("bigint"), "p": price, "n": F.col("name"), "t": F.unix_micros("event_time")}
+    trade = F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]), {"ignoreNullFields": "false"})
+    rows = timed.select(F.col("account").cast("bigint").alias("account"), "code", trade.alias("trade"))
+    held = rows.groupBy("account", "code").transformWithStateInPandas(HeldPosition(chunk), HELD, "Append", "EventTime")
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("slot", slot).repartition("slot").write.mode("overwrite").partitionBy("slot").parquet(f"{store}/trades/batch={number}")
-        log = spark.read.parquet(f"{store}/trades").where(F.col("batch") <= number)
-        keys = log.where(F.col("batch") == number).select("slot", "account", "code").distinct()
-        touched = log.join(keys, ["slot", "account", "code"], "left_semi").withColumn("seq", F.struct(*order))
-        held = holdings(touched.withColumn("at", F.col("at").cast("timestamp_ntz")))
-        held.write.mode("overwrite").parquet(f"{store}/positions/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{store}/positions/batch={number}")
 
-    run_batches(trades, write, checkpoint)
+    return run_keyed(held, write, checkpoint)
 
 
 def present_holdings(spark: SparkSession, store: str) -> DataFrame:
     """The newest position of every key."""
-    rows = spark.read.parquet(f"{store}/positions")
-    fields = [c for c in rows.columns if c not in ("account", "code", "batch")]
-    return rows.groupBy("account", "code").agg(F.max_by(F.struct(*fields), "batch").alias("p")).select("account", "code", "p.*")
+    rows = spark.read.parquet(f"{store}/positions").withColumns({c: F.timestamp_micros(c) for c in ("opened_at", "last_updated_at")})
+    fields = [c for c in rows.columns if c not in ("account", "code", "batch", "replayed", "late")]
+    newest = rows.groupBy("account", "code").agg(F.max_by(F.struct(*fields), "batch").alias("p"), F.sum("late").alias("late"))
+    return newest.select("account", "code", "p.*", "late")
 
 
 def keep_intraday(spark: SparkSession, ticks: DataFrame, store: str, checkpoint: str, keep_days: int | None = None) -> None:

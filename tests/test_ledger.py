@@ -38,25 +38,72 @@ def test_unknown_quantity_rejects_adds_and_partial_sells(spark):
     assert got[(1, "b")] == (0, None, 1) and got[(1, "c")] == (0, None, 1)
 
 
-def test_split_at_exits_equals_the_plain_fold(spark):
-    rng = random.Random(11)
+def plain(log):
+    """The ledger applied trade by trade."""
+    start, want = datetime(2026, 1, 1), {}
+    for i, (a, c, s, q, p) in enumerate(log):
+        pos, trades, rej = want.get((a, c), (None, 0, 0))
+        pos, ok = G.apply_trade(pos, s, q, p, f"N{i % 3}", start + timedelta(hours=i))
+        want[(a, c)] = (pos, trades + 1, rej + (not ok))
+    empty = {"name": None, "quantity": 0, "cost": None, "opened": None, "updated": None}
+    return {k: (*(tuple((p or empty)[f] for f in ("name", "quantity", "cost", "opened", "updated"))), t, r) for k, (p, t, r) in want.items()}
+
+
+def whole(spark, log, partitions=3):
+    start = datetime(2026, 1, 1)
+    rows = [(a, c, f"N{i % 3}", i, s, q, p, start + timedelta(hours=i)) for i, (a, c, s, q, p) in enumerate(log)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("timestamp", "timestamp_ntz")).repartition(partitions)
+    return {(r.account, r.code): (r.name, r.quantity, r.average_cost, r.opened_at, r.last_updated_at, r.trades, r.rejected) for r in G.holdings(df).collect()}
+
+
+def log_of(rng, n, sides, codes="wxyz", unknown=0.0):
     log = []
-    for _ in range(1500):
-        code = "hot" if rng.random() < 0.7 else rng.choice("xyz")
-        side = rng.choice(["buy", "sell", "sell"])
-        log.append((1, code, side, rng.randint(1, 9), round(rng.uniform(5, 50), 2)))
-    log += [(2, "fix", "buy", 5, 10.0), (2, "fix", "upsert", 7, None), (2, "fix", "sell", 7, None), (2, "fix", "buy", 1, 2.0)]
-    df = frame(spark, log)
-    segments = G.with_segments(df).where("code = 'hot'").select("segment").distinct().count()
-    assert segments > 50
-    want = {}
-    for a, c, s, q, p in log:
-        pos, rej = want.get((a, c), (None, 0))
-        pos, ok = G.apply_trade(pos, s, q, p, "N", None)
-        want[(a, c)] = (pos, rej + (not ok))
-    got = result(G.holdings(df))
-    for key, (pos, rej) in want.items():
-        assert got[key] == ((pos["quantity"], pos["cost"], rej) if pos else (0, None, rej))
+    for _ in range(n):
+        code = "hot" if rng.random() < 0.4 else rng.choice(codes)
+        side = rng.choice(sides)
+        q = None if rng.random() < unknown else rng.randint(-1, 9)
+        p = None if rng.random() < unknown else round(rng.uniform(-1, 50), 2)
+        log.append((1, code, side, q, p))
+    return log
+
+
+def test_buys_and_sells_with_a_hot_key(spark):
+    log = log_of(random.Random(11), 1500, ["buy", "sell", "sell"])
+    assert whole(spark, log) == plain(log)
+
+
+def test_corrections_of_both_numbers(spark):
+    log = log_of(random.Random(12), 1500, ["buy", "buy", "sell", "upsert"])
+    assert whole(spark, log) == plain(log)
+
+
+def test_unknown_numbers_everywhere(spark):
+    for seed in range(4):
+        log = log_of(random.Random(seed), 700, ["buy", "buy", "sell", "upsert", "upsert"], "abcdefgh", 0.3)
+        assert whole(spark, log) == plain(log)
+
+
+def test_short_logs_of_all_kinds(spark):
+    rng, log = random.Random(13), []
+    for key in range(600):
+        for _ in range(rng.randint(1, 6)):
+            log.append((key, "k", rng.choice(["buy", "sell", "upsert"]), rng.choice([None, None, -1, 3, 5]), rng.choice([None, 2.0, 4.0, -1.0])))
+    assert whole(spark, log) == plain(log)
+
+
+def test_a_hot_key_is_cut_into_ranges(spark):
+    log = log_of(random.Random(14), 3000, ["buy", "sell", "upsert"])
+    rows = G.moved(frame(spark, log))
+    assert rows.where("code = 'hot'").count() > 1000
+    held, want = {}, []
+    for i, (a, c, s, q, p) in enumerate(log):
+        want.append((i, held.get(c, (None, True))[0]["quantity"] if held.get(c, (None, True))[0] else 0))
+        held[c] = G.apply_trade(held.get(c, (None, True))[0], s, q, p, "N", None)
+    assert sorted((r.seq, r.held) for r in rows.collect()) == want
+
+
+def test_no_trades(spark):
+    assert G.holdings(frame(spark, [(1, "a", "buy", 1, 1.0)]).limit(0)).count() == 0
 
 
 def test_streamed_positions_equal_the_batch_fold(spark, sf_dir):

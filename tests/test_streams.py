@@ -45,16 +45,54 @@ def test_collector_health(spark):
         assert {tuple(r) for r in collector_state(kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))).collect()} == whole
 
 
+TRADES = "account bigint, code string, name string, no bigint, side string, quantity bigint, price double, at timestamp"
+
+
+def trade_rows(n, seed=4):
+    rng = random.Random(seed)
+    return [(1, rng.choice("xyyyz"), f"N{i % 3}", i, rng.choice(["buy", "buy", "sell", "upsert"]), rng.choice([None, *range(1, 9)]), rng.choice([None, *map(float, range(5, 50))]), START + timedelta(hours=i)) for i in range(n)]
+
+
+def kept_holdings(spark, rows, files, **more):
+    store = work_path(spark, "holdings")
+    T.keep_holdings(stream(spark, rows, TRADES, files), [F.col("no")], store, work_path(spark, "cp"), **more)
+    return store
+
+
 def test_holdings(spark):
-    rng = random.Random(4)
-    rows = [(1, rng.choice("xyz"), "N", i, rng.choice(["buy", "buy", "sell"]), rng.randint(1, 9), float(rng.randint(5, 50)), START + timedelta(hours=i)) for i in range(200)]
-    schema = "account bigint, code string, name string, no bigint, side string, quantity bigint, price double, at timestamp"
-    whole = spark.createDataFrame(rows, schema).withColumn("seq", F.struct("no")).withColumn("at", F.col("at").cast("timestamp_ntz"))
-    want = {(r.code, r.quantity, r.average_cost, r.trades, r.rejected) for r in holdings(whole).collect()}
+    rows = trade_rows(300)
+    whole = spark.createDataFrame(rows, TRADES).withColumn("seq", F.struct("no")).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    fields = ("code", "name", "quantity", "average_cost", "trades", "rejected")
+    want = {tuple(r[f] for f in fields) for r in holdings(whole).collect()}
     for files in (1, 5):
-        store = work_path(spark, "holdings")
-        T.keep_holdings(spark, stream(spark, rows, schema, files), ["no"], store, work_path(spark, "cp"), slots=2)
-        assert {(r.code, r.quantity, r.average_cost, r.trades, r.rejected) for r in T.present_holdings(spark, store).collect()} == want
+        held = T.present_holdings(spark, kept_holdings(spark, rows, files, delay="1000 days", chunk=8))
+        assert {tuple(r[f] for f in fields) for r in held.collect()} == want
+
+
+def test_a_late_trade_reads_its_chunk_and_what_it_moves(spark):
+    """Positions are sold out again and again, so a late trade moves one chunk, not the log behind it."""
+    sides = ["buy", "buy", "buy", "sell"]
+    rows = [(1, "a", "N", 10 * i, sides[i % 4], None if i % 4 == 3 else 2, 5.0, START + timedelta(hours=i)) for i in range(400)]
+    path = work_path(spark, "landing")
+    for part in (rows, [(1, "a", "N", 1005, "buy", 2, 5.0, START + timedelta(hours=100))]):
+        spark.createDataFrame(part, TRADES).coalesce(1).write.mode("append").json(path)
+    store = work_path(spark, "late")
+    T.keep_holdings(S.landing_stream(spark, path, TRADES, 1), [F.col("no")], store, work_path(spark, "cp"), delay="1000 days", chunk=8)
+    read = {r.batch: r.replayed for r in spark.read.parquet(f"{store}/positions").collect()}
+    assert read[0] == 0 and 0 < read[1] <= 3 * 8
+    assert T.present_holdings(spark, store).first().trades == 401
+
+
+def test_trades_the_watermark_has_passed_leave_the_state(spark):
+    rows = [(1, "a", "N", i, "buy", 1, 5.0, START + timedelta(hours=i)) for i in range(200)]
+    path = work_path(spark, "landing")
+    for part in (rows[:150], rows[150:], [(1, "a", "N", -1, "sell", 1, 5.0, START), (1, "a", "N", 300, "buy", 1, 5.0, START + timedelta(hours=300))]):
+        spark.createDataFrame(part, TRADES).coalesce(1).write.mode("append").json(path)
+    store = work_path(spark, "passed")
+    query = T.keep_holdings(S.landing_stream(spark, path, TRADES, 1), [F.col("no")], store, work_path(spark, "cp"), delay="10 hours", chunk=8)
+    held = T.present_holdings(spark, store).first()
+    assert held.late == 1 and held.quantity == 201 and held.trades == 201
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1] < 15
 
 
 def test_intraday_with_equal_times(spark):
