@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from functools import reduce
+
+import ahocorasick
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tapeline.functions.codes import normalized_name
 from tapeline.functions.text import any_keyword
+from tapeline.session import staged
 
 # Clock of the information cutoff per decision mode, and the message lookback.
 CUTOFF_CLOCK = {"morning": "09:25:00", "overnight": "15:00:00"}
@@ -49,25 +58,87 @@ def visible_messages(messages: DataFrame, decisions_: DataFrame, stamp: str = "s
     return dated.join(wanted, "_day").where(inside).drop("_day", "lower")
 
 
-#: Most characters of a name's beginning that texts are met by.
+#: Most characters of a name's beginning that texts are met by, where names are too many for an automaton.
 BLOCK = 8
+#: Names of one automaton, and automata a text is passed through. An automaton takes some hundred bytes a name in each worker.
+AUTOMATON_NAMES, AUTOMATA = 200_000, 8
+_AUTOMATA: dict[str, ahocorasick.Automaton] = {}
+
+
+def _automaton(key: str, shared: Broadcast) -> ahocorasick.Automaton:
+    """Finds all names at once; a worker builds it once and keeps the last ones."""
+    if key not in _AUTOMATA:
+        while len(_AUTOMATA) >= 2:
+            del _AUTOMATA[next(iter(_AUTOMATA))]
+        built = ahocorasick.Automaton()
+        for name, codes in shared.value.items():
+            built.add_word(name, (name, codes))
+        built.make_automaton()
+        _AUTOMATA[key] = built
+    return _AUTOMATA[key]
+
+
+def _mentions_of(items: DataFrame, names: dict[str, list]) -> DataFrame:
+    """One pass over every text (column ``_text``) with an automaton of these names."""
+    shared, key = items.sparkSession.sparkContext.broadcast(names), uuid.uuid4().hex
+    at = items.columns.index("_text")
+    pair = pa.list_(pa.struct([("code", pa.string()), ("norm_name", pa.string())]))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(key, shared)
+        for batch in batches:
+            found = []
+            for text in batch.column(at).to_pylist():
+                there = dict(v for _, v in automaton.iter(text or ""))
+                found.append([{"code": code, "norm_name": name} for name, codes in there.items() for code in codes])
+            yield pa.record_batch([*batch.columns[:at], *batch.columns[at + 1 :], pa.array(found, pair)], fields)
+
+    kept = [f for f in items.schema.fields if f.name != "_text"]
+    mention = ArrayType(StructType([StructField("code", StringType()), StructField("norm_name", StringType())]))
+    fields = [*(f.name for f in kept), "_mentions"]
+    # a row for each mention is made afterwards, from the columns that are asked for
+    out = items.mapInArrow(find, StructType([*kept, StructField("_mentions", mention)]))
+    return out.select(*[f.name for f in kept], F.explode("_mentions").alias("_m")).select(*[f.name for f in kept], "_m.code", "_m.norm_name")
 
 
 def name_mentions(items: DataFrame, names: DataFrame, text: str = "title", min_length: int = 3) -> DataFrame:
     """Which names occur inside which texts: (item columns, code, norm_name), one row per pair.
 
-    A text is split into characters once, and its distinct runs of as many characters as the shortest name has, at most
-    ``BLOCK``, are joined with the beginnings of the names; what meets is then searched for as a whole. Work is linear in the
-    length of a text.
+    An Aho-Corasick automaton finds all names in one pass over a text; nothing is shuffled and no text is copied. Names beyond
+    ``AUTOMATON_NAMES`` are split by their first characters over several automata, and each takes a pass. Names beyond all of these meet the
+    texts in a join (``joined_mentions``). Names are counted first. Null texts mention nothing.
+    """
+    known = names.select(F.col("code").cast("string").alias("code"), normalized_name("name").alias("norm_name")).where(F.length("norm_name") >= min_length).distinct()
+    texts = items.withColumn("_text", normalized_name(text))
+    n = known.count()
+    parts = max(1, -(-n // AUTOMATON_NAMES))
+    if parts > AUTOMATA:
+        return joined_mentions(texts, known)
+    out = []
+    for part in range(parts):
+        of = known.where(F.pmod(F.xxhash64(F.substring("norm_name", 1, min_length)), F.lit(parts)) == part)
+        by_name: dict[str, list] = {}
+        for code, name in of.orderBy("norm_name", "code").toLocalIterator():  # a checked number of names
+            by_name.setdefault(name, []).append(code)
+        out.append(_mentions_of(texts, by_name))
+    return reduce(DataFrame.unionByName, out)
+
+
+def joined_mentions(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """The same by a join, for any number of names: texts need ``_text``, ``known`` code and norm_name.
+
+    The distinct runs of a text of as many characters as the shortest name has, at most ``BLOCK``, are joined with the beginnings of
+    the names. Only the text's number goes with them; each text then meets its candidates once, and they are searched for as wholes.
     """
-    known = names.select("code", normalized_name("name").alias("norm_name")).where(F.length("norm_name") >= min_length).distinct()
     block = min(BLOCK, known.agg(F.min(F.length("norm_name"))).first()[0] or BLOCK)
     known = known.withColumn("_block", F.substring("norm_name", 1, block))
-    cut = items.withColumn("_text", normalized_name(text)).withColumn("_chars", F.split("_text", ""))
-    starts = F.when(F.length("_text") >= block, F.sequence(F.lit(1), F.length("_text") - block + 1))
-    runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_chars", i, F.lit(block)), "")))
-    met = cut.withColumn("_block", F.explode(runs)).drop("_chars").join(known, "_block")
-    return met.where(F.contains("_text", "norm_name")).drop("_block", "_text")
+    texts = staged(texts.withColumn("_no", F.monotonically_increasing_id()), "texts")
+    chars, length = F.split("_text", ""), F.length("_text")
+    starts = F.when(length >= block, F.sequence(F.lit(1), length - block + 1))
+    runs = texts.select("_no", starts.alias("_at"), chars.alias("_chars"))
+    runs = runs.select("_no", F.explode(F.array_distinct(F.transform("_at", lambda i: F.array_join(F.slice("_chars", i, F.lit(block)), "")))).alias("_block"))
+    met = runs.join(known, "_block").select("_no", "code", "norm_name")
+    return texts.join(met, "_no").where(F.contains("_text", "norm_name")).select(*[c for c in texts.columns if c not in ("_no", "_text")], "code", "norm_name")
 
 
 def event_counters(messages: DataFrame, names: DataFrame, decisions_: DataFrame, positive, risk) -> tuple[DataFrame, DataFrame]:

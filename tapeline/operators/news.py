@@ -130,22 +130,38 @@ def enrich_news(
     return df.select(*[c for c in items.columns], "_e.*")
 
 
+#: The key of an announcement without code, title and time.
+NO_KEY = "||"
+
+
+def item_key(items: DataFrame) -> Column:
+    """The key that copies of an item share. A row without any gets its address as part of the key."""
+    return F.when(dedup_key() == NO_KEY, F.concat(F.lit(NO_KEY), F.coalesce(_col(items, "url"), F.lit("")))).otherwise(dedup_key())
+
+
+def item_urls(items: DataFrame) -> Column:
+    return ordered_union(_col(items, "source_urls", "array<string>"), F.array(_col(items, "url")))
+
+
+def collection_time(items: DataFrame) -> Column:
+    return F.nullif(F.coalesce(_col(items, "collected_at"), _col(items, "crawled_at")), F.lit(""))
+
+
 def merge_duplicates(items: DataFrame, arrival: str, by: Sequence[str] = ("source", "publish_date_bj")) -> DataFrame:
     """One row per store key: the first arrival's fields, all URLs in order of arrival, the earliest collection time.
 
     URLs are reduced to one row per (key, url) before they are gathered, so a flood of copies of one item only
-    costs as much as its distinct URLs.
+    costs as much as its distinct URLs. An announcement without code, title and time says nothing of what it is a copy of:
+    its address is part of its key, so such rows merge by address and no list of theirs grows.
     """
     by = list(by)
-    keyed = items.withColumn("item_key", dedup_key())
+    keyed = items.withColumn("item_key", item_key(items))
     group = [*by, "item_key"]
     rest = [c for c in items.columns if c not in (*by, "source_urls", "collected_at", "crawled_at")]
-    collected = F.nullif(F.coalesce(_col(items, "collected_at"), _col(items, "crawled_at")), F.lit(""))
     first = keyed.groupBy(*group).agg(
-        F.min_by(F.struct(*rest), F.col(arrival)).alias("_r"), F.min(collected).alias("collected_at"), F.count(F.lit(1)).alias("n_copies")
+        F.min_by(F.struct(*rest), F.col(arrival)).alias("_r"), F.min(collection_time(items)).alias("collected_at"), F.count(F.lit(1)).alias("n_copies")
     )
-    urls = ordered_union(_col(items, "source_urls", "array<string>"), F.array(_col(items, "url")))
-    each = keyed.select(*group, arrival, F.posexplode(urls).alias("_pos", "_url"))
+    each = keyed.select(*group, arrival, F.posexplode(item_urls(items)).alias("_pos", "_url"))
     once = each.groupBy(*group, "_url").agg(F.min(F.struct(arrival, "_pos")).alias("_at"))
     lists = once.groupBy(*group).agg(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_url"))), lambda x: x["_url"]).alias("source_urls"))
     out = first.join(lists, group, "left")
@@ -263,13 +279,16 @@ def page(items: DataFrame, order: Sequence[Column], offset: int = 0, limit: int
 def page_after(items: DataFrame, order: Sequence[tuple[str, bool]], last: Sequence, limit: int = 200) -> DataFrame:
     """The page after a known row, for deep paging: the row's key becomes a filter, so earlier rows are never sorted.
 
-    ``order`` lists (column, descending) and ends in a unique column; ``last`` holds that row's values.
+    ``order`` lists (column, descending) and ends in a unique column; ``last`` holds that row's values, each possibly null. Nulls
+    are last in every column.
     """
     cond, equal = F.lit(False), F.lit(True)
     for (c, desc), v in zip(order, last):
-        cond = cond | (equal & ((F.col(c) < v) if desc else (F.col(c) > v)))
-        equal = equal & (F.col(c) == v)
-    return items.where(cond).orderBy(*[F.desc(c) if desc else F.asc(c) for c, desc in order]).limit(limit)
+        if v is not None:  # nothing follows a null but what the next columns decide
+            beyond = F.coalesce((F.col(c) < v) if desc else (F.col(c) > v), F.lit(True))
+            cond = cond | (equal & beyond)
+        equal = equal & F.col(c).eqNullSafe(F.lit(v))
+    return items.where(cond).orderBy(*[F.desc_nulls_last(c) if desc else F.asc_nulls_last(c) for c, desc in order]).limit(limit)
 
 
 def list_columns(items: DataFrame) -> DataFrame:

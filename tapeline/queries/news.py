@@ -290,6 +290,18 @@ def k06(spark, sf):
     return N.page(n, N.newest_first(n), 200, 150).select("doc_id", "id", "expected_count", "next_offset", "is_complete")
 
 
+@query("k06_page_after", C.with_ctes(C.NEWS, NORMAL, ENRICH, select="""
+, t AS (SELECT doc_id, id, CASE WHEN doc_id % 10 > 0 THEN publish_time_bj END AS shown FROM enr)
+SELECT doc_id, id, shown FROM t ORDER BY shown DESC NULLS LAST, id LIMIT 150 OFFSET (SELECT count(shown) - 49 FROM t)"""))
+def k06_after(spark, sf):
+    """The 150 items after a known one, fifty places before the first without a time."""
+    shown = F.when(F.col("doc_id") % 10 > 0, F.col("publish_time_bj"))
+    items = N.with_item_id(normalized(spark, sf)).select("doc_id", "id", shown.alias("shown"))
+    place = items.where(F.col("shown").isNotNull()).count() - 50
+    known = items.orderBy(F.desc_nulls_last("shown"), "id").offset(place).limit(1).first()
+    return N.page_after(items, [("shown", True), ("id", False)], [known.shown, known.id], 150)
+
+
 @query("c21_item_detail", C.with_ctes(C.NEWS, NORMAL, ENRICH, select="SELECT doc_id, id, title, content FROM enr WHERE id = (SELECT max(id) FROM enr)"))
 def c21(spark, sf):
     n = N.with_item_id(normalized(spark, sf))

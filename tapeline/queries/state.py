@@ -214,7 +214,7 @@ def j16(spark, sf):
 
 
 REVIEW = """act AS (SELECT trade_date, mode, arg_max(run_id, recorded_at) AS run_id FROM runs GROUP BY 1, 2),
-arch AS (SELECT DISTINCT l_shipdate::date AS d FROM lineitem WHERE l_shipdate < timestamp '1997-01-01'), rd AS (SELECT DISTINCT trade_date AS d FROM runs),
+arch AS (SELECT DISTINCT l_shipdate::date AS d FROM lineitem), rd AS (SELECT DISTINCT trade_date AS d FROM runs),
 pv AS (SELECT d, (SELECT max(a.d) FROM arch a WHERE a.d < rd.d) AS pa, (SELECT max(trade_date) FROM act WHERE mode = 'overnight' AND trade_date < rd.d) AS pj FROM rd)"""
 
 
@@ -225,7 +225,7 @@ LEFT JOIN act m ON m.trade_date = d AND m.mode = 'morning' LEFT JOIN act o ON o.
 LEFT JOIN act p ON p.trade_date = d AND p.mode = 'overnight'"""))
 def c16(spark, sf):
     runs = D.runs(spark, sf)
-    archive = D.table(spark, sf, "lineitem").where(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp_ntz")).select(F.col("l_shipdate").cast("date").alias("date"))
+    archive = D.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
     return J.review_context(runs, runs.select(F.col("trade_date").alias("date")), archive)
 
 
@@ -330,7 +330,8 @@ def a21(spark, sf):
 UPSERT = """early AS (SELECT *, 0 AS seq FROM enr WHERE collected <= timestamp '2024-01-20 00:00:00'),
 late AS (SELECT * REPLACE ('updated ' || title AS title), 1 AS seq FROM enr WHERE collected > timestamp '2024-01-15 00:00:00'),
 up AS (SELECT *, publish_date_bj AS item_date FROM (SELECT * FROM early UNION ALL SELECT * FROM late)),
-upsert AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC, doc_id DESC) AS rn FROM up WHERE item_date BETWEEN '2024-01-05' AND '2024-01-24') WHERE rn = 1)"""
+upsert AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC, doc_id DESC) AS rn FROM up
+ WHERE item_date BETWEEN (SELECT (min(publish_date_bj)::date + 2)::varchar FROM enr) AND (SELECT (max(publish_date_bj)::date - 2)::varchar FROM enr)) WHERE rn = 1)"""
 
 
 def payloads(spark, sf):
@@ -343,7 +344,10 @@ def payloads(spark, sf):
 
 @query("j12_index_upsert", C.with_ctes(C.NEWS, NORMAL, ENRICH, UPSERT, select="SELECT id, doc_id, title, item_date FROM upsert"))
 def j12(spark, sf):
-    return A.merge_indexes(list(payloads(spark, sf)), "2024-01-05", "2024-01-24", tie="doc_id").select("id", "doc_id", "title", "item_date")
+    """All days but two at either end, which the date range prunes."""
+    day, n = F.col("publish_date_bj").cast("date"), normalized(spark, sf).groupBy()
+    bounds = [n.agg(F.date_add(f(day), k).cast("string")).scalar() for f, k in ((F.min, 2), (F.max, -2))]
+    return A.merge_indexes(list(payloads(spark, sf)), *bounds, tie="doc_id").select("id", "doc_id", "title", "item_date")
 
 
 @query("u01_payload_union", C.with_ctes(C.NEWS, NORMAL, ENRICH, UPSERT, select="SELECT seq, count(*) AS n FROM up GROUP BY 1"))
@@ -415,14 +419,14 @@ def c11_overlap(spark, sf):
 COVER = """uni AS (SELECT count(DISTINCT code) AS n, greatest(5, floor(count(DISTINCT code) * 0.9::double))::bigint AS required FROM bars),
 tg AS (SELECT DISTINCT session FROM bars UNION SELECT DISTINCT (session + interval 10 year)::date FROM bars),
 cov AS (SELECT session, coalesce(n_stocks, 0) AS n_stocks, required, CASE WHEN coalesce(n_stocks, 0) = 0 THEN 'missing' WHEN n_stocks < required THEN 'incomplete' ELSE 'complete' END AS status
- FROM tg LEFT JOIN (SELECT session, count(DISTINCT code) AS n_stocks FROM bars WHERE volume >= 1000 GROUP BY 1) USING (session), uni)"""
+ FROM tg LEFT JOIN (SELECT session, count(DISTINCT code) AS n_stocks FROM bars GROUP BY 1) USING (session), uni)"""
 
 
 def coverage(spark, sf):
     b = D.bars(spark, sf)
     targets = b.select("session").distinct().unionByName(b.select(F.add_months("session", 120).alias("session")).distinct())
     need = Y.required_stocks(b, 5).select("required").scalar()
-    return targets, Y.day_coverage(b.where("volume >= 1000"), targets, need)
+    return targets, Y.day_coverage(b, targets, need)
 
 
 @query("a16_day_coverage", C.with_ctes(C.BARS, COVER, select="SELECT * FROM cov"))

@@ -15,6 +15,7 @@ from tapeline.queries.state import CHANGES, STATE, STREAK
 from tapeline.session import work_path
 from tapeline.sources import driver_tables as D
 from tapeline.streaming import keyed as K
+from tapeline.streaming import levels as U
 from tapeline.streaming import news as S
 from tapeline.streaming import state as T
 
@@ -154,11 +155,10 @@ def r08(spark, sf):
 @query("r09_stream_upsert", C.with_ctes(C.NEWS, NORMAL, f"m0 AS (SELECT *, {KEY} AS item_key FROM norm)", select="""
 SELECT source, publish_date_bj, item_key, min(collected_at) AS collected_at, array_to_string(list_sort(list_distinct(list(url))), ',') AS urls FROM m0 GROUP BY 1, 2, 3"""))
 def r09(spark, sf):
-    """Batches are appended, then merged into the store by day in one pass."""
-    batches, store = work_path(spark, "batches"), work_path(spark, "store")
+    """Batches become fragments that merge by size; every second one publishes the days that it and the one before it touch."""
+    held, store = work_path(spark, "fragments"), work_path(spark, "store")
     n = news_rows(spark, sf).withColumn("arrival", F.col("doc_id"))
-    S.append_upserts(stream(spark, shuffled(n), 4, 1), batches, work_path(spark, "cp"))
-    S.compact(spark, batches, store)
+    U.keep_upserts(stream(spark, shuffled(n), 4, 1), held, store, work_path(spark, "cp"), "arrival", publish_every=2)
     out = spark.read.parquet(store)
     return out.select("source", F.col("publish_date_bj").cast("string").alias("publish_date_bj"), "item_key", "collected_at", F.array_join(F.array_sort("source_urls"), ",").alias("urls"))
 

@@ -11,8 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tapeline.functions.hashing import dedup_hash
 from tapeline.functions.times import iso_to_beijing, latency_level
 from tapeline.operators.keywords import extract_keywords, item_text
-from tapeline.operators.news import merge_duplicates
-from tapeline.sources.stores import write_news_store
 from tapeline.streaming import keyed
 
 OVERLAP = "10 minutes"
@@ -98,21 +96,6 @@ def split_late(items: DataFrame, path: str, checkpoint: str, limit_minutes: floa
     run_batches(items, write, checkpoint)
 
 
-def append_upserts(items: DataFrame, store: str, checkpoint: str) -> None:
-    """Every micro-batch as a version of its own; ``upserted`` merges them when they are read, ``compact`` for good."""
-    run_batches(items, lambda batch, number: batch.write.mode("overwrite").parquet(f"{store}/batch={number}"), checkpoint)
-
-
-def upserted(spark: SparkSession, store: str, arrival: str = "arrival") -> DataFrame:
-    """One row per item: the first that arrived, with all sources and addresses of the later ones."""
-    return merge_duplicates(spark.read.parquet(store).drop("batch"), arrival)
-
-
-def compact(spark: SparkSession, store: str, target: str, arrival: str = "arrival") -> None:
-    """Merged items by day, in one pass over what was appended."""
-    write_news_store(upserted(spark, store, arrival), target)
-
-
 def visible_to_decisions(messages: DataFrame, decisions: DataFrame, stamp: str = "stamp") -> DataFrame:
     """Stream-static interval join: equality on the covered day, then the exact bounds."""
     days = F.explode(F.sequence(F.col("lower").cast("date"), F.col("cutoff").cast("date")))

@@ -172,3 +172,48 @@ def test_long_titles(spark):
     text = "q" * 60_000 + " abc xyzw " + "Abcdef company" + "r" * 60_000
     got = name_mentions(spark.createDataFrame([(7, text), (8, "xyz"), (9, None)], "doc_id int, title string"), names)
     assert sorted((r.doc_id, r.code) for r in got.collect()) == [(7, "1"), (7, "2")]
+
+
+def test_many_names_and_a_long_text(spark, monkeypatch):
+    """A hundred thousand names against 1 MB of text: one automaton, several, and the join agree with a plain search."""
+    from tapeline.operators import asof
+
+    rng = random.Random(2)
+    names = [(f"{i:06d}", "".join(rng.choices("bcdfghjkl", k=rng.randint(3, 9)))) for i in range(100_000)]
+    names += [("x1", "Twin name"), ("x2", "twin name"), ("x3", "win"), ("x4", "no")]
+    long = "".join(rng.choices("bcdfghjkl mnpqr", k=1_000_000))
+    texts = [(1, long), (2, "say twinname"), (3, ""), (4, None), (5, "Twin nameTwin name"), (5, "Twin nameTwin name")]
+    known, items = spark.createDataFrame(names, "code string, name string"), spark.createDataFrame(texts, "doc_id int, title string")
+    flat = items.select("doc_id", asof.normalized_name("title").alias("t")).collect()
+    listed = known.select("code", asof.normalized_name("name").alias("n")).collect()
+    want = sorted((r.doc_id, k.code) for r in flat for k in listed if r.t and len(k.n) >= 3 and k.n in r.t)
+    assert len(want) > 1000 and (5, "x3") in want
+    assert sorted(map(tuple, asof.name_mentions(items, known).select("doc_id", "code").collect())) == want
+    monkeypatch.setattr(asof, "AUTOMATON_NAMES", 30_000)
+    assert sorted(map(tuple, asof.name_mentions(items, known).select("doc_id", "code").collect())) == want
+    few = spark.createDataFrame([n for n in names if len(n[1]) >= 8][:500] + names[-4:], "code string, name string")
+    some = sorted(map(tuple, asof.name_mentions(items, few).select("doc_id", "code").collect()))
+    monkeypatch.setattr(asof, "AUTOMATA", 0)
+    assert sorted(map(tuple, asof.name_mentions(items, few).select("doc_id", "code").collect())) == some
+
+
+def test_pages_after_a_row_reach_rows_without_a_time(spark):
+    from tapeline.operators.news import page_after
+
+    rows = [(k, None if k % 3 == 0 else f"2026-01-0{k % 4 + 1}") for k in range(20)]
+    items, order = spark.createDataFrame(rows, "id int, t string"), [("t", True), ("id", False)]
+    want = sorted((k for k, _ in rows), key=lambda k: (rows[k][1] is None, *(-ord(c) for c in rows[k][1] or ""), k))
+    seen, last = [want[0]], [rows[want[0]][1], want[0]]
+    while got := page_after(items, order, last, 4).collect():
+        seen += [r.id for r in got]
+        last = [got[-1].t, got[-1].id]
+    assert seen == want
+
+
+def test_announcements_without_any_key_merge_by_address(spark):
+    from tapeline.operators.news import merge_duplicates
+
+    rows = [(k, "cninfo", "2026-01-01", "", None, None, f"u{k % 40}") for k in range(400)] + [(500, "cninfo", "2026-01-01", "1", "t", "x", "a"), (501, "cninfo", "2026-01-01", "1", "t", "x", "b")]
+    items = spark.createDataFrame(rows, "no bigint, source string, publish_date_bj string, stock_code string, title string, publish_time string, url string")
+    got = merge_duplicates(items, "no").collect()
+    assert len(got) == 41 and max(len(r.source_urls) for r in got) == 2 and sum(r.n_copies for r in got) == 402
