@@ -15,9 +15,12 @@ from tapeline.operators import intraday as I
 from tapeline.operators import journal as J
 from tapeline.operators import ledger as G
 from tapeline.operators import news as N
+from tapeline.plans import backfill as B
 from tapeline.queries import ctes as C
+from tapeline.queries.market import INDUSTRY, RESTRICTED, ST, SUMMARY
 from tapeline.queries.news import ENRICH, NORMAL, normalized
 from tapeline.queries.registry import query
+from tapeline.session import work_path
 from tapeline.sources import driver_tables as D
 
 # --- intraday --------------------------------------------------------------------------------------------
@@ -458,6 +461,46 @@ def c13(spark, sf):
     return Y.readiness(coverage(spark, sf)[1])
 
 
+DOCUMENTS = f"""
+g AS (SELECT snapshot_id, code FROM (SELECT snapshot_id, code, row_number() OVER (PARTITION BY snapshot_id ORDER BY coalesce(pct, 0.0) DESC, code) AS rn FROM spot WHERE NOT {RESTRICTED} AND NOT {ST}) WHERE rn = 1),
+pv AS (SELECT session, coalesce(nullif(string_agg(DISTINCT nullif(provider, ''), '+' ORDER BY nullif(provider, '')), ''), 'objective_qfq_daily_history') AS source, count(*) AS n_rows
+ FROM (SELECT *, CASE k % 3 WHEN 0 THEN 'east' WHEN 1 THEN 'west' ELSE '' END AS provider FROM spot) GROUP BY 1),
+np AS (SELECT snapshot_id, count(*) AS pool_rows FROM pools GROUP BY 1)"""
+
+
+def backfilled(spark, sf):
+    """A store that lacks two of three months, filled; (store, status)."""
+    provider = F.when(F.col("k") % 3 == 0, "east").when(F.col("k") % 3 == 1, "west").otherwise("")
+    spot, pools, store = D.spot(spark, sf).withColumn("provider", provider), D.pools(spark, sf), work_path(spark, "history")
+    targets, need = coverage(spark, sf)[0], Y.required_stocks(D.bars(spark, sf), 5).select("required").scalar()
+    there = targets.where(F.month("session") % 3 == 0)
+    for wanted in (there, targets):
+        status = B.backfill(spark, spot, pools, wanted, store, need, F.lit("2024-02-01T09:00:00+08:00"), 20)
+    return store, status
+
+
+@query("c13_backfill_documents", C.with_ctes(C.SPOT, C.POOLS, SUMMARY, INDUSTRY, COVER, DOCUMENTS, select="""
+SELECT strftime(c.session, '%Y%m%d') || '_historical_' || substr(sha256(source || '|' || strftime(c.session, '%Y%m%d') || '|' || n_rows::varchar), 1, 16) AS snapshot_id, 'historical' AS mode, source,
+ strftime(c.session, '%Y%m%d') AS market_date, c.session::varchar || 'T15:00:00+08:00' AS source_time, true AS is_bootstrap_history, 20 AS requested_trading_days, n_rows AS spot_rows, coalesce(pool_rows, 0) AS pool_rows,
+ s.stock_count, s.tradeable_stock_count, s.limit_up_count, s.market_breadth, s.broken_limit_ratio, coalesce(g.code, '') AS top_gainer, coalesce(i.hottest_industry, '') AS hottest_industry
+FROM cov c JOIN pv ON pv.session = c.session JOIN summary s ON s.snapshot_id = 'snap-' || strftime(c.session, '%Y%m%d') LEFT JOIN np USING (snapshot_id) LEFT JOIN g USING (snapshot_id)
+LEFT JOIN (SELECT snapshot_id, max(industry) FILTER (rank = 1) AS hottest_industry FROM ranked GROUP BY 1) i USING (snapshot_id) WHERE c.status = 'complete'"""))
+def c13_documents(spark, sf):
+    """Every document of the filled store."""
+    d = spark.read.parquet(backfilled(spark, sf)[0])
+    return d.select(
+        "snapshot_id", "mode", "source", "market_date", "source_time", "is_bootstrap_history", "requested_trading_days", F.col("source_status.stock_spot.rows").alias("spot_rows"),
+        F.col("source_status.pools.rows").alias("pool_rows"), "stock_count", "tradeable_stock_count", "limit_up_count", "market_breadth", "broken_limit_ratio", "top_gainer", "hottest_industry",
+    )
+
+
+@query("c13_backfill_status", C.with_ctes(C.BARS, COVER, select="""
+SELECT count(*) AS target_days, count(*) FILTER (status = 'complete') AS complete_days, count(*) FILTER (status <> 'complete') AS missing_days,
+ count(*) FILTER (status = 'complete' AND month(session) % 3 <> 0) AS written_days, CASE WHEN count(*) FILTER (status <> 'complete') = 0 THEN 'complete' ELSE 'partial' END AS status FROM cov"""))
+def c13_status(spark, sf):
+    return backfilled(spark, sf)[1]
+
+
 @query("p23_range_coverage", C.with_ctes(C.BARS, select="""
 SELECT code, min(session) AS cached_begin, max(session) AS cached_end, min(session) <= date '1995-03-01' AND max(session) >= date '2001-09-01' AS covers FROM bars GROUP BY 1"""))
 def p23(spark, sf):

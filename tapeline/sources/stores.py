@@ -56,6 +56,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def delete_matching(spark: SparkSession, patterns: Sequence[str]) -> None:
+    """Deletes all folders that a pattern matches."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for pattern in patterns:
+        fs = fs_path(pattern).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in fs.globStatus(fs_path(pattern)) or ():
+            fs.delete(found.getPath(), True)
+
+
 def stored_days(spark: SparkSession, path: str, days: DataFrame, by: Sequence[str] = NEWS_KEYS) -> DataFrame | None:
     """Stored rows of the given days, or None for a new store. The range of the days prunes the partitions that are read."""
     if not path_exists(spark, path):

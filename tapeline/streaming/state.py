@@ -19,7 +19,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tapeline.operators.collectors import open_attempts
 from tapeline.operators.intraday import intraday_changes
 from tapeline.operators.ledger import apply_trade
-from tapeline.sources.stores import delete_path, path_exists
+from tapeline.sources.stores import delete_matching, delete_path, path_exists
 from tapeline.streaming.keyed import run_keyed
 from tapeline.streaming.news import run_batches
 
@@ -165,8 +165,12 @@ def keep_intraday(spark: SparkSession, ticks: DataFrame, store: str, checkpoint:
         if keep_days is not None and (newest := log.agg(F.max("market_date")).first()[0]):
             first = F.date_sub(F.lit(newest), keep_days - 1)
             days = days.where(F.col("market_date") >= first)
+            gone = log.where(F.col("market_date") < first).select(F.col("market_date").cast("string")).distinct().collect()  # a row for each day
+        else:
+            gone = []
         rows = log.drop("batch").join(days, "market_date", "left_semi")
         changes = intraday_changes(rows)
         changes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("market_date").parquet(f"{store}/changes")
+        delete_matching(spark, [f"{store}/ticks/batch=*/market_date={r[0]}" for r in gone])
 
     run_batches(ticks, write, checkpoint)

@@ -108,6 +108,18 @@ def test_intraday_with_equal_times(spark):
         assert sorted(map(key, map(tuple, got.collect()))) == sorted(map(key, want))
 
 
+def test_days_that_expire_leave_the_store(spark):
+    days = [START + timedelta(days=d, hours=10) for d in range(6)]
+    path, schema = work_path(spark, "landing"), "code string, market_date date, captured_at timestamp, price double, amount double"
+    for day in days:
+        spark.createDataFrame([(c, day.date(), day + timedelta(minutes=m), float(m), 1.0) for c in "ab" for m in range(3)], schema).coalesce(1).write.mode("append").json(path)
+    store = work_path(spark, "intraday")
+    T.keep_intraday(spark, S.landing_stream(spark, path, schema, 1), store, work_path(spark, "cp"), keep_days=2)
+    held = spark.read.parquet(f"{store}/ticks")
+    assert sorted(str(r[0]) for r in held.select("market_date").distinct().collect()) == ["2026-01-05", "2026-01-06"] and held.count() == 12
+    assert spark.read.parquet(f"{store}/changes").count() == 36
+
+
 def test_streaks_of_one_dense_source(spark):
     rows = [("a", START + timedelta(milliseconds=i // 2), i % 7 == 0, "e", 60) for i in range(600)]
     df = spark.createDataFrame(rows, LOG).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
