@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.operators.scaling import composed_moves
+from tapeline.session import staged
 
 KEY = ["account", "code"]
 RUN = "account bigint, code string, run bigint, name string, quantity bigint, average_cost double, opened_at timestamp_ntz, last_updated_at timestamp_ntz, held boolean, afresh boolean, first_at timestamp_ntz, trades bigint, rejected bigint"
@@ -67,12 +68,14 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return (*key, p.get("name"), p.get("quantity", 0 if position is None else None), p.get("cost"), p.get("opened"), p.get("updated"), position is not None, afresh, first_at, trades, rejected)
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
-        stamp = pa.timestamp("us")
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.float64(), stamp, stamp, pa.bool_(), pa.bool_(), stamp, pa.int64(), pa.int64()]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        whole, stamp = pa.int64(), pa.timestamp("us")
+        kinds = [whole, pa.string(), whole, pa.string(), whole, pa.float64(), stamp, stamp, pa.bool_(), pa.bool_(), stamp, whole, whole]
+        return pa.record_batch([pa.array(c, whole).cast(k) if k == stamp else pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*KEY, "run", "side", "quantity", "price", "name", "at")]
+        columns = [batch.column(batch.schema.get_field_index(c)) for c in (*KEY, "run", "side", "quantity", "price", "name", "at")]
+        columns[-1] = columns[-1].cast(pa.int64())  # microseconds; plain numbers are quicker than times
+        columns = [c.to_pylist() for c in columns]
         for account, code, run, side, quantity, price, name, at in zip(*columns):
             if (account, code, run) != key:
                 if key is not None:
@@ -130,17 +133,17 @@ def holdings(trades: DataFrame) -> DataFrame:
     rows = rows.withColumns({
         "_after": after, "_rejected": rejected, "_unknown": k["partial"] & (held == 0), "_place": place, "_reset": k["reset"], "_opens": (held == 0) & (after > 0),
     })
-    keys = rows.groupBy(*KEY).agg(
+    keys = staged(rows.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("trades"), F.sum(F.col("_rejected").cast("bigint")).alias("rejected"), F.max("_unknown").alias("_odd"),
         F.max(F.when(F.col("_after") == 0, F.col("_place"))).alias("_none"), F.max(F.when(F.col("_reset"), F.col("_place"))).alias("_set"),
         F.max_by("at", F.when(F.col("_opens"), F.col("_place"))).alias("_opened"),
-    )
+    ), "ledger-keys")
     rows = rows.join(keys.select(*KEY, "_odd", "_none", "_set"), KEY)
     since = (F.col("_none").isNull() | (F.col("_place") > F.col("_none"))) & (F.col("_set").isNull() | (F.col("_place") >= F.col("_set")))
     run = F.when(F.col("_odd"), F.col("sold_out") + F.col("resets") + F.col("_reset").cast("bigint")).otherwise(0)
     slim = rows.where(F.col("_odd") | since).select(*KEY, run.alias("run"), "seq", "_tie", "side", "quantity", "price", "name", "at")
     order = [*KEY, "run", "seq", "_tie"]
-    folded = slim.repartition(*KEY, "run").sortWithinPartitions(*order).drop("seq", "_tie").mapInArrow(_fold, RUN)
+    folded = staged(slim.repartition(*KEY, "run").sortWithinPartitions(*order).drop("seq", "_tie").mapInArrow(_fold, RUN), "ledger-runs")
     # a run that begins with a correction and never holds nothing goes on with the position of the run before it
     state = F.struct("name", "quantity", "average_cost", "last_updated_at", "held")
     last = folded.groupBy(*KEY).agg(
