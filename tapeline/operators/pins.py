@@ -205,3 +205,12 @@ def scan_lists(candidates: DataFrame, by: str = "session", limit: int = 30) -> D
         part = top_n(shaped.where(cond), [by], order, limit).withColumn("list", F.lit(name)).drop("_live", "_ls")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def list_counts(candidates: DataFrame, by: str = "session") -> DataFrame:
+    """How many candidates each list of ``scan_lists`` is cut from."""
+    live = F.coalesce(F.col("live_breakout_confirmation"), F.lit(False)) if "live_breakout_confirmation" in candidates.columns else F.lit(False)
+    return candidates.where("shape_pass").groupBy(by).agg(
+        F.count_if("macd_confirmed").alias("confirmed_count"), F.count_if(~F.col("macd_confirmed")).alias("scout_count"),
+        F.count_if("breakout_confirmation").alias("recent_pin_breakout_count"), F.count_if(live).alias("live_breakout_count"),
+    )

@@ -23,7 +23,8 @@ def stored_sessions(spark: SparkSession, store: str) -> DataFrame | None:
     """Sessions that the store has a day for; read from its partitions."""
     if not path_exists(spark, store):
         return None
-    return spark.read.parquet(store).select(F.col("session").cast("date").alias("session")).distinct()
+    days = spark.read.schema("snapshot_id string, session date").parquet(store)  # a store of which no day could be built has no file yet
+    return days.select("session").distinct()
 
 
 def gaps(spark: SparkSession, targets: DataFrame, store: str) -> DataFrame:

@@ -111,6 +111,11 @@ SELECT v.code, v.session, v.days[v.i] AS pattern_date, lv.brk AS breakout_confir
 WHERE v.hard AND lv.days[lv.i] = v.days[v.i]"""))
 def j14(spark, sf):
     """Every session's candidates re-evaluated with the code's next bar as the live one."""
+    out = with_next_bar(spark, sf).where(F.col("live_confirmation_score").isNotNull())
+    return out.select("code", "session", "pattern_date", F.col("live_breakout_confirmation").alias("breakout_confirmation"), F.col("live_confirmation_score").alias("objective_score"))
+
+
+def with_next_bar(spark, sf):
     bars = D.bars(spark, sf)
     base = pins.evaluate_series(pins.series_panel(bars)).where("shape_pass")
     tag = lambda no: F.concat_ws("@", "code", F.col(no).cast("string"))
@@ -118,8 +123,26 @@ def j14(spark, sf):
         F.concat_ws("@", "code", (F.col("session_no") - 1).cast("string")).alias("tag"), *pins.OBSERVATION
     )
     both = pins.with_live_bar(base.withColumn("code", tag("session_no")), live.withColumnRenamed("tag", "code"))
-    out = both.where(F.col("live_confirmation_score").isNotNull())
-    return out.select(
-        F.split("code", "@")[0].alias("code"), "session", "pattern_date", F.col("live_breakout_confirmation").alias("breakout_confirmation"),
-        F.col("live_confirmation_score").alias("objective_score"),
-    )
+    return both.withColumn("code", F.split("code", "@")[0])
+
+
+LIVE_CANDIDATES = """b AS (SELECT v.*, coalesce(lv.brk AND lv.days[lv.i] = v.days[v.i], false) AS live, CASE WHEN lv.days[lv.i] = v.days[v.i] THEN lv.score END AS live_score
+ FROM v LEFT JOIN lv ON lv.code = v.code AND lv.session_no = v.session_no + 1 WHERE v.hard)"""
+
+
+@query("k03_live_lists", C.with_ctes(OBS, PINS, LIVE_RUN, LIVE_CANDIDATES, select="""
+SELECT * FROM (
+ SELECT session, CASE WHEN confirmed THEN 'confirmed' ELSE 'scouts' END AS list, code, row_number() OVER (PARTITION BY session, confirmed ORDER BY live DESC, brk DESC, score DESC, amount DESC, code) AS rank FROM b
+ UNION ALL SELECT session, 'recent_pin_breakouts', code, row_number() OVER (PARTITION BY session ORDER BY score DESC, amount DESC, code) FROM b WHERE brk
+ UNION ALL SELECT session, 'live_breakouts', code, row_number() OVER (PARTITION BY session ORDER BY coalesce(live_score, 0) DESC, score DESC, code) FROM b WHERE live)
+WHERE rank <= 30"""))
+def k03_live(spark, sf):
+    """The lists with every code's next bar as the live one."""
+    return pins.scan_lists(with_next_bar(spark, sf)).select("session", "list", "code", "rank")
+
+
+@query("k03_list_counts", C.with_ctes(OBS, PINS, LIVE_RUN, LIVE_CANDIDATES, select="""
+SELECT session, count(*) FILTER (confirmed) AS confirmed_count, count(*) FILTER (NOT confirmed) AS scout_count, count(*) FILTER (brk) AS recent_pin_breakout_count, count(*) FILTER (live) AS live_breakout_count
+FROM b GROUP BY 1"""))
+def k03_counts(spark, sf):
+    return pins.list_counts(with_next_bar(spark, sf))

@@ -25,7 +25,7 @@ def test_backfill_fills_gaps_once_and_goes_on_after_a_stop(spark, sf_dir):
 
 def test_sessions_with_too_few_stocks_stay_open(spark, sf_dir):
     spot, pools, store = D.spot(spark, sf_dir).withColumn("provider", F.lit(None).cast("string")), D.pools(spark, sf_dir), work_path(spark, "history")
-    targets = spot.select("session").distinct().limit(3)
+    targets = spark.createDataFrame(sorted(tuple(r) for r in spot.select("session").distinct().collect())[:3], "session date")
     status = B.backfill(spark, spot, pools, targets, store, F.lit(10_000), F.lit("now"), 3).first()
     assert (status.complete_days, status.missing_days, status.status) == (0, 3, "partial")
     B.backfill(spark, spot, pools, targets, store, F.lit(1), F.lit("now"), 3)
