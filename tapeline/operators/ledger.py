@@ -105,7 +105,7 @@ def _kinds() -> dict[str, Column]:
 
 
 def moved(trades: DataFrame) -> DataFrame:
-    """Each trade with ``held`` (the quantity before it), ``_tie`` (last sort key) and ``sold_out`` and ``resets`` (how many sales of
+    """Each trade with ``held`` (the quantity before it), ``_place`` (which rises along a key's trades) and ``sold_out`` and ``resets`` (how many sales of
     everything and corrections of both numbers its key had before it). ``held`` is right up to a key's first ``partial``
     correction where nothing is held, and again after the next sale of everything or correction of both numbers.
     """
@@ -129,9 +129,8 @@ def holdings(trades: DataFrame) -> DataFrame:
     k, held, n = _kinds(), F.col("held"), F.col("quantity")
     after = F.when(k["all"], 0).when(k["sell"], F.greatest(held - n, F.lit(0))).when(k["buy"], held + n).when(k["sets"], n).otherwise(held)
     rejected = k["bad"] | (k["sell"] & (held == 0)) | k["halfbuy"]
-    place = F.struct("seq", "_tie")
     rows = rows.withColumns({
-        "_after": after, "_rejected": rejected, "_unknown": k["partial"] & (held == 0), "_place": place, "_reset": k["reset"], "_opens": (held == 0) & (after > 0),
+        "_after": after, "_rejected": rejected, "_unknown": k["partial"] & (held == 0), "_reset": k["reset"], "_opens": (held == 0) & (after > 0),
     })
     keys = staged(rows.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("trades"), F.sum(F.col("_rejected").cast("bigint")).alias("rejected"), F.max("_unknown").alias("_odd"),
@@ -141,9 +140,9 @@ def holdings(trades: DataFrame) -> DataFrame:
     rows = rows.join(keys.select(*KEY, "_odd", "_none", "_set"), KEY)
     since = (F.col("_none").isNull() | (F.col("_place") > F.col("_none"))) & (F.col("_set").isNull() | (F.col("_place") >= F.col("_set")))
     run = F.when(F.col("_odd"), F.col("sold_out") + F.col("resets") + F.col("_reset").cast("bigint")).otherwise(0)
-    slim = rows.where(F.col("_odd") | since).select(*KEY, run.alias("run"), "seq", "_tie", "side", "quantity", "price", "name", "at")
-    order = [*KEY, "run", "seq", "_tie"]
-    folded = staged(slim.repartition(*KEY, "run").sortWithinPartitions(*order).drop("seq", "_tie").mapInArrow(_fold, RUN), "ledger-runs")
+    slim = rows.where(F.col("_odd") | since).select(*KEY, run.alias("run"), "_place", "side", "quantity", "price", "name", "at")
+    order = [*KEY, "run", "_place"]
+    folded = staged(slim.repartition(*KEY, "run").sortWithinPartitions(*order).drop("_place").mapInArrow(_fold, RUN), "ledger-runs")
     # a run that begins with a correction and never holds nothing goes on with the position of the run before it
     state = F.struct("name", "quantity", "average_cost", "last_updated_at", "held")
     last = folded.groupBy(*KEY).agg(

@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
@@ -237,7 +238,7 @@ def composed_moves(
     """Adds ``out``, a whole number that starts at zero in each key and that every row moves, as it is before the row.
 
     A row sets it to ``low`` where ``flat``, else to max(``out`` + ``add``, ``low``); it must not fall below zero. ``counts`` are running sums before
-    the row, by name. Rows that tie in ``order`` follow their read order, which is kept in ``_tie``. Rows are cut into ranges of about
+    the row, by name. Rows that tie in ``order`` follow their read order. ``_place`` rises along a key's rows in that order. Rows are cut into ranges of about
     equal size along (``by``, ``order``), so a key with any share of all rows is split; each range is sorted and passed once, and stored. What
     came before a range concerns only the key that it starts with, so at most one row for each range is carried over.
     """
@@ -245,24 +246,25 @@ def composed_moves(
     tied = df.withColumns(named | {"_tie": F.monotonically_increasing_id()})
     line = [*by, *order, "_tie"]
     ranged = tied.repartitionByRange(*line).sortWithinPartitions(*line).withColumn("_range", F.spark_partition_id())
-    fields = [StructField("_pflat", BooleanType()), *(StructField(c, LongType()) for c in ("_padd", "_plow", *(f"_p_{k}" for k in counts)))]
+    fields = [StructField("_pflat", BooleanType()), *(StructField(c, LongType()) for c in ("_padd", "_plow", *(f"_p_{k}" for k in counts), "_place"))]
     added = [f.name for f in fields]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moves = MovesInRange(by, totals)
+        moves, at, base = MovesInRange(by, totals), 0, TaskContext.get().partitionId() << 40
         for batch in batches:
             if batch.num_rows:
                 flat_, *whole = moves(batch)
+                whole.append(np.arange(base + at, base + at + batch.num_rows))
+                at += batch.num_rows
                 yield pa.record_batch([*batch.columns, pa.array(flat_), *(pa.array(w, pa.int64()) for w in whole)], [*batch.schema.names, *added])
 
     rows = staged(ranged.mapInArrow(scan, StructType([*ranged.schema.fields, *fields])), label)
     # the move of a whole key in a range: what came before its last row, and that row
-    total = F.struct(
-        (F.col("_pflat") | F.col("_flat")).alias("flat"), F.when(F.col("_flat"), 0).otherwise(F.col("_padd") + F.col("_add")).alias("add"),
-        F.when(F.col("_flat"), F.col("_low")).otherwise(F.greatest(F.col("_plow") + F.col("_add"), "_low")).alias("low"),
-        *[(F.col(f"_p_{k}") + F.col(f"_c_{k}")).alias(k) for k in counts],
-    )
-    tails = rows.groupBy(*by, "_range").agg(F.max_by(total, F.struct(*order, "_tie")).alias("_m")).select(*by, "_range", "_m.*")
+    total = {
+        "flat": F.col("_pflat") | F.col("_flat"), "add": F.when(F.col("_flat"), 0).otherwise(F.col("_padd") + F.col("_add")),
+        "low": F.when(F.col("_flat"), F.col("_low")).otherwise(F.greatest(F.col("_plow") + F.col("_add"), "_low")), **{k: F.col(f"_p_{k}") + F.col(f"_c_{k}") for k in counts},
+    }
+    tails = rows.groupBy(*by, "_range").agg(*[F.max_by(c, "_place").alias(k) for k, c in total.items()])
     several = tails.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by))).where(F.col("_n") > 1).drop("_n")
 
     def carry(key: tuple, ranges: pa.Table) -> pa.Table:
@@ -283,4 +285,4 @@ def composed_moves(
     joined = rows.join(carried, same, "left").select(*[rows[c] for c in rows.columns], "_x", *(f"_x_{k}" for k in counts))
     start = F.coalesce("_x", F.lit(0))
     value = F.when(F.col("_pflat"), F.col("_plow")).otherwise(F.greatest(start + F.col("_padd"), "_plow"))
-    return joined.select(*df.columns, "_tie", value.alias(out), *[(F.coalesce(f"_x_{k}", F.lit(0)) + F.col(f"_p_{k}")).alias(k) for k in counts])
+    return joined.select(*df.columns, "_place", value.alias(out), *[(F.coalesce(f"_x_{k}", F.lit(0)) + F.col(f"_p_{k}")).alias(k) for k in counts])
