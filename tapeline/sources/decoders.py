@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.functions.codes import exchange_symbol
+from tapeline.functions.codes import exchange_symbol, zero_padded
 from tapeline.functions.numbers import first_text, num_null
 from tapeline.functions.text import absolute_url, market_relevant, split_list
 from tapeline.functions.times import bind, many_formats
@@ -18,10 +18,10 @@ KLINE_FIELDS = ("session", "open", "close", "high", "low", "volume", "amount", "
 
 
 def decode_klines(payloads: DataFrame, doc: str = "payload", code: str = "code", name: str = "name") -> DataFrame:
-    """Comma lines to bars. Previous close comes from the change, else from the percentage."""
+    """Comma lines to bars. Previous close comes from the change, else from the percentage. Codes are padded, never cut."""
     parsed = payloads.withColumn("_d", F.from_json(doc, "data struct<code: string, name: string, klines: array<string>>")["data"])
     rows = parsed.select(
-        F.lpad(first_text("_d.code", code), 6, "0").alias("code"), first_text("_d.name", name).alias("name"), F.explode("_d.klines").alias("_line")
+        zero_padded(first_text("_d.code", code)).alias("code"), first_text("_d.name", name).alias("name"), F.explode("_d.klines").alias("_line")
     ).withColumn("_f", F.split("_line", ","))
     rows = rows.where(F.size("_f") >= len(KLINE_FIELDS))
     cells = [F.get("_f", F.lit(0)).alias("session")] + [num_null(F.get("_f", F.lit(i))).alias(c) for i, c in enumerate(KLINE_FIELDS) if i]
