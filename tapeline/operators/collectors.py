@@ -22,18 +22,14 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
     return ts + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
-def failure_streaks(log: DataFrame) -> DataFrame:
+def failure_streaks(log: DataFrame, together: bool = False) -> DataFrame:
     """Consecutive failures after every attempt, with backoff and pause.
 
     The streak is the running failure count minus its value at the last success; both are taken inside ranges of about
-    equally many attempts first, so one source may hold most of the log. Of attempts at one moment failures come first.
+    equally many attempts first, so one source may hold most of the log. Of attempts at one moment failures come first; if
+    they count ``together``, each has the streak after all of them, in which the failures beside a success stay.
     """
-    order = ["ts", "ok", "_tie"]
-    df = range_buckets(log, ["source"], ["ts", "ok"], "run-log")
-    failed = F.when(F.col("ok"), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-    df = ordered_totals(df, ["source"], F.col("_bucket"), order, {"_failed": failed})
-    df = ordered_extreme(df, ["source"], F.col("_bucket"), order, F.when(F.col("ok"), F.col("_failed")), "_at_ok")
-    df = df.withColumn("consecutive_failures", F.col("_failed") - F.coalesce("_at_ok", F.lit(0))).drop("_failed", "_at_ok", "_bucket", "_tie")
+    df = _streaks_of_moments(log) if together else _streaks_of_attempts(log)
     failing = ~F.col("ok")
     backoff = F.when(failing, backoff_seconds(F.col("consecutive_failures"), F.col("base_interval")))
     return df.withColumns(
@@ -45,11 +41,31 @@ def failure_streaks(log: DataFrame) -> DataFrame:
     )
 
 
+def _streaks_of_attempts(log: DataFrame) -> DataFrame:
+    order = ["ts", "ok", "_tie"]
+    df = range_buckets(log, ["source"], ["ts", "ok"], "run-log")
+    failed = F.when(F.col("ok"), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
+    df = ordered_totals(df, ["source"], F.col("_bucket"), order, {"_failed": failed})
+    df = ordered_extreme(df, ["source"], F.col("_bucket"), order, F.when(F.col("ok"), F.col("_failed")), "_at_ok")
+    return df.withColumn("consecutive_failures", F.col("_failed") - F.coalesce("_at_ok", F.lit(0))).drop("_failed", "_at_ok", "_bucket", "_tie")
+
+
+def _streaks_of_moments(log: DataFrame) -> DataFrame:
+    """One row for each source and moment carries the count, and every attempt at that moment takes it."""
+    ok = F.coalesce("ok", F.lit(False))
+    moments = log.groupBy(F.col("source").alias("_source"), F.col("ts").alias("_ts")).agg(F.count_if(~ok).alias("_bad"), F.bool_or(ok).alias("_good"))
+    df = range_buckets(moments, ["_source"], ["_ts"], "run-log")
+    df = ordered_totals(df, ["_source"], F.col("_bucket"), ["_ts"], {"_failed": F.col("_bad")})
+    df = ordered_extreme(df, ["_source"], F.col("_bucket"), ["_ts"], F.when(F.col("_good"), F.col("_failed") - F.col("_bad")), "_at_ok")
+    df = df.select("_source", "_ts", (F.col("_failed") - F.coalesce("_at_ok", F.lit(0))).alias("consecutive_failures"))
+    return log.join(df, log["source"].eqNullSafe(df["_source"]) & log["ts"].eqNullSafe(df["_ts"])).drop("_source", "_ts")
+
+
 def collector_state(log: DataFrame) -> DataFrame:
     """Current state per source from two combining aggregates; no window over the log."""
     success = log.where("ok").groupBy("source").agg(F.max("ts").alias("last_success_at"))
     joined = log.join(success, "source", "left")
-    since = ~F.col("ok") & (F.col("last_success_at").isNull() | (F.col("ts") > F.col("last_success_at")))
+    since = ~F.col("ok") & (F.col("last_success_at").isNull() | (F.col("ts") >= F.col("last_success_at")))
     state = joined.groupBy("source").agg(
         F.max("ts").alias("last_attempt_at"),
         F.max("last_success_at").alias("last_success_at"),

@@ -107,3 +107,14 @@ def test_j16_matches_its_sql_beyond_six_places(spark, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
     for name in ("c15_journal_violations", "j16_focus_in_candidates"):
         assert not differences(all_queries()[name](spark, str(tmp_path)), all_checks()[name], duck), name
+
+
+def test_attempts_of_one_moment_count_together(spark):
+    """As sums over peers of an order by time do: a success ends the streak at its moment, whose own failures stay."""
+    plan = [(0, "f"), (1, "ff"), (2, "fs"), (3, "f"), (4, "ssf"), (5, "s"), (6, "ff")]
+    log = [("s", datetime(2026, 1, 1, 0, m), k == "s", "boom", 60) for m, kinds in plan for k in kinds]
+    df = spark.createDataFrame(log, "source string, ts timestamp, ok boolean, error string, base_interval int").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = {(r.ts.minute, r.ok, r.consecutive_failures) for r in L.failure_streaks(df, together=True).collect()}
+    assert {(m, n) for m, _, n in got} == {(0, 1), (1, 3), (2, 1), (3, 2), (4, 1), (5, 0), (6, 2)}
+    assert L.failure_streaks(df, together=True).count() == len(log)
+    assert L.collector_state(df.where(F.minute("ts") < 5)).first().consecutive_failures == 1
