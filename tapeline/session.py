@@ -54,6 +54,14 @@ def build_session(app: str = "tapeline", cores: str | int = "*", partitions: int
     )
 
 
+def bound_rows(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``rows`` rows where they are long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

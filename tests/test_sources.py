@@ -100,3 +100,25 @@ def test_keyset_page_continues_the_offset_page(spark, sf_dir):
     last = first[-1]
     keyed = page_after(items, [("publish_time_bj", True), ("id", False)], [last.publish_time_bj, last.id], 20).collect()
     assert [r.doc_id for r in keyed] == [r.doc_id for r in second]
+
+
+def test_codes_beyond_six_places_are_not_cut(spark):
+    rows = [(c, "x", json.dumps({"data": {"code": c, "name": "x", "klines": ["2026-06-17,10.0,10.20,10.4,9.9,1234,456789,5,2.0,0.20,1.1"]}})) for c in ("0003220", "0003221", "12")]
+    got = E.decode_klines(spark.createDataFrame(rows, "code string, name string, payload string")).collect()
+    assert sorted(r.code for r in got) == ["000012", "0003220", "0003221"]
+
+
+def test_references_end_in_a_semicolon(spark):
+    page = "<body><div class='article'><h1>a&amp;&lt;b&gt; c&amp</h1><p>x &amp; y&am &#38; &#38 &nosuch; &eacute;</p><a href='/q?a=1&amp;b=2&copy=3'>k</a></div></body>"
+    parsed = H.parse_pages(spark.createDataFrame([(1, "u", page)], "page_id bigint, url string, html string"))
+    r = H.articles(parsed).first()
+    assert (r.title, r.content) == ("a&<b> c&amp", "x & y&am & &#38 &nosuch; é")
+    assert parsed.first().hrefs == ["/q?a=1&b=2&copy=3"]
+
+
+def test_parts_of_pages_that_are_not_asked_for_are_left_out(spark):
+    page = "<html><title>t</title><a href=' x '>k</a><article><p>long</p></article></html>"
+    pages = spark.createDataFrame([(i, "u", page) for i in range(5)] + [(5, "u", None)], "page_id bigint, url string, html string")
+    got = H.parse_pages(pages, parts=("hrefs",), batch_chars=100)
+    assert got.columns == ["page_id", "url", "hrefs"]
+    assert sorted((r.page_id, r.hrefs) for r in got.collect()) == [(i, ["x"]) for i in range(5)] + [(5, [])]
