@@ -188,6 +188,12 @@ def prototypes(labelled: DataFrame, dimension: int = DIMENSION, texts: int = LEA
     return learn(drawn(labelled, texts, seed), dimension)
 
 
+def different(labelled: DataFrame, seed: int = 5) -> DataFrame:
+    """All texts with a language, (lang, text), of (text, lang); copies in one language count once."""
+    rows = bound_batches(pick(labelled, "text", "lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    return rows.groupBy("lang", F.xxhash64(F.lit(seed), "text").alias("_hash")).agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def learn(sample: DataFrame, dimension: int = DIMENSION) -> tuple[list[str], np.ndarray]:
     """Languages in order, and a prototype row for each, from all of (lang, text); texts without letters teach nothing.
 
@@ -278,8 +284,12 @@ def limits(sample: DataFrame, names: list[str], matrix: np.ndarray, least: int =
     variety. The language is the one found, not the label: wrong labels and mixed texts do not move a limit. A language
     and variety with fewer than ``least`` learned texts, or a variety below ``LEAST_VARIETY``, has no limit.
     """
-    fits = identify(sample, names, matrix, ("lang",), fit=True).where(F.col("lang_pred") != UNKNOWN)
-    low = fits.groupBy("lang_pred", "variety").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("near", LOW, 10_000).alias("low"))
+    return limits_of(identify(sample, names, matrix, ("lang",), fit=True), least)
+
+
+def limits_of(fits: DataFrame, least: int = LEAST_TEXTS) -> dict[str, dict[int, float]]:
+    """``limits`` from (lang_pred, variety, near), a row for each learned text."""
+    low = fits.where(F.col("lang_pred") != UNKNOWN).groupBy("lang_pred", "variety").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("near", LOW, 10_000).alias("low"))
     found: dict[str, dict[int, float]] = {}
     for r in low.where((F.col("n") >= least) & (F.col("variety") >= LEAST_VARIETY)).toLocalIterator():  # a number for each language and power of 2
         found.setdefault(r["lang_pred"], {})[r["variety"]] = PART * r["low"]
@@ -292,15 +302,20 @@ def speaks(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     Null texts and texts without letters go; rows with other nulls and repeated rows are judged each for itself, as wholes of any
     length; an empty table, and one without labels to learn from, gives an empty one; other columns are left out.
 
+    Prototypes and limits come from all different texts with a language whose documents are not held out.
+
     A variety without a limit has that of the next lower one, as more n-grams bring a text nearer. Where there is none,
     which is for texts of few words and languages of few texts, too little is known to leave a text out, and it stays.
     """
     docs = pick(docs, *columns)
-    sample = staged(drawn(docs.where(~held_out(F.col("doc_id")))), "language-sample")
-    names, matrix = learn(sample)
-    rows = identify(docs, names, matrix, columns, fit=True)
+    names, matrix = learn(different(docs.where(~held_out(F.col("doc_id")))))
+    learned = F.when(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull(), F.xxhash64(F.lit(5), "text"))
+    marked = docs.withColumn("_learned", learned)
+    rows = staged(identify(marked, names, matrix, (*columns, "_learned"), fit=True), "language-fits")
+    # copies are judged alike, so any of them stands for a learned text
+    once = rows.where(F.col("_learned").isNotNull()).groupBy("lang", "_learned").agg(*[F.max(c).alias(c) for c in ("lang_pred", "variety", "near")])
     enough = F.col("lang_pred") != UNKNOWN
-    for name, by in limits(sample, names, matrix).items():
+    for name, by in limits_of(once).items():
         limit = F.lit(0.0)
         for variety in sorted(by):
             limit = F.when(F.col("variety") >= variety, by[variety]).otherwise(limit)

@@ -139,3 +139,14 @@ def test_copies_are_drawn_once(spark):
         got = L.drawn(docs, 300, seed).toPandas()
         assert not got.duplicated().any() and 200 < (got.lang == "aa").sum() < 400
         assert set(got[got.lang == "bb"].text) == {"other text", "third one"}
+
+
+def test_stage_learns_from_all_texts(spark, monkeypatch):
+    """No draw: with one text a language to be drawn, languages and limits are still those of the whole table."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    seen = []
+    monkeypatch.setattr(L, "drawn", lambda *_: pytest.fail("a sample was drawn"))
+    monkeypatch.setattr(L, "limits_of", lambda fits, *_: seen.append(fits.count()) or {})
+    L.speaks(docs, ("doc_id", "text", "lang"))
+    kept = docs.where(~L.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    assert seen == [kept.select("lang", "text").distinct().count()]
