@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tapeline.operators.news import collection_time, item_key, item_urls
-from tapeline.sources.stores import NEWS_KEYS, delete_path, path_exists, write_news_store
+from tapeline.sources.stores import NEWS_KEYS, delete_path, month_of, path_exists, write_news_store
 from tapeline.streaming.news import run_batches
 
 FANOUT = 4
@@ -138,14 +138,15 @@ def _due(fragments: list[dict], fanout: int) -> list[dict]:
 
 
 def publish(store: Store, target: str) -> list[str]:
-    """Rewrites the days of ``target`` that batches since the last time have rows of, and lists them. Without such batches it reads nothing.
+    """Rewrites the months of ``target`` that batches since the last time have rows of, and lists the days of those rows. Without such batches it reads nothing.
 
-    A day is written whole from the live fragments, so a publication that was killed is simply made again.
+    A month is written whole from the live fragments, so a publication that was killed is simply made again.
     """
     days = store.state["due"]
     if days:
-        holding = [f for f in store.state["fragments"] if set(f["days"]) & set(days)]
-        rows = store.read(holding).where(F.col(DAY).cast("string").isin(days))
+        months = {d[:7] for d in days}
+        holding = [f for f in store.state["fragments"] if any(d[:7] in months for d in f["days"])]
+        rows = store.read(holding).where(month_of(DAY).isin(sorted(months)))
         write_news_store(finished(merged(rows)), target)
         store.commit({**store.state, "due": []})
     return days
