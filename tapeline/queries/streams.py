@@ -12,7 +12,7 @@ from tapeline.queries.news import KW20, LEVEL, NORMAL, PLATES, normalized
 from tapeline.queries.registry import CHECKS, query
 from tapeline.queries.replay import PANEL
 from tapeline.queries.state import CHANGES, STATE, STREAK
-from tapeline.session import work_path
+from tapeline.session import staged, work_path
 from tapeline.sources import driver_tables as D
 from tapeline.streaming import keyed as K
 from tapeline.streaming import levels as U
@@ -65,12 +65,12 @@ def s22(spark, sf):
     return drained(spark, stream(spark, news_rows(spark, sf), 4, 1)).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-def in_batches(spark, df, batch, n=4):
-    """A landing folder whose files are the rows of batch 0, 1 and so on, in that order; one file is one batch."""
-    path = work_path(spark, "landing")
+def in_batches(spark, df, batch, drain, n=4):
+    """Lands the rows of batch 0, 1 and so on, in as many files as they are read from, and drains the stream after each: what lands together is one batch."""
+    path, rows = work_path(spark, "landing"), staged(df, "batches")
     for k in range(n):
-        df.where(batch == k).coalesce(1).write.mode("append").json(path)
-    return S.landing_stream(spark, path, ", ".join(f"`{c}` {t}" for c, t in df.dtypes), 1)
+        rows.where(batch == k).write.mode("append").json(path)
+        drain(S.landing_stream(spark, path, ", ".join(f"`{c}` {t}" for c, t in df.dtypes)))
 
 
 ITEM_FIELDS = ("doc_id", "source", "title", "content", "url", "publish_time", "stock_code", "collected_at")
@@ -85,8 +85,8 @@ SELECT doc_id, CASE WHEN late THEN 'late' ELSE 'first' END AS route, strftime(co
 FROM r WHERE late OR doc_id = (SELECT min(doc_id) FROM r q WHERE q.item_key = r.item_key AND NOT q.late)"""))
 def r02(spark, sf):
     """Rows are dealt to four batches by doc_id, so most come after the watermark of ten minutes: those are routed aside."""
-    store, rows = work_path(spark, "watermark"), news_rows(spark, sf)
-    S.keep_distinct(in_batches(spark, rows, F.pmod("doc_id", F.lit(4))), store, work_path(spark, "cp"), "doc_id", hold=ALL_TIME)
+    store, checkpoint, rows = work_path(spark, "watermark"), work_path(spark, "cp"), news_rows(spark, sf)
+    in_batches(spark, rows, F.pmod("doc_id", F.lit(4)), lambda landed: S.keep_distinct(landed, store, checkpoint, "doc_id", hold=ALL_TIME))
     schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
     sides = [K.distinct_items(spark, store, schema).withColumn("route", F.lit("first")), K.late_rows(spark, store, schema).withColumn("route", F.lit("late"))]
     out = sides[0].unionByName(sides[1]).withColumn("event_time", S.event_time("collected_at"))

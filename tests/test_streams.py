@@ -229,3 +229,15 @@ def test_announcements_without_any_key_merge_by_address(spark):
     items = spark.createDataFrame(rows, "no bigint, source string, publish_date_bj string, stock_code string, title string, publish_time string, url string")
     got = merge_duplicates(items, "no").collect()
     assert len(got) == 41 and max(len(r.source_urls) for r in got) == 2 and sum(r.n_copies for r in got) == 402
+
+
+def test_batches_land_in_several_files_and_drain_one_after_the_other(spark):
+    import os
+
+    from tapeline.queries.streams import in_batches
+
+    seen, checkpoint = [], work_path(spark, "cp")
+    take = lambda landed: S.run_batches(landed, lambda b, _: seen.append(sorted({r.n % 3 for r in b.collect()})), checkpoint)
+    in_batches(spark, spark.range(0, 90, 1, 4).withColumnRenamed("id", "n"), F.pmod("n", F.lit(3)), take, 3)
+    assert seen == [[0], [1], [2]]
+    assert sum(n.isdigit() for n in os.listdir(f"{checkpoint}/offsets")) == 3
