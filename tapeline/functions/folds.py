@@ -40,33 +40,52 @@ def ema(arr: Column, span: int) -> Column:
     """Exponential moving average series seeded with the first value."""
     alpha = 2.0 / (span + 1)
     seed = F.slice(arr, 1, 1)
-    rest = F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))
     return F.aggregate(
-        rest, seed, lambda acc, x: F.concat(acc, F.array(F.lit(alpha) * x + F.lit(1 - alpha) * F.element_at(acc, -1)))
+        _rest(arr), seed, lambda acc, x: F.concat(acc, F.array(F.lit(alpha) * x + F.lit(1 - alpha) * F.element_at(acc, -1)))
     )
 
 
+def ema_last(arr: Column, span: int) -> Column:
+    """Last value of ``ema``; null for an empty array."""
+    alpha = 2.0 / (span + 1)
+    return F.aggregate(_rest(arr), F.get(arr, F.lit(0)), lambda acc, x: F.lit(alpha) * x + F.lit(1 - alpha) * acc)
+
+
+def _rest(arr: Column) -> Column:
+    return F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0)))
+
+
 def macd(arr: Column) -> Column:
-    """MACD 12/26/9 of a close array as a struct; under twelve values it is ``insufficient_history``."""
-    dif = F.zip_with(ema(arr, 12), ema(arr, 26), lambda a, b: a - b)
-    parts = F.struct(dif.alias("dif"), ema(dif, 9).alias("dea"))
-    # A one-element transform keeps the two series from being folded again at every use.
-    built = F.transform(F.array(parts), _macd_state)
+    """MACD 12/26/9 of a close array as a struct; under twelve values it is ``insufficient_history``.
+
+    One fold keeps both averages, the signal line and what the two steps before had: as much for each value as for the first.
+    """
+    first, none = F.get(arr, F.lit(0)), F.lit(None).cast("double")
+    seed = F.struct(first.alias("fast"), first.alias("slow"), (first - first).alias("dea"), none.alias("dif1"), none.alias("dea1"), none.alias("dif2"), none.alias("dea2"))
+
+    def step(acc: Column, x: Column) -> Column:
+        to = lambda span, value, before: F.lit(2.0 / (span + 1)) * value + F.lit(1 - 2.0 / (span + 1)) * before
+        fast, slow = to(12, x, acc["fast"]), to(26, x, acc["slow"])
+        return F.struct(
+            fast.alias("fast"), slow.alias("slow"), to(9, fast - slow, acc["dea"]).alias("dea"),
+            (acc["fast"] - acc["slow"]).alias("dif1"), acc["dea"].alias("dea1"), acc["dif1"].alias("dif2"), acc["dea1"].alias("dea2"),
+        )
+
     enough = F.size(arr) >= 12
-    none = F.struct(
+    short = F.struct(
         *[F.lit(None).cast("double").alias(n) for n in ("dif", "dea", "histogram", "previous_histogram")],
         F.lit("insufficient_history").alias("state"),
         F.lit(False).alias("slope_up"),
     )
-    return F.when(enough, F.get(built, F.lit(0))).otherwise(none)
+    return F.when(enough, F.aggregate(_rest(arr), seed, step, _macd_state)).otherwise(short)
 
 
 def _macd_state(p: Column) -> Column:
     def dif(k):
-        return from_end(p["dif"], k)
+        return p[f"dif{k}"] if k else p["fast"] - p["slow"]
 
     def dea(k):
-        return from_end(p["dea"], k)
+        return p[f"dea{k}"] if k else p["dea"]
 
     def hist(k):
         return F.lit(2.0) * (dif(k) - dea(k))

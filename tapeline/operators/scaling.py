@@ -6,11 +6,12 @@
 * ``neighbours``       first / previous value per row in two levels
 * ``latest_by``        newest record per key by a map-side combining aggregate
 * ``top_n``            best rows per group; Spark cuts each task to ``n`` rows before the shuffle
+* ``once``             columns that later conditions use without computing them again
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -161,6 +162,12 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, ran
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
+def once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Adds columns that are computed a single time a row: a filter on one is not moved before it, which would compute it again."""
+    added = F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    return df.select(*[c for c in df.columns if c not in columns], added)
+
+
 def ordered_extreme(
     df: DataFrame, by: Sequence[str], bucket: Column, order: Sequence[Column | str], value: Column, out: str, largest: bool = True
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from tapeline.functions.folds import ema, macd
+from tapeline.functions.folds import ema, ema_last, macd
 from tapeline.operators import pins
 
 
@@ -73,3 +73,29 @@ def test_series_at_equals_panel(spark):
     at = pins.evaluate_series(pins.series_at(bars, F.lit(40))).drop("obs").collect()
     panel = pins.evaluate_series(pins.series_panel(bars)).where("session_no = 40").drop("obs", "session", "session_no").collect()
     assert [r.asDict() for r in at] == [r.asDict() for r in panel]
+
+
+def test_series_are_collected_once(spark, sf_dir):
+    from tapeline.queries import all_queries
+
+    for name in ("k03_pin_lists", "k03_live_lists", "k03_list_counts", "j14_live_confirmation"):
+        plan = all_queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("collect_list(") == 1, name
+
+
+def test_last_average_and_macd_by_their_definition(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.uniform(5, 50) for _ in range(n)]) for i, n in enumerate([0, 1, 2, 11, 12, 13, 35, 36])]
+    df = spark.createDataFrame(rows, "i int, c array<double>")
+    for r in df.select("c", ema_last(F.col("c"), 12).alias("last"), macd(F.col("c")).alias("m")).collect():
+        def average(values, span):
+            out = list(values[:1])
+            for x in values[1:]:
+                out.append((2.0 / (span + 1)) * x + (1 - 2.0 / (span + 1)) * out[-1])
+            return out
+
+        fast, dif = average(r.c, 12), [a - b for a, b in zip(average(r.c, 12), average(r.c, 26))]
+        assert r.last == (fast[-1] if fast else None)
+        if len(r.c) >= 12:
+            hist = [2.0 * (a - b) for a, b in zip(dif, average(dif, 9))]
+            assert abs(r.m.dif - dif[-1]) <= 5e-7 and abs(r.m.histogram - hist[-1]) <= 5e-7 and abs(r.m.previous_histogram - hist[-2]) <= 5e-7
