@@ -30,3 +30,17 @@ def test_sessions_with_too_few_stocks_stay_open(spark, sf_dir):
     assert (status.complete_days, status.missing_days, status.status) == (0, 3, "partial")
     B.backfill(spark, spot, pools, targets, store, F.lit(1), F.lit("now"), 3)
     assert {r.source for r in spark.read.parquet(store).collect()} == {"objective_qfq_daily_history"}
+
+
+def test_fillings_read_bars_that_are_stored_once(spark, sf_dir, monkeypatch):
+    from tapeline.queries import all_queries
+
+    read = []
+
+    def noted(spark, spot, pools, targets, store, required, *more):
+        read.append([*spot.inputFiles(), *targets.inputFiles(), *spark.range(1).select(required).inputFiles()])
+        return spark.range(1)
+
+    monkeypatch.setattr(B, "backfill", noted)
+    all_queries()["c13_backfill_status"](spark, sf_dir)
+    assert len(read) == 2 and not [f for files in read for f in files if "lineitem" in f]
