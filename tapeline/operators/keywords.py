@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tapeline.functions import constants
 from tapeline.functions.text import occurrences
 from tapeline.functions.times import statistics_time
+from tapeline.operators.scaling import once
 
 
 def item_text(items: DataFrame) -> Column:
@@ -42,9 +43,10 @@ def classify_plates(keywords: Column, plates: Mapping[str, Sequence[str]] = cons
 
 
 def analyze(items: DataFrame, top_n: int = 10, plates: Mapping[str, Sequence[str]] = constants.PLATE_KEYWORDS) -> DataFrame:
-    """Adds ``keywords`` and ``plates``."""
-    df = items.withColumn("keywords", extract_keywords(item_text(items), top_n, plates=plates))
-    return df.withColumn("plates", classify_plates(F.col("keywords"), plates))
+    """Adds ``keywords`` and ``plates``; each text is put together and searched once, whatever is done with either."""
+    df = once(items, {"_text": item_text(items)})
+    df = once(df, {"keywords": extract_keywords(F.col("_text"), top_n, plates=plates)}).drop("_text")
+    return once(df, {"plates": classify_plates(F.col("keywords"), plates)})
 
 
 def keyword_frequency(analyzed: DataFrame) -> DataFrame:

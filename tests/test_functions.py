@@ -100,3 +100,11 @@ def test_ids_have_their_published_form(spark):
     want = "20260617T145000_overnight_" + hashlib.sha256(raw.encode()).hexdigest()[:10]
     one = spark.range(1).select(hashing.snapshot_id(F.lit("overnight"), F.lit("2026-06-17T14:50:00+08:00")).alias("v"))
     assert one.first().v == want
+
+
+def test_texts_are_searched_once_for_plates(spark, sf_dir):
+    from tapeline.queries import all_queries
+    from tapeline.queries.news import PLATES
+
+    plan = all_queries()["a07_plate_distribution"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("length(replace(") == len({w for words in PLATES.values() for w in words})
