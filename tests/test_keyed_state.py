@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tapeline.session import work_path
@@ -84,3 +85,31 @@ def test_state_is_dropped_when_the_watermark_has_passed(spark):
     assert max(rows) <= 4 * 20 * 2 and rows[-1] <= 6
     got = K.distinct_items(spark, store, SCHEMA)
     assert got.count() == 100 and got.where("k = 'k0-0'").first().no == 0
+
+
+def test_rows_of_a_key_are_taken_as_they_are():
+    class Value:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    class Timers:
+        def getCurrentWatermarkInMs(self):
+            return 100
+
+        registerTimer = list().append
+
+    keeper, Item = K.FirstCopy(50), Row("item_key", "arrival", "event_ms", "payload")
+    keeper.first, keeper.handle = Value(), Timers()
+    took = lambda *items: [tuple(r) for r in keeper.handleInputRows(("a",), iter(Item("a", *i) for i in items), Timers())]
+    assert took((5, 200, "x"), (3, None, "y"), (1, 99, "z")) == [("a", 1, "late", "z"), ("a", 3, "first", "y")]
+    assert keeper.first.value == (3, 250)
+    assert took((4, 300, "u")) == [] and keeper.first.value == (3, 350)
+    assert took((2, 150, "v")) == [("a", 2, "first", "v")] and keeper.first.value == (2, 350)
