@@ -79,3 +79,32 @@ def test_empty_table(spark):
 def test_long_words_are_not_remembered(n):
     packing.token_ids(PATH, ("q" * 100 * n).encode())
     assert ("q" * 100 * n).encode() not in packing.word_ids(PATH)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*PARTS, " ", " "]), max_size=12), max_size=5))
+def test_ids_of_many_texts_are_those_of_each(parts):
+    texts = ["".join(p) for p in parts]
+    ids, n = packing.ids_of_texts(PATH, [t.encode() for t in texts], 2)
+    got = [array("H", i).tolist() for i in ids.to_pylist()]
+    assert got == [[*whole_ids(t), 2] for t in texts] and n.tolist() == [len(i) for i in got]
+
+
+def test_letters_of_many_texts_are_asked_for_together_and_once():
+    words, asked = packing.WordIds(PATH), []
+
+    class Bare:
+        def encode_batch_fast(self, texts, bare=words.bare, **kw):
+            asked.extend(texts)
+            return bare.encode_batch_fast(texts, **kw)
+
+    words.bare, before = Bare(), packing._WORDS.get(PATH)
+    packing._WORDS[PATH] = words
+    try:
+        text = "zyquab zyquab, Zyquab. zyquab*** quvzo. 12,"
+        packing.ids_of_texts(PATH, [text.encode()] * 3, 2)
+        ids, _ = packing.ids_of_texts(PATH, [text.encode()], 2)
+    finally:
+        packing._WORDS[PATH] = before or words
+    assert [set(t.split()) for t in asked] == [{"zyquab", "quvzo"}] and b"zyquab," not in words
+    assert array("H", ids[0].as_py()).tolist() == [*whole_ids(text), 2]
