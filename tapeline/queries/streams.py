@@ -38,9 +38,9 @@ def drained(spark, df, mode="append"):
     return spark.read.parquet(out)
 
 
-def shuffled(df):
+def shuffled(df, parts=4):
     """The rows in an order that has nothing to do with their times, so that batches come late and out of order."""
-    return df.repartition(4, F.xxhash64(*[F.col(c) for c, t in df.dtypes if t in ("string", "bigint", "double", "timestamp")]))
+    return df.repartition(parts, F.xxhash64(*[F.col(c) for c, t in df.dtypes if t in ("string", "bigint", "double", "timestamp")]))
 
 
 def beijing(instant: str):
@@ -133,10 +133,10 @@ def r06(spark, sf):
 
 @query("r07_holdings_state", CHECKS["c17_holdings"])
 def r07(spark, sf):
-    """Positions kept by the stream; the check is that of the batch fold."""
+    """Positions kept by the stream; the check is that of the batch fold. Four batches of eight files each."""
     t = D.trades(spark, sf).select("account", "code", "name", "side", "quantity", "price", F.col("at").cast("timestamp").alias("at"), "seq.*")
     store, order = work_path(spark, "holdings"), [F.unix_micros(F.col("l_shipdate").cast("timestamp")), *map(F.col, ("l_orderkey", "l_linenumber", "l_partkey"))]
-    T.keep_holdings(stream(spark, shuffled(t), 4, 1), order, store, work_path(spark, "cp"), delay=ALL_TIME)
+    T.keep_holdings(stream(spark, shuffled(t, 32), max_files=8), order, store, work_path(spark, "cp"), delay=ALL_TIME)
     return T.present_holdings(spark, store).select("account", "code", "quantity", "average_cost", "trades", "rejected")
 
 

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import bisect
 import json
+import pickle
 from collections.abc import Iterator
+from itertools import pairwise
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,30 +57,31 @@ class HeldPosition(StatefulProcessor):
         self.chunk = chunk
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # JSON: chunks (number, least order, position before, trades, rejected), the position after all, trades and rejected of chunks that left
+        # JSON: chunks (number, least order, position before, trades, rejected, newest time), the position after all, trades and rejected of chunks that left
         self.index = handle.getValueState("index", "json string")
-        self.chunks = handle.getMapState("chunks", "number bigint", "trades string")
+        self.chunks = handle.getMapState("chunks", "number bigint", "trades binary")
 
-    def load(self, number: int) -> list:
-        return json.loads(self.chunks.getValue((number,))[0]) if self.chunks.containsKey((number,)) else []
+    def load(self, number: int) -> list[tuple]:
+        stored = self.chunks.getValue((number,))
+        return pickle.loads(bytes(stored[0])) if stored else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        chunks, end, left = json.loads(self.index.get()[0]) if self.index.exists() else [[[0, None, None, 0, 0]], None, [0, 0]]
-        came = [list(json.loads(t).values()) for batch in rows for t in batch.trade]
-        fresh = [t for t in came if chunks[0][1] is None or t[0] >= chunks[0][1]]
-        starts, by = [c[1] for c in chunks[1:]], {}
-        for t in fresh:
-            by.setdefault(bisect.bisect_right(starts, t[0]), []).append(t)
-        kept, read, moved, end_so_far, number = [], 0, False, None, max(c[0] for c in chunks)
+        chunks, end, left = json.loads(self.index.get()[0]) if self.index.exists() else [[[0, None, None, 0, 0, EARLIEST]], None, [0, 0]]
+        for c in chunks:
+            c[1] = c[1] and tuple(c[1])
+        came = sorted((t for batch in rows for t in trades_of(batch)), key=itemgetter(0))
+        # the trades of each chunk begin at its least order; what comes before the first is late
+        cuts = [0 if c[1] is None else bisect.bisect_left(came, c[1], key=itemgetter(0)) for c in chunks] + [len(came)]
+        late, kept, read, moved, end_so_far, number = cuts[0], [], 0, False, None, max(c[0] for c in chunks)
         for n, (own, least, before, *counts) in enumerate(chunks):
-            position = end_so_far if moved else before
-            if n not in by and position == before:
+            position, fresh = end_so_far if moved else before, came[cuts[n] : cuts[n + 1]]
+            if not fresh and position == before:
                 kept.append([own, least, before, *counts])
                 moved = False
                 continue
             stored = self.load(own)
             read += len(stored)
-            trades = sorted(stored + by.get(n, []), key=lambda t: (t[0], repr(t[1:])))
+            trades = in_order(stored, fresh)
             size = self.chunk if len(trades) > 2 * self.chunk else max(len(trades), 1)
             for lo in range(0, len(trades), size):
                 part = trades[lo : lo + size]
@@ -85,18 +89,19 @@ class HeldPosition(StatefulProcessor):
                     number += 1
                     own, least = number, part[0][0]
                 after, rejected = replayed(position, part)
-                kept.append([own, least, position, len(part), rejected])
-                self.chunks.updateValue((own,), (json.dumps(part),))
+                kept.append([own, least, position, len(part), rejected, newest_time(part)])
+                if fresh or lo or size < len(trades):  # else it holds what it did
+                    self.chunks.updateValue((own,), (pickle.dumps(part, 5),))
                 position = after
             end_so_far, moved = position, True
         end = end_so_far if moved else end
-        while len(kept) > 1 and all(t[5] is not None and t[5] < 1000 * timerValues.getCurrentWatermarkInMs() for t in self.load(kept[0][0])):
-            number, _, _, *counts = kept.pop(0)
+        while len(kept) > 1 and kept[0][5] is not None and kept[0][5] < 1000 * timerValues.getCurrentWatermarkInMs():
+            number, _, _, *counts, _ = kept.pop(0)
             left = [x + y for x, y in zip(left, counts)]
             self.chunks.removeKey((number,))
         self.index.update((json.dumps([kept, end, left]),))
         trades, rejected = (x + sum(c[i] for c in kept) for i, x in enumerate(left, 3))
-        row = (key[0], key[1], *((end or GONE)[f] for f in ("name", "quantity", "cost", "opened", "updated")), trades, rejected, len(came) - len(fresh), read)
+        row = (key[0], key[1], *((end or GONE)[f] for f in ("name", "quantity", "cost", "opened", "updated")), trades, rejected, late, read)
         kinds = {"quantity": "Int64", "opened_at": "Int64", "last_updated_at": "Int64"}
         yield pd.DataFrame([row], columns=[f.split()[0] for f in HELD.split(", ")]).astype(kinds)
 
@@ -107,12 +112,49 @@ class HeldPosition(StatefulProcessor):
 GONE = {"name": None, "quantity": 0, "cost": None, "opened": None, "updated": None}
 
 
+#: Before all times.
+EARLIEST = -(1 << 63)
+
+
+def trades_of(frame: pd.DataFrame) -> Iterator[tuple]:
+    """(order, side, quantity, price, name, time) of each row."""
+    columns = {c: frame[c].tolist() for c in frame.columns}
+    for value, known in (("q", "has_q"), ("t", "has_t")):  # whole numbers with nulls would come as doubles
+        if not all(columns[known]):
+            columns[value] = [v if k else None for v, k in zip(columns[value], columns[known])]
+    columns["p"] = [None if p is None or p != p else p for p in columns["p"]]
+    orders = zip(*(columns[c] for c in frame.columns if c.startswith("o_")))
+    return zip(orders, *(columns[c] for c in "sqpnt"))
+
+
+def in_order(stored: list[tuple], fresh: list[tuple]) -> list[tuple]:
+    """Trades by their order, and equal orders by the other fields."""
+    trades = sorted(stored + fresh, key=itemgetter(0))
+    if any(x[0] == y[0] for x, y in pairwise(trades)):
+        trades.sort(key=lambda t: (t[0], repr(list(t[1:]))))
+    return trades
+
+
+def newest_time(trades: list[tuple]) -> int | None:
+    """The newest time of the trades, null where one has none."""
+    times = [t[5] for t in trades]
+    return None if None in times else max(times, default=EARLIEST)
+
+
 def replayed(position: dict | None, trades: list) -> tuple[dict | None, int]:
     """The position after more trades, and how many of them were rejected."""
-    rejected = 0
+    rejected, position = 0, position and dict(position)
     for _, side, quantity, price, name, at in trades:
-        position, accepted = apply_trade(position, side, quantity, price, name, at)
-        rejected += not accepted
+        held = position and position["quantity"]
+        # by far the most trades add to a known position or sell a part of it, which needs no new one
+        if held and quantity and quantity > 0 and side == "sell" and quantity < held:
+            position["quantity"], position["updated"] = held - quantity, at
+        elif held and quantity and quantity > 0 and side == "buy" and price and price > 0 and (cost := position["cost"]) is not None:
+            total = held + quantity
+            position.update(name=name, updated=at, quantity=total, cost=round((held * cost + quantity * price) / total, 4))
+        else:
+            position, accepted = apply_trade(position, side, quantity, price, name, at)
+            rejected += not accepted
     return position, rejected
 
 
@@ -131,10 +173,11 @@ def keep_holdings(trades: DataFrame, order: list[Column], store: str, checkpoint
     """
     named = trades.where(F.col("account").isNotNull() & F.col("code").isNotNull())
     timed = named.withColumn("event_time", F.col("at").cast("timestamp")).withWatermark("event_time", delay)
-    price = F.when(~F.isnan("price"), F.col("price"))
-    fields = {"o": F.array(*[c.cast("bigint") for c in order]), "s": F.col("side"), "q": F.col("quantity").cast("bigint"), "p": price, "n": F.col("name"), "t": F.unix_micros("event_time")}
-    trade = F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]), {"ignoreNullFields": "false"})
-    rows = timed.select(F.col("account").cast("bigint").alias("account"), "code", trade.alias("trade"))
+    whole = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    quantity, time = F.col("quantity").cast("bigint"), F.unix_micros("event_time")
+    fields = {f"o_{i}": c.cast("bigint") for i, c in enumerate(order)} | {"s": F.col("side"), "q": whole(quantity), "has_q": quantity.isNotNull()}
+    fields |= {"p": F.col("price").cast("double"), "n": F.col("name"), "t": whole(time), "has_t": time.isNotNull()}
+    rows = timed.select(F.col("account").cast("bigint").alias("account"), "code", *[c.alias(k) for k, c in fields.items()])
     held = rows.groupBy("account", "code").transformWithStateInPandas(HeldPosition(chunk), HELD, "Append", "EventTime")
 
     def write(batch: DataFrame, number: int) -> None:

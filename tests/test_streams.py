@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tapeline.operators.collectors import collector_state, failure_streaks
@@ -241,3 +242,51 @@ def test_batches_land_in_several_files_and_drain_one_after_the_other(spark):
     in_batches(spark, spark.range(0, 90, 1, 4).withColumnRenamed("id", "n"), F.pmod("n", F.lit(3)), take, 3)
     assert seen == [[0], [1], [2]]
     assert sum(n.isdigit() for n in os.listdir(f"{checkpoint}/offsets")) == 3
+
+
+def test_only_chunks_with_trades_of_their_own_are_stored_again():
+    """Chunks that a late trade moves are read, not written; the watermark asks for none; whole numbers stay whole next to nulls."""
+    big = 2**53 + 1
+
+    class Value:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Chunks(dict):
+        def getValue(self, key):
+            asked.append(key[0])
+            return self.get(key)
+
+        def containsKey(self, key):
+            return key in self
+
+        def updateValue(self, key, value):
+            stored.append(key[0])
+            self[key] = value
+
+    class Timers:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    asked, stored, keeper = [], [], T.HeldPosition(4)
+    keeper.index, keeper.chunks = Value(), Chunks()
+    columns = ["o_0", "s", "q", "has_q", "p", "n", "t", "has_t"]
+
+    def took(*trades):
+        asked.clear(), stored.clear()
+        frame = pd.DataFrame([(o, s, q or 0, q is not None, p, "N", o, True) for o, s, q, p in trades], columns=columns)
+        return next(keeper.handleInputRows((1, "a"), iter([frame]), Timers())).iloc[0]
+
+    first = took(*[(10 * i, "buy", big if i == 0 else 1, 5.0) for i in range(20)])
+    assert first.quantity == big + 19 and first.trades == 20 and sorted(stored) == [0, 1, 2, 3, 4]
+    late = took((55, "buy", 2, 5.0), (56, "sell", None, None), (57, "buy", big, 7.0))
+    assert stored == [1] and set(asked) == {1, 2, 3, 4} and late.replayed == 16
+    assert late.quantity == big + 14 and late.rejected == 0 and late.average_cost == 7.0
