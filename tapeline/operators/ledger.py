@@ -9,8 +9,9 @@ The average cost is rounded after every buy, so the trades of one position must
 count are: for each key those after it was last sold out, or from the last correction that sets quantity and cost. They are
 streamed through sorted partitions with constant state.
 
-A correction of one number where nothing is held opens a position with an unknown one, which no such map describes. Keys with
-one are applied in full, in runs that begin at each sale of everything and each correction of both numbers.
+A correction of one number where nothing is held opens a position with an unknown one, which no such map describes. Trades of keys with
+one are cut into runs that begin at each sale of everything and each correction of both numbers. Nothing before a run matters in it, so
+only the runs that hold such a correction, and the last of a key, are applied trade by trade; the others follow from the quantities.
 """
 
 from __future__ import annotations
@@ -117,6 +118,22 @@ def moved(trades: DataFrame) -> DataFrame:
     return composed_moves(trades, KEY, ["seq"], F.coalesce(add, F.lit(0)), F.coalesce(low, F.lit(0)), flat, "held", counts, "trades")
 
 
+def runs_by_quantities(rows: DataFrame) -> DataFrame:
+    """What ``_fold`` tells of each run but name, numbers and last time, and ``_asked``: whether it must be applied to know it.
+
+    In a run that holds no correction of an unknown position the quantity before every trade but the first is right; a first one
+    with another before it is a correction of both numbers, which is never rejected.
+    """
+    runs = rows.groupBy(*KEY, "run", "_last_run").agg(
+        F.count(F.lit(1)).alias("trades"), F.sum(F.col("_rejected").cast("bigint")).alias("rejected"), F.max("_unknown").alias("_odd_run"),
+        F.max(F.col("_after") == 0).alias("_nothing"), F.min_by("_reset", "_place").alias("_resets"), F.max_by(F.col("_after") > 0, "_place").alias("held"),
+        F.min_by("at", "_place").alias("first_at"), F.max_by("at", F.when(F.col("_opens"), F.col("_place"))).alias("opened_at"),
+    )
+    asked, afresh = F.col("_odd_run") | (F.col("run") == F.col("_last_run")), F.col("_nothing") | ~F.col("_resets")
+    opened = F.when(F.col("held"), F.col("opened_at"))
+    return runs.select(*KEY, "run", "trades", "rejected", "held", afresh.alias("afresh"), "first_at", opened.alias("opened_at"), asked.alias("_asked"))
+
+
 def holdings(trades: DataFrame) -> DataFrame:
     """Final position per (account, code) and the number of trades and of rejected ones.
 
@@ -132,17 +149,22 @@ def holdings(trades: DataFrame) -> DataFrame:
     rows = rows.withColumns({
         "_after": after, "_rejected": rejected, "_unknown": k["partial"] & (held == 0), "_reset": k["reset"], "_opens": (held == 0) & (after > 0),
     })
+    run = F.col("sold_out") + F.col("resets") + F.col("_reset").cast("bigint")
     keys = staged(rows.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("trades"), F.sum(F.col("_rejected").cast("bigint")).alias("rejected"), F.max("_unknown").alias("_odd"),
         F.max(F.when(F.col("_after") == 0, F.col("_place"))).alias("_none"), F.max(F.when(F.col("_reset"), F.col("_place"))).alias("_set"),
-        F.max_by("at", F.when(F.col("_opens"), F.col("_place"))).alias("_opened"),
+        F.max_by("at", F.when(F.col("_opens"), F.col("_place"))).alias("_opened"), F.max(run).alias("_last_run"),
     ), "ledger-keys")
-    rows = rows.join(keys.select(*KEY, "_odd", "_none", "_set"), KEY)
+    rows = rows.join(keys.select(*KEY, "_odd", "_none", "_set", "_last_run"), KEY)
     since = (F.col("_none").isNull() | (F.col("_place") > F.col("_none"))) & (F.col("_set").isNull() | (F.col("_place") >= F.col("_set")))
-    run = F.when(F.col("_odd"), F.col("sold_out") + F.col("resets") + F.col("_reset").cast("bigint")).otherwise(0)
-    slim = rows.where(F.col("_odd") | since).select(*KEY, run.alias("run"), "_place", "side", "quantity", "price", "name", "at")
+    rows = rows.withColumn("run", F.when(F.col("_odd"), run).otherwise(0))
+    each = staged(runs_by_quantities(rows.where("_odd")), "ledger-each")
+    asked = staged(each.where("_asked").select(*KEY, "run", "_asked"), "ledger-asked")
+    slim = rows.join(asked, [*KEY, "run"], "left").where(F.col("_asked") | (~F.col("_odd") & since))
     order = [*KEY, "run", "_place"]
-    folded = staged(slim.repartition(*KEY, "run").sortWithinPartitions(*order).drop("_place").mapInArrow(_fold, RUN), "ledger-runs")
+    slim = slim.select(*order, "side", "quantity", "price", "name", "at")
+    applied = staged(slim.repartition(*KEY, "run").sortWithinPartitions(*order).drop("_place").mapInArrow(_fold, RUN), "ledger-runs")
+    folded = applied.unionByName(each.where(~F.col("_asked")).drop("_asked"), allowMissingColumns=True)
     # a run that begins with a correction and never holds nothing goes on with the position of the run before it
     state = F.struct("name", "quantity", "average_cost", "last_updated_at", "held")
     last = folded.groupBy(*KEY).agg(

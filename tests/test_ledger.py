@@ -102,6 +102,31 @@ def test_a_hot_key_is_cut_into_ranges(spark):
     assert sorted((r.seq, r.held) for r in rows.collect()) == want
 
 
+def test_only_runs_with_an_unknown_number_are_applied(spark):
+    """A key with one such run among many has its other runs told by their quantities, but the last."""
+    log = [(1, "a", "upsert", None, None), (1, "a", "buy", 1, 1.0), (1, "a", "sell", None, None)]
+    for i in range(50):
+        log += [(1, "a", "buy", 3, 2.0), (1, "a", "sell", 9 if i % 3 else 1, None), (1, "a", "sell", None, None)]
+    log += [(1, "a", "buy", 4, 2.5), (1, "a", "buy", 4, 3.5)]
+    assert whole(spark, log) == plain(log)
+    applied, fold = spark.sparkContext.accumulator(0), G._fold
+
+    def counted(batches):
+        def passed():
+            for b in batches:
+                applied.add(b.num_rows)
+                yield b
+
+        yield from fold(passed())
+
+    G._fold = counted
+    try:
+        assert whole(spark, log) == plain(log)
+    finally:
+        G._fold = fold
+    assert 0 < applied.value <= 5
+
+
 def test_no_trades(spark):
     assert G.holdings(frame(spark, [(1, "a", "buy", 1, 1.0)]).limit(0)).count() == 0
 
