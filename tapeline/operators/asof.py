@@ -89,7 +89,7 @@ def _mentions_of(items: DataFrame, names: dict[str, list]) -> DataFrame:
         for batch in batches:
             found = []
             for text in batch.column(at).to_pylist():
-                there = dict(v for _, v in automaton.iter(text or ""))
+                there = dict(v for _, v in automaton.iter(text or "")) if len(automaton) else {}  # an empty one cannot be searched
                 found.append([{"code": code, "norm_name": name} for name, codes in there.items() for code in codes])
             yield pa.record_batch([*batch.columns[:at], *batch.columns[at + 1 :], pa.array(found, pair)], fields)
 
@@ -105,8 +105,8 @@ def name_mentions(items: DataFrame, names: DataFrame, text: str = "title", min_l
     """Which names occur inside which texts: (item columns, code, norm_name), one row per pair.
 
     An Aho-Corasick automaton finds all names in one pass over a text; nothing is shuffled and no text is copied. Names beyond
-    ``AUTOMATON_NAMES`` are split by their first characters over several automata, and each takes a pass. Names beyond all of these meet the
-    texts in a join (``joined_mentions``). Names are counted first. Null texts mention nothing.
+    ``AUTOMATON_NAMES`` are dealt over several automata of about equal size, whatever names begin with, and each takes a pass. Names beyond all
+    of these meet the texts in a join (``joined_mentions``). Names are counted first. Null texts mention nothing.
     """
     known = names.select(F.col("code").cast("string").alias("code"), normalized_name("name").alias("norm_name")).where(F.length("norm_name") >= min_length).distinct()
     texts = items.withColumn("_text", normalized_name(text))
@@ -116,11 +116,12 @@ def name_mentions(items: DataFrame, names: DataFrame, text: str = "title", min_l
         return joined_mentions(texts, known)
     out = []
     for part in range(parts):
-        of = known.where(F.pmod(F.xxhash64(F.substring("norm_name", 1, min_length)), F.lit(parts)) == part)
+        of = known.where(F.pmod(F.xxhash64("norm_name", "code"), F.lit(parts)) == part)
         by_name: dict[str, list] = {}
         for code, name in of.orderBy("norm_name", "code").toLocalIterator():  # a checked number of names
             by_name.setdefault(name, []).append(code)
-        out.append(_mentions_of(texts, by_name))
+        if by_name or not out:
+            out.append(_mentions_of(texts, by_name))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -210,6 +210,26 @@ def test_many_names_and_a_long_text(spark, monkeypatch):
     assert sorted(map(tuple, asof.name_mentions(items, few).select("doc_id", "code").collect())) == some
 
 
+def test_names_that_begin_alike_are_dealt_over_automata(spark, monkeypatch):
+    """Names with one beginning used to share an automaton, and one left without names cannot be searched."""
+    from tapeline.operators import asof
+
+    rows = [(f"{i:06d}", f"Supplier#{i:09d}") for i in range(250)] + [(f"t{i}", "Twin") for i in range(60)]
+    known = spark.createDataFrame(rows, "code string, name string")
+    items = spark.createDataFrame([(1, "Supplier#000000007: a"), (2, "Supplier#000000249Supplier#000000003"), (3, "twin Twin"), (4, "Supplier#"), (5, None)], "doc_id int, title string")
+    want = sorted([(1, "000007"), (2, "000249"), (2, "000003"), *((3, f"t{i}") for i in range(60))])
+    sizes, plain = [], asof._mentions_of
+    monkeypatch.setattr(asof, "_mentions_of", lambda texts, names: sizes.append(sum(map(len, names.values()))) or plain(texts, names))
+    monkeypatch.setattr(asof, "AUTOMATON_NAMES", 100)
+    assert sorted(map(tuple, asof.name_mentions(items, known).select("doc_id", "code").collect())) == want
+    assert len(sizes) == 4 and sum(sizes) == 310 and max(sizes) < 130
+    # no names at all, and more automata than names
+    assert asof.name_mentions(items, known.limit(0)).count() == 0
+    monkeypatch.setattr(asof, "AUTOMATON_NAMES", 1)
+    few = known.where("code IN ('000003', 't1', 't2')")
+    assert sorted(map(tuple, asof.name_mentions(items, few).select("doc_id", "code").collect())) == [(2, "000003"), (3, "t1"), (3, "t2")]
+
+
 def test_pages_after_a_row_reach_rows_without_a_time(spark):
     from tapeline.operators.news import page_after
 
