@@ -230,6 +230,17 @@ def test_names_that_begin_alike_are_dealt_over_automata(spark, monkeypatch):
     assert sorted(map(tuple, asof.name_mentions(items, few).select("doc_id", "code").collect())) == [(2, "000003"), (3, "t1"), (3, "t2")]
 
 
+def test_outcomes_with_names_in_several_automata(spark, sf_dir, monkeypatch):
+    """The driver's supplier names all begin alike, so a replay over more names than one automaton takes used to fail."""
+    from tapeline.operators import asof
+    from tapeline.queries import all_checks, all_queries
+    from tests.compare import connect, differences
+
+    monkeypatch.setattr(asof, "AUTOMATON_NAMES", 3)
+    query = "a12_outcome_summary"
+    assert differences(all_queries()[query](spark, sf_dir), all_checks()[query], connect(sf_dir)) == []
+
+
 def test_pages_after_a_row_reach_rows_without_a_time(spark):
     from tapeline.operators.news import page_after
 
