@@ -16,12 +16,12 @@ from tapeline.streaming import keyed
 OVERLAP = "10 minutes"
 
 
-def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
-    """New JSON files of a landing folder as a stream."""
+def landing_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None, form: str = "json") -> DataFrame:
+    """New files of a landing folder, JSON unless ``form`` names another format, as a stream."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return reader.format(form).load(path)
 
 
 def event_time(column: str) -> Column:

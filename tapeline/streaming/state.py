@@ -9,6 +9,7 @@ from __future__ import annotations
 import bisect
 import json
 import pickle
+import zlib
 from collections.abc import Iterator
 from itertools import pairwise
 from operator import itemgetter
@@ -63,7 +64,7 @@ class HeldPosition(StatefulProcessor):
 
     def load(self, number: int) -> list[tuple]:
         stored = self.chunks.getValue((number,))
-        return pickle.loads(bytes(stored[0])) if stored else []
+        return unpacked(bytes(stored[0])) if stored else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         chunks, end, left = json.loads(self.index.get()[0]) if self.index.exists() else [[[0, None, None, 0, 0, EARLIEST]], None, [0, 0]]
@@ -91,7 +92,7 @@ class HeldPosition(StatefulProcessor):
                 after, rejected = replayed(position, part)
                 kept.append([own, least, position, len(part), rejected, newest_time(part)])
                 if fresh or lo or size < len(trades):  # else it holds what it did
-                    self.chunks.updateValue((own,), (pickle.dumps(part, 5),))
+                    self.chunks.updateValue((own,), (packed(part),))
                 position = after
             end_so_far, moved = position, True
         end = end_so_far if moved else end
@@ -127,6 +128,18 @@ def trades_of(frame: pd.DataFrame) -> Iterator[tuple]:
     return zip(orders, *(columns[c] for c in "sqpnt"))
 
 
+def packed(trades: list[tuple]) -> bytes:
+    """Trades by column and compressed: neighbours in order are much alike, so a chunk takes about a sixth of its rows' size."""
+    orders, *fields = zip(*trades)
+    return zlib.compress(pickle.dumps([list(zip(*orders)), *fields], 5), 1)
+
+
+def unpacked(stored: bytes) -> list[tuple]:
+    """The trades of ``packed``."""
+    orders, *fields = pickle.loads(zlib.decompress(stored))
+    return list(zip(zip(*orders), *fields))
+
+
 def in_order(stored: list[tuple], fresh: list[tuple]) -> list[tuple]:
     """Trades by their order, and equal orders by the other fields."""
     trades = sorted(stored + fresh, key=itemgetter(0))

@@ -1,7 +1,9 @@
 """Stored state is the same however rows are dealt to batches."""
 
+import pickle
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -70,6 +72,32 @@ def test_holdings(spark):
         assert {tuple(r[f] for f in fields) for r in held.collect()} == want
 
 
+def test_stored_trades_come_back_and_take_less():
+    rng = random.Random(6)
+    trades = [((10**15 + 86_400_000_000 * i, rng.randrange(10**7), 1 + i % 7, None), "buy", None if i % 50 == 0 else i % 60, None if i % 70 == 0 else i / 7, "N", None if i % 90 == 0 else i) for i in range(256)]
+    assert T.unpacked(T.packed(trades)) == trades and T.unpacked(T.packed(trades[:1])) == trades[:1]
+    assert len(T.packed(trades)) < len(pickle.dumps(trades, 5)) / 2
+
+
+def test_trades_land_whole_and_small(spark, sf_dir, monkeypatch):
+    """The holdings' landing folder takes less than half of the same rows as JSON; its batches hold all trades, and each spans all times."""
+    from tapeline.queries import streams as R
+
+    folders, plain = {}, R.work_path
+    monkeypatch.setattr(R, "work_path", lambda session, label: folders.setdefault(label, plain(session, label)))
+    R.r07(spark, sf_dir)
+    size = sum(p.stat().st_size for p in Path(folders["landing"]).rglob("part-*"))
+    trades = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    assert size < 100 * trades.count()  # about 230 a row as JSON
+    landed = spark.read.parquet(folders["landing"])
+    key = ("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    assert landed.count() == trades.count() and landed.select(*key).exceptAll(trades.select(*key)).isEmpty()
+    spans = landed.groupBy(F.input_file_name()).agg(F.min("at").alias("a"), F.max("at").alias("b")).collect()
+    positions = spark.read.parquet(f"{folders['holdings']}/positions")
+    assert {r.batch for r in positions.select("batch").distinct().collect()} == {0, 1, 2, 3}
+    assert max(s.a for s in spans) < min(s.b for s in spans)
+
+
 def test_a_late_trade_reads_its_chunk_and_what_it_moves(spark):
     """Positions are sold out again and again, so a late trade moves one chunk, not the log behind it."""
     sides = ["buy", "buy", "buy", "sell"]
